@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tallyweir.functions.text import strip
+from tallyweir.functions.text import SPACE, single_spaced
 
 # Formats that the results depend on.
 PRODUCT_CODE = r"^\d{5}[A-Za-z]?$"
@@ -18,7 +18,7 @@ def is_product_code(code: Column) -> Column:
 
 
 def is_invoice_number(number: Column) -> Column:
-    return strip(number).rlike(INVOICE_NUMBER)
+    return number.rlike(INVOICE_NUMBER)
 
 
 def is_cancellation(quantity: Column, invoice: Column) -> Column:
@@ -27,9 +27,12 @@ def is_cancellation(quantity: Column, invoice: Column) -> Column:
 
 def parse_invoice_date(text: Column) -> Column:
     """Timestamp of month/day/year hour:minute text with or without leading zeros, else NULL."""
-    single_spaced = F.regexp_replace(strip(text), r"(?U)[\s\x1c-\x1f]+", " ")
-    shaped = single_spaced.rlike(r"\A[0-9]{1,2}/[0-9]{1,2}/[0-9]{4} [0-9]{1,2}:[0-9]{1,2}\z")
-    return F.when(shaped, F.try_to_timestamp(single_spaced, F.lit("M/d/yyyy H:m")))
+    day, time = r"[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}", r"[0-9]{1,2}:[0-9]{1,2}"
+    pattern = F.lit("M/d/yyyy H:m")
+    return F.when(text.rlike(rf"\A{day} {time}\z"), F.try_to_timestamp(text, pattern)).when(
+        text.rlike(rf"(?U)\A{SPACE}*(?-U:{day}){SPACE}+(?-U:{time}){SPACE}*\z"),
+        F.try_to_timestamp(single_spaced(text), pattern),
+    )
 
 
 def format_invoice_date(moment: Column) -> Column:

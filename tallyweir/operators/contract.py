@@ -8,13 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyweir.functions.coerce import to_float, to_integer
 from tallyweir.functions.retail import is_invoice_number, parse_invoice_date
-from tallyweir.functions.text import is_blank, strip
+from tallyweir.functions.text import strip
 
 ACCEPTED, REJECTED = "accepted", "rejected"
 NOT_JSON = "payload is not valid JSON"
@@ -25,8 +26,8 @@ NOT_OBJECT = "payload is not a JSON object"
 class Field:
     """One contract field. ``kind`` is string, integer or float.
 
-    A field with a ``default`` may be missing, but never null. ``check`` sees the text of a string
-    field; ``stripped`` removes outer white space from the accepted value.
+    A field with a ``default`` may be missing, but never null. ``check`` sees the stripped text of a
+    string field; ``stripped`` also removes outer white space from the accepted value.
     """
 
     name: str
@@ -47,7 +48,7 @@ class Contract:
 
 
 def _not_blank(text: Column) -> Column:
-    return ~is_blank(text)
+    return text != ""
 
 
 RETAIL_TRANSACTION = Contract(
@@ -65,14 +66,16 @@ RETAIL_TRANSACTION = Contract(
 )
 
 
-def _typed_value(spec: Field, kind: Column, text: Column) -> Column:
+def _typed_value(spec: Field, kind: Column, text: Column, bare: Column) -> Column:
     """The coerced value of one field, NULL where the JSON type or the text does not allow one."""
     if spec.kind == "string":
-        value = F.when(kind == "STRING", strip(text) if spec.stripped else text)
-        return value if spec.check is None else F.when(spec.check(text), value)
-    numeric = kind.rlike("^(STRING|BIGINT|DOUBLE|FLOAT|DECIMAL)")
-    as_text = F.when(kind == "BOOLEAN", F.when(text == "true", "1").otherwise("0")).when(numeric, text)
-    return to_integer(as_text) if spec.kind == "integer" else to_float(as_text)
+        value = bare if spec.stripped else text
+        allowed = kind == "STRING"
+        return F.when(allowed if spec.check is None else allowed & spec.check(bare), value)
+    numeric = kind.isin("STRING", "BIGINT", "DOUBLE") | kind.startswith("DECIMAL")
+    cast, kind_type = (to_integer, "bigint") if spec.kind == "integer" else (to_float, "double")
+    flag = (text == "true").cast("int").cast(kind_type)
+    return F.when(numeric, cast(bare)).when(kind == "BOOLEAN", flag)
 
 
 def apply_contract(df: DataFrame, contract: Contract, payload: str = "payload") -> DataFrame:
@@ -83,68 +86,54 @@ def apply_contract(df: DataFrame, contract: Contract, payload: str = "payload")
     tried in contract order. Messages that are not JSON or not an object get a reason of their own.
     """
     names = contract.names
-    document = df.withColumn("_doc", F.try_parse_json(payload))
-    fields = [
-        F.struct(
-            F.try_variant_get("_doc", f"$.{name}", "string").alias("text"),
-            F.schema_of_variant(F.try_variant_get("_doc", f"$.{name}", "variant")).alias("kind"),
-        ).alias(name)
-        for name in names
-    ]
-    shape = F.substring(F.schema_of_variant("_doc"), 1, 6)
-    parsed = _evaluated_once(
-        document,
-        df.columns,
-        F.struct(
-            F.col("_doc").isNotNull().alias("is_json"),
-            F.coalesce(shape == "OBJECT", F.lit(False)).alias("is_object"),
-            F.struct(*fields).alias("field"),
-        ),
-    )
-
-    values = []
+    # Parsed as the only element of a list, so that anything behind the object makes it invalid.
+    element = F.concat(F.lit("["), F.col(payload), F.lit("]"))
+    members = ", ".join(f"`{name}` variant" for name in names)
+    parsed = F.from_json(element, f"array<struct<{members}>>", {"allowSingleQuotes": "false"})
+    readable = F.size("_list") == 1
+    looks_like_object = F.ltrim(F.col(payload)).startswith("{")
+    unreadable = F.when(looks_like_object | F.try_parse_json(payload).isNull(), NOT_JSON).otherwise(NOT_OBJECT)
+    steps = df.withColumn("_list", parsed).withColumn("_doc", F.when(readable, F.get("_list", F.lit(0))))
+    # One projection per step: each becomes a method of its own, small enough to be compiled.
+    steps = steps.withColumns({f"_text_{n}": F.try_variant_get(f"_doc.{n}", "$", "string") for n in names})
+    steps = steps.withColumns({f"_kind_{n}": F.schema_of_variant(f"_doc.{n}") for n in names})
+    steps = steps.withColumns({f"_bare_{n}": strip(F.col(f"_text_{n}")) for n in names})
     for spec in contract.fields:
-        kind, text = F.col(f"_row.field.{spec.name}.kind"), F.col(f"_row.field.{spec.name}.text")
-        value = _typed_value(spec, kind, text)
+        kind, text, bare = (F.col(f"_{part}_{spec.name}") for part in ("kind", "text", "bare"))
+        value = _typed_value(spec, kind, text, bare)
         if spec.default is not None:
             value = F.when(kind.isNull(), F.lit(spec.default)).otherwise(value)
-        values.append(value.alias(spec.name))
-    failed = F.filter(
-        F.array(*[F.when(F.col(f"_record.{n}").isNull(), F.lit(n)) for n in names]),
-        lambda n: n.isNotNull(),
-    )
-    count = F.size("_failed")
-    reason = (
-        F.when(~F.col("_row.is_json"), F.lit(NOT_JSON))
-        .when(~F.col("_row.is_object"), F.lit(NOT_OBJECT))
-        .when(
-            count > 0,
-            F.concat(
-                count.cast("string"),
-                F.when(count == 1, " validation error for ").otherwise(" validation errors for "),
-                F.lit(f"{contract.name} | "),
-                F.element_at("_failed", 1),
-            ),
-        )
+        steps = steps.withColumn(f"_value_{spec.name}", value)
+
+    flags = [F.when(F.col(f"_value_{n}").isNull(), F.lit(n)) for n in names]
+    count = reduce(lambda x, y: x + y, [F.col(f"_value_{n}").isNull().cast("int") for n in names])
+    failed = F.when(F.col("_failures") > 0, F.split(F.concat_ws(",", *flags), ","))
+    reason = F.when(
+        F.col("_failures") > 0,
+        F.concat(
+            F.col("_failures").cast("string"),
+            F.when(F.col("_failures") == 1, " validation error for ").otherwise(" validation errors for "),
+            F.lit(f"{contract.name} | "),
+            F.coalesce(*flags),
+        ),
     )
-    no_fields = F.array().cast("array<string>")
-    checked = (
-        parsed.withColumn("_record", F.struct(*values))
-        .withColumn("_failed", F.when(F.col("_row.is_object"), failed).otherwise(no_fields))
-        .withColumn("_reason", reason)
+    judged = (
+        steps.withColumn("_unreadable", F.when(F.col("_doc").isNull(), unreadable))
+        .withColumn("_failures", F.when(F.col("_doc").isNull(), 0).otherwise(count))
+        .withColumn("failed_fields", F.coalesce(failed, F.array().cast("array<string>")))
+        .withColumn("rejection_reason", F.coalesce("_unreadable", reason))
     )
-    judged = _evaluated_once(
-        checked,
+    return _evaluated_once(
+        judged,
         df.columns,
         F.struct(
-            F.col("_record").alias("record"),
-            F.struct(*[F.col(f"_row.field.{n}.text").alias(n) for n in names]).alias("raw"),
-            F.when(F.col("_reason").isNull(), ACCEPTED).otherwise(REJECTED).alias("status"),
-            F.col("_failed").alias("failed_fields"),
-            F.col("_reason").alias("rejection_reason"),
+            F.struct(*[F.col(f"_value_{n}").alias(n) for n in names]).alias("record"),
+            F.struct(*[F.col(f"_text_{n}").alias(n) for n in names]).alias("raw"),
+            F.when(F.col("rejection_reason").isNull(), ACCEPTED).otherwise(REJECTED).alias("status"),
+            "failed_fields",
+            "rejection_reason",
         ),
-    )
-    return judged.select(*df.columns, "_row.*")
+    ).select(*df.columns, "_row.*")
 
 
 def _evaluated_once(df: DataFrame, keep: list[str], value: Column) -> DataFrame:
