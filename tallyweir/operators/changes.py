@@ -24,15 +24,10 @@ def double_quantity(df: DataFrame, column: str = "Quantity") -> DataFrame:
 
 
 def correction_batch(
-    df: DataFrame,
-    order: list[Column],
-    corrected: tuple[int, int],
-    added: tuple[int, int],
-    malformed: DataFrame | None = None,
+    corrected: DataFrame, added: DataFrame, malformed: DataFrame | None = None
 ) -> DataFrame:
-    """Rows ``corrected`` with their quantity doubled, rows ``added``, and malformed rows if given."""
-    parts = row_slices(df, order, {"corrected": corrected, "added": added})
-    batch = double_quantity(parts["corrected"]).unionByName(parts["added"])
+    """Known rows sent again with their quantity doubled, new rows, and malformed rows if given."""
+    batch = double_quantity(corrected).unionByName(added)
     return batch if malformed is None else batch.unionByName(malformed)
 
 

@@ -259,9 +259,16 @@ def _batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     texts = inputs.text_lines(inputs.retail_lines(spark, sf_dir))
     total = inputs.table(spark, sf_dir, "lineitem").count()
     order = [F.asc(c) for c in BUSINESS_COLUMNS]
-    first = changes.row_slices(texts, order, {"first": (0, total * 5 // 7)})["first"]
-    second = changes.correction_batch(texts, order, (0, total * 2 // 7), (total * 5 // 7, total))
-    return first, second
+    slices = changes.row_slices(
+        texts,
+        order,
+        {
+            "first": (0, total * 5 // 7),
+            "corrected": (0, total * 2 // 7),
+            "added": (total * 5 // 7, total),
+        },
+    )
+    return slices["first"], changes.correction_batch(slices["corrected"], slices["added"])
 
 
 def correction_batch(spark: SparkSession, sf_dir: str) -> DataFrame:

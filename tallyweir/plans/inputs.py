@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyweir.functions.retail import format_invoice_date
 from tallyweir.schemas import BUSINESS_COLUMNS
+from tallyweir.session import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,7 +21,7 @@ def retail_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     exact decimals. ``defect`` (0 to 96) picks the lines that ``raw_messages`` damages.
     """
     joined = (
-        table(spark, sf_dir, "lineitem")
+        spread(table(spark, sf_dir, "lineitem"))
         .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
         .join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
@@ -122,7 +123,7 @@ def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, title, text) of the text collection; it has no titles."""
-    return table(spark, sf_dir, "documents").select(
+    return spread(table(spark, sf_dir, "documents")).select(
         F.col("doc_id").cast("string").alias("doc_id"), F.lit(None).cast("string").alias("title"), "text"
     )
 

@@ -91,6 +91,16 @@ def materialize(df: DataFrame, label: str, partition_by: list[str] | None = None
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df``, a plain scan, over at least as many partitions as there are cores.
+
+    A file with few row groups would otherwise keep most cores idle. Scans that already have enough
+    partitions, as any large table has, are left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def is_small(
     df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES
 ) -> bool:
