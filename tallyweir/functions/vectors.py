@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator, Sequence
+from itertools import chain
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,35 +21,48 @@ def embed(df: DataFrame, text: str, load: Callable[[], Embedder], output: str =
     one row per text, so a model is read once and then applied to Arrow batches.
     """
 
-    @F.pandas_udf("array<double>")
-    def vectors(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<double>")
+    def vectors(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = load()
         for batch in batches:
-            yield pd.Series(list(np.asarray(model(batch.tolist()), dtype=float)), index=batch.index)
+            matrix = np.ascontiguousarray(model(batch.to_pylist()), dtype=float)
+            rows, dims = matrix.shape
+            ends = np.arange(0, rows * dims + 1, dims, dtype=np.int32) if rows else np.zeros(1, np.int32)
+            yield pa.ListArray.from_arrays(pa.array(ends), pa.array(matrix.ravel()))
 
     return df.withColumn(output, vectors(F.col(text)))
 
 
+class _Slots(dict):
+    """Dimension + 1 of each token seen, negative for a negative sign."""
+
+    def __init__(self, dims: int) -> None:
+        super().__init__()
+        self.dims = dims
+
+    def __missing__(self, token: str) -> int:
+        digest = hashlib.md5(token.encode()).hexdigest()
+        place = int(digest[:8], 16) % self.dims + 1
+        self[token] = place if digest[8] < "8" else -place
+        return self[token]
+
+
 def hashing_embedder(dims: int = 64) -> Callable[[], Embedder]:
     """Unit-length bag-of-words vectors by feature hashing: shared words count, meaning does not.
 
     The MD5 of a token picks its dimension (first 8 hex digits) and its sign (the ninth).
     """
 
-    def slot(token: str) -> tuple[int, float]:
-        digest = hashlib.md5(token.encode()).hexdigest()
-        return int(digest[:8], 16) % dims, 1.0 if digest[8] < "8" else -1.0
-
     def load() -> Embedder:
+        slots = _Slots(dims)
+
         def model(texts: Sequence[str]) -> np.ndarray:
-            matrix = np.zeros((len(texts), dims))
-            known: dict[str, tuple[int, float]] = {}
-            for row, text in enumerate(texts):
-                for token in (text or "").lower().split():
-                    place = known.get(token)
-                    if place is None:
-                        place = known[token] = slot(token)
-                    matrix[row, place[0]] += place[1]
+            tokens = [(text or "").lower().split() for text in texts]
+            rows = np.repeat(np.arange(len(texts)), [len(t) for t in tokens])
+            places = np.fromiter((slots[t] for t in chain.from_iterable(tokens)), np.int64, len(rows))
+            cells = rows * dims + np.abs(places) - 1
+            sums = np.bincount(cells, weights=np.sign(places), minlength=len(texts) * dims)
+            matrix = sums.reshape(len(texts), dims)
             norms = np.linalg.norm(matrix, axis=1, keepdims=True)
             return np.divide(matrix, norms, out=matrix, where=norms > 0)
 

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyweir.functions.text import tokenize
+from tallyweir.operators.documents import chunk_id
 from tallyweir.operators.search import BLOCK_CELLS, flat_list, search_top_k
 from tallyweir.session import broadcast_if_small, materialize
 
@@ -160,7 +161,7 @@ def bm25_scorer(mean_length: float, k1: float = K1, b: float = B):
 
 
 def with_chunk_id(hits: DataFrame) -> DataFrame:
-    return hits.withColumn("chunk_id", F.format_string("%s_chunk_%03d", "doc_id", "pos"))
+    return hits.withColumn("chunk_id", chunk_id(F.col("doc_id"), F.col("pos")))
 
 
 def bm25_topk(index: Bm25Index, questions: DataFrame, k: int = 15, pad: bool = False, **limits) -> DataFrame:

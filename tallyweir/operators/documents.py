@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyweir.functions.text import is_blank, split_sentences, strip
@@ -65,6 +65,12 @@ def product_documents(gold: DataFrame, max_products: int = MAX_PRODUCTS) -> Data
     )
 
 
+def chunk_id(doc_id: Column, pos: Column) -> Column:
+    """The document id, "_chunk_" and the place with at least three digits."""
+    digits = pos.cast("string")
+    return F.concat(doc_id, F.lit("_chunk_"), F.when(pos < 1000, F.lpad(digits, 3, "0")).otherwise(digits))
+
+
 def chunk_sentences(docs: DataFrame, chunk_size: int = 2) -> DataFrame:
     """(chunk_id, doc_id, pos, text): windows of ``chunk_size`` sentences, each starting
     ``chunk_size - 1`` (at least 1) sentences after the one before.
@@ -91,7 +97,7 @@ def chunk_sentences(docs: DataFrame, chunk_size: int = 2) -> DataFrame:
         split.select("doc_id", "_header", F.inline(windows))
         .filter(~is_blank(F.col("body")))
         .select(
-            F.format_string("%s_chunk_%03d", "doc_id", "pos").alias("chunk_id"),
+            chunk_id(F.col("doc_id"), F.col("pos")).alias("chunk_id"),
             "doc_id",
             "pos",
             F.concat(F.lit("["), F.col("_header"), F.lit("] "), F.col("body")).alias("text"),

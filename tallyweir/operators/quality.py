@@ -9,8 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyweir.operators.rank import top_n_per_group
+from tallyweir.session import materialize
 
 SAMPLE_SIZE = 20
+ROW, MISSING, UNEXPECTED = "row", "missing", "unexpected"
 
 NOT_NULL = "expect_column_values_to_not_be_null"
 MATCH_REGEX = "expect_column_values_to_match_regex"
@@ -81,28 +83,28 @@ def _unexpected(e: Expectation) -> Column:
     return column.isNotNull() & ~column.rlike(e.regex)
 
 
-def _row_failures(df: DataFrame, expectations: list[Expectation]) -> DataFrame:
-    """(position, value, times) of the failing values of all row-wise expectations, in one scan."""
-    failing = F.filter(
-        F.array(
-            *[
-                F.when(
-                    _unexpected(e),
-                    F.struct(
-                        F.lit(e.position).alias("position"),
-                        F.col(e.columns[0]).cast("string").alias("value"),
-                    ),
-                )
-                for e in expectations
-            ]
-        ),
-        lambda entry: entry.isNotNull(),
-    )
-    return (
-        df.select(F.explode(failing).alias("f"))
-        .groupBy("f.position", "f.value")
-        .agg(F.count(F.lit(1)).alias("times"))
-    )
+def _tally(df: DataFrame, expectations: list[Expectation]) -> DataFrame:
+    """(position, finding, value, times) of all that one scan can tell.
+
+    Every row adds a mark (position -1), one entry per expectation it is missing for, and one with
+    the value for each row-wise expectation it fails. Counting starts within each task.
+    """
+
+    def entry(position: int, finding: str, value: Column) -> Column:
+        return F.struct(
+            F.lit(position).alias("position"), F.lit(finding).alias("finding"), value.alias("value")
+        )
+
+    nothing = F.lit(None).cast("string")
+    entries = [entry(-1, ROW, nothing)]
+    for e in expectations:
+        if e.kind != NOT_NULL:
+            entries.append(F.when(_missing(e), entry(e.position, MISSING, nothing)))
+        if e.kind != UNIQUE_KEYS:
+            value = F.col(e.columns[0]).cast("string")
+            entries.append(F.when(_unexpected(e), entry(e.position, UNEXPECTED, value)))
+    found = df.select(F.explode(F.filter(F.array(*entries), lambda x: x.isNotNull())).alias("f"))
+    return found.groupBy("f.position", "f.finding", "f.value").agg(F.count(F.lit(1)).alias("times"))
 
 
 def _key_failures(df: DataFrame, e: Expectation) -> DataFrame:
@@ -114,6 +116,7 @@ def _key_failures(df: DataFrame, e: Expectation) -> DataFrame:
         .filter("times > 1")
         .select(
             F.lit(e.position).alias("position"),
+            F.lit(UNEXPECTED).alias("finding"),
             F.to_json(F.struct(*e.columns), {"ignoreNullFields": "false"}).alias("value"),
             "times",
         )
@@ -127,20 +130,19 @@ def run_expectations(df: DataFrame, suite: Suite) -> DataFrame:
     missing are not judged, except by not-null, which has no missing values. The samples hold the
     20 smallest failing values (repeats included) and the 20 most frequent ones with their counts.
 
-    All row-wise expectations and all totals share one scan each, whatever their number; a
-    uniqueness expectation costs one aggregate over its key columns.
+    All totals and row-wise expectations share one scan, whatever their number; a uniqueness
+    expectation costs one aggregate over its key columns. What they found is stored, as the counts
+    and both samples are drawn from it.
     """
     spark = df.sparkSession
     expectations = suite.numbered()
-    row_wise = [e for e in expectations if e.kind != UNIQUE_KEYS]
-    failures = [_row_failures(df, row_wise)] if row_wise else []
-    failures += [_key_failures(df, e) for e in expectations if e.kind == UNIQUE_KEYS]
-    failed = reduce(DataFrame.unionByName, failures)
-
-    totals = df.agg(
-        F.count(F.lit(1)).alias("element_count"),
-        F.array(*[F.count_if(_missing(e)) for e in expectations]).alias("missing"),
-    ).select("element_count", F.posexplode("missing").alias("position", "missing_count"))
+    keys = [_key_failures(df, e) for e in expectations if e.kind == UNIQUE_KEYS]
+    tally = materialize(reduce(DataFrame.unionByName, [_tally(df, expectations), *keys]), "tally")
+    failed = tally.filter(F.col("finding") == UNEXPECTED)
+    missing = (
+        tally.filter(F.col("finding") == MISSING).groupBy("position").agg(F.sum("times").alias("missing"))
+    )
+    rows = tally.filter(F.col("finding") == ROW).agg(F.sum("times")).first()[0] or 0
 
     frequent = top_n_per_group(failed, ["position"], [F.desc("times"), F.asc("value")], SAMPLE_SIZE, "_f")
     smallest = top_n_per_group(failed, ["position"], [F.asc("value")], SAMPLE_SIZE, "_s")
@@ -169,10 +171,12 @@ def run_expectations(df: DataFrame, suite: Suite) -> DataFrame:
         "judges_nulls boolean",
     )
     joined = (
-        described.join(totals, "position", "left")
+        described.join(missing, "position", "left")
         .join(sums, "position", "left")
         .join(by_count, "position", "left")
         .join(by_value, "position", "left")
+        .withColumn("element_count", F.lit(rows).cast("bigint"))
+        .withColumn("missing_count", F.coalesce("missing", F.lit(0).cast("bigint")))
         .withColumn("unexpected_count", F.coalesce("unexpected", F.lit(0).cast("bigint")))
     )
 

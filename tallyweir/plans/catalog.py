@@ -486,7 +486,7 @@ def queries() -> dict[str, Query]:
         "to_json_payload": to_json_payload,
         "bronze_append": bronze_append,
         "docs_scan": docs_scan,
-        "schema_guard": schema_guard,
+        "schema_diff": schema_guard,
         "contract_valid": contract_valid,
         "contract_rejects": contract_rejects,
         "contract_summary": contract_summary,

@@ -38,9 +38,9 @@ def retail_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select(
         (order * 10 + F.col("l_linenumber")).alias("line_id"),
         ((order * 31 + part * 7 + F.col("l_linenumber")) % 97).cast("int").alias("defect"),
-        F.concat(F.when(returned, "C").otherwise(series), F.format_string("%06d", order % 1_000_000)).alias("InvoiceNo"),
+        F.concat(F.when(returned, "C").otherwise(series), F.lpad((order % 1_000_000).cast("string"), 6, "0")).alias("InvoiceNo"),
         F.when(part % 50 == 0, "POST")
-        .otherwise(F.concat(F.format_string("%05d", part % 100_000), variant))
+        .otherwise(F.concat(F.lpad((part % 100_000).cast("string"), 5, "0"), variant))
         .alias("StockCode"),
         F.upper("p_name").alias("Description"),
         (F.when(returned, -1).otherwise(1) * F.col("l_quantity").cast("bigint")).alias("Quantity"),

@@ -484,7 +484,7 @@ def oracle_sql() -> dict[str, str]:
         "to_json_payload": f"SELECT CAST({json_object} AS VARCHAR) AS payload FROM text_lines",
         "bronze_append": f"SELECT {shown_lines}, TRUE AS stamped FROM retail_lines",
         "docs_scan": "SELECT doc_id, title, text FROM plain_docs",
-        "schema_guard": "SELECT Country, COUNT(*) AS rows_written, CAST(0 AS BIGINT) AS customers, "
+        "schema_diff": "SELECT Country, COUNT(*) AS rows_written, CAST(0 AS BIGINT) AS customers, "
         "'write refused: discount undeclared (double -> None)' AS refused FROM grain GROUP BY Country",
         "contract_valid": accepted,
         "contract_rejects": _REJECTS,
