@@ -65,16 +65,16 @@ def merge_tagged(target: DataFrame, source: DataFrame, keys: list[str], check: b
 
 def merge_metrics(tagged: DataFrame, source: DataFrame) -> DataFrame:
     """One row of counts. Copied counts all target rows the merge left as they were."""
-    count = lambda action: F.count_if(F.col(ACTION) == action)
-    counts = tagged.agg(
+    rows = tagged.select(ACTION).unionByName(source.select(F.lit("source").alias(ACTION)))
+
+    def count(action: str) -> Column:
+        return F.count_if(F.col(ACTION) == action)
+
+    return rows.agg(
         count("updated").alias("target_rows_updated"),
         count("inserted").alias("target_rows_inserted"),
+        count("source").alias("source_rows"),
         count("copied").alias("target_rows_copied"),
-        F.lit(1).alias("_one"),
-    )
-    sources = source.agg(F.count(F.lit(1)).alias("source_rows"), F.lit(1).alias("_one"))
-    return counts.join(sources, "_one").select(
-        "target_rows_updated", "target_rows_inserted", "source_rows", "target_rows_copied"
     )
 
 

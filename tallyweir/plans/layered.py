@@ -1,22 +1,25 @@
 """One increment through all layers: messages, audit table, gates, keyed table, products, documents.
 
-A failing gate raises before the table it guards is published, and nothing after it runs.
+A failing gate raises before the table it guards is published, and nothing after it runs. What has
+been taken in but not merged yet is kept by the second stream's checkpoint, so the next call
+continues where a failed one stopped.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyweir.operators.documents import chunk_sentences, product_documents
 from tallyweir.operators.medallion import append_audit, rank_products, silver_increment
 from tallyweir.operators.quality import BRONZE_SUITE, SILVER_SUITE, enforce, run_expectations
 from tallyweir.operators.runlog import RunLog
-from tallyweir.schemas import GRAIN_KEYS
-from tallyweir.sources.files import scan_landing
-from tallyweir.sources.sinks import append_table, publish_snapshot, read_snapshot, upsert_table
-from tallyweir.streaming.ingest import ingest_stream, message_stream
+from tallyweir.schemas import GRAIN_KEYS, LANDING, MERGE_COUNTS
+from tallyweir.session import materialize
+from tallyweir.sources.sinks import publish_snapshot, read_snapshot, upsert_table
+from tallyweir.streaming.ingest import each_batch, ingest_stream, message_stream
 
 
 @dataclass(frozen=True)
@@ -29,42 +32,66 @@ class Layers:
         return f"{self.root}/{name}"
 
 
+def _merge_landed(spark: SparkSession, layers: Layers, log: RunLog) -> list[tuple]:
+    """Merge all landed files that are new since the last call, as one increment; returns the counts."""
+    counts: list[tuple] = []
+    errors: list[Exception] = []
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        try:
+            # A replayed batch replaces its own folders, so the audit table never holds a row twice.
+            with log.stage("audit"):
+                bronze = layers.path("bronze")
+                append_audit(batch).write.mode("overwrite").parquet(f"{bronze}/batch_id={batch_id}")
+                increment = batch.sparkSession.read.schema(LANDING).parquet(f"{bronze}/batch_id={batch_id}")
+            with log.stage("gate_bronze"):
+                enforce(run_expectations(spark.read.parquet(bronze), BRONZE_SUITE))
+            with log.stage("silver"):
+                grain, others = silver_increment(increment)
+                others.write.mode("overwrite").parquet(f"{layers.path('non_product')}/batch_id={batch_id}")
+                merged = upsert_table(
+                    grain,
+                    layers.path("silver"),
+                    GRAIN_KEYS,
+                    gate=lambda table: enforce(run_expectations(table, SILVER_SUITE)),
+                )
+                stored = materialize(merged, "merge_counts")
+                stored.write.mode("overwrite").json(f"{layers.path('merge_metrics')}/batch_id={batch_id}")
+                counts.append(tuple(stored.first()))
+        except Exception as error:
+            errors.append(error)
+            raise
+
+    landed = spark.readStream.schema(LANDING).json(f"{layers.path('landing')}/*")
+    query = each_batch(landed, layers.path("checkpoints/silver"), handle)
+    try:
+        query.awaitTermination()
+    except StreamingQueryException:
+        if errors:
+            raise errors[0] from None
+        raise
+    return counts
+
+
 def run_increment(spark: SparkSession, messages: str, layers: Layers, log: RunLog) -> DataFrame:
     """Take in what is new in the message folder and bring every layer up to date.
 
-    Returns the merge counts. Only the batches that this call landed are merged; a call without new
-    messages changes nothing and returns no rows.
+    Returns one row of merge counts, or none if there was nothing new. The product table, documents
+    and chunks are rebuilt from the keyed table on every call.
     """
-    landing = layers.path("landing")
     with log.stage("ingest"):
-        query = ingest_stream(
-            message_stream(spark, messages), landing, layers.path("dead_letters"), layers.path("checkpoint")
-        )
-        query.awaitTermination()
-        landed = sorted({p["batchId"] for p in query.recentProgress if p["numInputRows"] > 0})
-    if not landed:
-        return spark.createDataFrame(
-            [], "target_rows_updated bigint, target_rows_inserted bigint, source_rows bigint, target_rows_copied bigint"
-        )
-    increment = scan_landing(spark, [f"{landing}/batch_id={b}" for b in landed])
-
-    with log.stage("audit"):
-        append_table(append_audit(increment), layers.path("bronze"))
-    with log.stage("gate_bronze"):
-        enforce(run_expectations(spark.read.parquet(layers.path("bronze")), BRONZE_SUITE))
-    with log.stage("silver"):
-        grain, others = silver_increment(increment)
-        others.write.mode("overwrite").parquet(f"{layers.path('non_product')}/batch_id={landed[0]}")
-        counts = upsert_table(
-            grain,
-            layers.path("silver"),
-            GRAIN_KEYS,
-            gate=lambda merged: enforce(run_expectations(merged, SILVER_SUITE)),
-        )
-    with log.stage("gold"):
-        publish_snapshot(rank_products(read_snapshot(spark, layers.path("silver"))), layers.path("gold"))
-    with log.stage("documents"):
-        gold = read_snapshot(spark, layers.path("gold"))
-        docs = publish_snapshot(product_documents(gold), layers.path("documents"))
-        publish_snapshot(chunk_sentences(docs), layers.path("chunks"))
-    return counts
+        ingest_stream(
+            message_stream(spark, messages),
+            layers.path("landing"),
+            layers.path("dead_letters"),
+            layers.path("checkpoints/landing"),
+        ).awaitTermination()
+    counts = _merge_landed(spark, layers, log)
+    silver = read_snapshot(spark, layers.path("silver"))
+    if silver is not None:
+        with log.stage("gold"):
+            gold = publish_snapshot(rank_products(silver), layers.path("gold"))
+        with log.stage("documents"):
+            docs = publish_snapshot(product_documents(gold), layers.path("documents"))
+            publish_snapshot(chunk_sentences(docs), layers.path("chunks"))
+    return spark.createDataFrame(counts, MERGE_COUNTS)

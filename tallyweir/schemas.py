@@ -75,6 +75,15 @@ SILVER = StructType(
     ]
 )
 
+MERGE_COUNTS = StructType(
+    [
+        StructField("target_rows_updated", LongType()),
+        StructField("target_rows_inserted", LongType()),
+        StructField("source_rows", LongType()),
+        StructField("target_rows_copied", LongType()),
+    ]
+)
+
 DOCUMENT = StructType(
     [
         StructField("doc_id", StringType()),

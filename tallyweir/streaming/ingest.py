@@ -20,15 +20,15 @@ from tallyweir.schemas import GRAIN_KEYS, MESSAGE
 from tallyweir.sources.sinks import upsert_table
 
 
-def message_stream(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
-    """A folder of message files as a stream."""
-    reader = spark.readStream.schema(MESSAGE)
-    if files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.json(path)
+FILES_PER_BATCH = 1000
 
 
-def _each_batch(messages: DataFrame, checkpoint: str, handle: Callable[[DataFrame, int], None]) -> StreamingQuery:
+def message_stream(spark: SparkSession, path: str, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
+    """A folder of message files as a stream; a backlog is worked off in batches of bounded size."""
+    return spark.readStream.schema(MESSAGE).option("maxFilesPerTrigger", files_per_batch).json(path)
+
+
+def each_batch(messages: DataFrame, checkpoint: str, handle: Callable[[DataFrame, int], None]) -> StreamingQuery:
     """Run ``handle`` over everything that is there now, then stop."""
     return (
         messages.writeStream.foreachBatch(handle)
@@ -59,7 +59,7 @@ def ingest_stream(
         finally:
             checked.unpersist()
 
-    return _each_batch(messages, checkpoint, handle)
+    return each_batch(messages, checkpoint, handle)
 
 
 def merge_stream(records: DataFrame, silver_root: str, side_root: str, checkpoint: str) -> StreamingQuery:
@@ -73,4 +73,4 @@ def merge_stream(records: DataFrame, silver_root: str, side_root: str, checkpoin
         others.write.mode("overwrite").parquet(f"{side_root}/batch_id={batch_id}")
         upsert_table(grain, silver_root, GRAIN_KEYS)
 
-    return _each_batch(records, checkpoint, handle)
+    return each_batch(records, checkpoint, handle)

@@ -117,6 +117,10 @@ def test_failed_gate_keeps_the_old_table_and_stops_the_run(spark, tmp_path, monk
     assert ("silver", "FAIL") in states
     gold_events = log.events().filter("job = 'gold'").count()
     assert gold_events == 2  # START and COMPLETE of the first run only
+    monkeypatch.undo()
+    counts = layered.run_increment(spark, source, layers, log).collect()  # the refused increment is taken up again
+    assert [tuple(c) for c in counts] == [(1, 0, 1, 49)]
+    assert spark.read.parquet(layers.path("bronze")).count() == 52
 
 
 def test_snapshots(spark, tmp_path):
