@@ -29,7 +29,7 @@ def single_spaced(text: Column) -> Column:
 
 def tokenize(text: Column) -> Column:
     """Lower-cased white-space tokens; punctuation stays attached."""
-    return F.filter(F.split(F.lower(text), rf"(?U){SPACE}+"), lambda token: token != "")
+    return F.array_remove(F.split(F.lower(text), rf"(?U){SPACE}+"), "")
 
 
 def split_sentences(text: Column) -> Column:

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyweir.operators.rank import top_n_per_group
-from tallyweir.session import is_small
+from tallyweir.session import is_small, materialize
 
 QUERY_MAX_ROWS = 500_000
 QUERY_MAX_BYTES = 64 * 1024 * 1024
@@ -95,8 +95,10 @@ def search_top_k(
     """(query_id, *keys, score, rank) of the ``k`` best corpus rows per query with a score over
     ``above``; rank starts at 0, ties go to the smaller key.
 
-    ``queries`` has a ``query_id`` and whatever ``prepare`` needs; a query may span several rows.
+    ``queries`` has a ``query_id`` and whatever ``prepare`` needs; a query may span several rows. It
+    is stored first, as measuring and using it would compute it several times.
     """
+    queries = materialize(queries, "queries")
     max_rows, max_bytes, max_queries = query_limits
     ids = queries.select("query_id").distinct()
     if is_small(queries, max_rows, max_bytes) and is_small(ids, max_queries, max_bytes):
