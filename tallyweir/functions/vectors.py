@@ -62,7 +62,7 @@ def hashing_embedder(dims: int = 64) -> Callable[[], Embedder]:
             places = np.fromiter((slots[t] for t in chain.from_iterable(tokens)), np.int64, len(rows))
             cells = rows * dims + np.abs(places) - 1
             sums = np.bincount(cells, weights=np.sign(places), minlength=len(texts) * dims)
-            matrix = sums.reshape(len(texts), dims)
+            matrix = sums.reshape(len(texts), dims).astype(float)
             norms = np.linalg.norm(matrix, axis=1, keepdims=True)
             return np.divide(matrix, norms, out=matrix, where=norms > 0)
 
