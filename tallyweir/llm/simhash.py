@@ -1,16 +1,24 @@
 """SimHash near-dedup with bit-sliced comparison.
 
-1. Each text gets a 64-bit fingerprint: the bits set in over half of its shingles' XXH64 values.
-2. Equal fingerprints become one. Two that differ in at most ``radius`` bits agree in two of ``radius + 2``
-   blocks of bits, so each fingerprint goes to one bucket per pair of blocks; only buckets are compared, and no
-   link is missed. A bucket beyond ``TILE`` fingerprints is dealt out as pairs of tiles, each a task's work.
-3. Within a bucket, the fingerprints are stored as 64 bit planes, 64 fingerprints to a word. One fingerprint is
+1. Each text gets a fingerprint of ``bits`` bits: those set in over half of its shingles' hashes. The first 64
+   hash bits are XXH64; longer fingerprints mix further ones from it.
+2. Equal fingerprints become one. The others are put into buckets by some of their bits, and only buckets are
+   compared. For a small radius the buckets are exact: two fingerprints that differ in at most ``radius`` bits agree
+   in two of ``radius + 2`` blocks of bits, so there is one bucket per pair of blocks and no link is missed. For a
+   large one, buckets are samples of so many bits that they hold about ``BUCKET`` fingerprints each, and there
+   are as many as it takes to miss a pair at the radius with a probability of at most ``MISSED``. A bucket beyond
+   ``TILE`` fingerprints is dealt out as pairs of tiles, each a task's work.
+3. Within a bucket, the fingerprints are stored as bit planes, 64 fingerprints to a word. One fingerprint is
    compared with 64 at a time: plane by plane, the differing bits are added into carry-save counters, and a
    block whose 64 distances have all passed the radius is abandoned. A bucket yields a star for each cluster
    found, never all pairs.
 4. The links form a graph of distinct fingerprints. Large-star and small-star rounds, each stored in the shared
    folder, contract it until every fingerprint points to the smallest one of its component.
 
+For the shingle sets of two texts with Jaccard similarity J, each bit differs with probability acos(2J / (1 + J)) / pi.
+``NEAR`` holds the settings for five words and a similarity of 0.8: at that similarity 39 of 256 bits differ on average,
+with a standard deviation of 6, so the radius of 46 finds nine in ten of such pairs, and nearly all closer ones.
+
 Defined results: null and empty texts and texts without words have fingerprint zero; fewer words than a shingle
 make one shingle; a null id can be linked but is never a component's id unless all its ids are null.
 """
@@ -19,6 +27,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations
+from math import acos, ceil, log, pi
 
 import numpy as np
 import pyarrow as pa
@@ -30,64 +39,103 @@ from tallyweir.session import broadcast_if_small, materialize
 
 SHINGLE_WORDS = 3
 RADIUS = 3
+BITS = 64
 SEED = 42
 TILE = 4096
-BITS = 64
+BUCKET = 512
+MISSED = 0.01
+NEAR = {"words": 5, "bits": 256, "radius": 46}
 
 _FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 _CHUNK = 1 << 16
 
 
-def fingerprint(text: bytes, words: int = SHINGLE_WORDS) -> int:
-    """The SimHash of a UTF-8 text; counts are kept per block of shingles, so that long texts need no large array."""
+def _mixed(hashes: np.ndarray, bits: int) -> np.ndarray:
+    """``bits`` hash bits per row: the hash itself, then further words mixed from it."""
+    words = [hashes]
+    for k in range(1, bits // 64):
+        x = hashes + np.uint64(k * 0x9E3779B97F4A7C15 % (1 << 64))
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        words.append(x ^ (x >> np.uint64(31)))
+    return np.stack(words, axis=1)
+
+
+def _unpacked(words: np.ndarray) -> np.ndarray:
+    """One column per bit, from rows of 64-bit words; the lowest bit of the first word comes first."""
+    return np.unpackbits(words.astype("<u8").view(np.uint8).reshape(len(words), -1), axis=1, bitorder="little")
+
+
+def fingerprint(text: bytes, words: int = SHINGLE_WORDS, bits: int = BITS) -> bytes:
+    """The SimHash of a UTF-8 text, 64-bit words with the highest byte first.
+
+    Bits are counted per block of shingles, so that long texts need no large array.
+    """
     tokens = text.lower().split()  # on bytes: A-Z and the six ASCII white space characters only
     if not tokens:
-        return 0
+        return bytes(bits // 8)
     joined = b" ".join(tokens)
     ends = np.cumsum([len(t) + 1 for t in tokens]) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
     n = max(1, len(tokens) - words + 1)
     starts, ends = starts[:n].tolist(), ends[min(words, len(tokens)) - 1 :].tolist()
     digest = xxhash.xxh64_intdigest
-    counts = np.zeros(BITS, dtype=np.int64)
-    for low in range(0, n, _CHUNK):
-        hashes = [digest(joined[a:b], SEED) for a, b in zip(starts[low : low + _CHUNK], ends[low : low + _CHUNK])]
-        bits = np.unpackbits(np.array(hashes, dtype="<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        counts += bits.sum(axis=0, dtype=np.int64)
-    return int(np.packbits(counts * 2 > n, bitorder="little").view("<u8")[0])
+    counts = np.zeros(bits, dtype=np.int64)
+    block = _CHUNK * 64 // bits
+    for low in range(0, n, block):
+        hashes = [digest(joined[a:b], SEED) for a, b in zip(starts[low : low + block], ends[low : low + block])]
+        counts += _unpacked(_mixed(np.array(hashes, dtype=np.uint64), bits)).sum(axis=0, dtype=np.int64)
+    return np.packbits(counts * 2 > n, bitorder="little").view("<u8").astype(">u8").tobytes()
 
 
-def with_fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
-    """``doc_id``, ``text_hash`` and ``fp`` (the fingerprint as a signed integer) of every row."""
+def with_fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS, bits: int = BITS) -> DataFrame:
+    """``doc_id``, ``text_hash`` and ``fp`` of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [fingerprint(t.as_buffer().to_pybytes() if t.is_valid else b"", words) for t in batch.column(2)]
-            prints = pa.array(np.array(made, dtype=np.uint64).view(np.int64), pa.int64())
+            prints = pa.array([fingerprint(t.as_py() or b"", words, bits) for t in batch.column(2)], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), prints], ["doc_id", "text_hash", "fp"])
 
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), F.encode("text", "UTF-8")
-    ).mapInArrow(run, "doc_id long, text_hash long, fp long")
+    ).mapInArrow(run, "doc_id long, text_hash long, fp binary")
+
 
+def bit_tables(radius: int, bits: int, n: int) -> list[list[int]]:
+    """The bits by which ``n`` fingerprints are put into buckets, one list per table."""
+    blocks = [range(round(i * bits / (radius + 2)), round((i + 1) * bits / (radius + 2))) for i in range(radius + 2)]
+    if radius <= bits // 16:
+        return [[*x, *y] for x, y in combinations(blocks, 2)]
+    picked = max(1, min(62, round(log(max(2, n / BUCKET), 2))))
+    tables = ceil(log(MISSED) / log(1 - (1 - radius / bits) ** picked))
+    random = np.random.default_rng(SEED)
+    return [sorted(random.choice(bits, picked, replace=False).tolist()) for _ in range(tables)]
 
-def block_masks(radius: int = RADIUS) -> list[int]:
-    """Masks of all pairs of ``radius + 2`` blocks of bits, as signed integers."""
-    edges = [round(i * BITS / (radius + 2)) for i in range(radius + 3)]
-    blocks = [(1 << b) - (1 << a) for a, b in zip(edges, edges[1:])]
-    return [int(np.array([x | y], dtype=np.uint64).view(np.int64)[0]) for x, y in combinations(blocks, 2)]
+
+def distance_at(jaccard: float, bits: int) -> float:
+    """The expected number of differing bits at a Jaccard similarity."""
+    return bits * acos(2 * jaccard / (1 + jaccard)) / pi
+
+
+def _words(column: pa.Array, bits: int) -> np.ndarray:
+    """Rows of 64-bit words from a column of fingerprints."""
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=">u8").astype(np.uint64).reshape(-1, bits // 64)
+
+
+def _printed(words: np.ndarray) -> pa.Array:
+    raw, size = words.astype(">u8").tobytes(), words.shape[1] * 8
+    return pa.array([raw[i : i + size] for i in range(0, len(raw), size)], pa.binary())
 
 
 def bit_planes(prints: np.ndarray) -> np.ndarray:
-    """Plane ``j`` holds bit ``j`` of all fingerprints, 64 to a word."""
-    padded = np.zeros(-(-len(prints) // 64) * 64, dtype="<u8")
+    """Plane ``j`` holds bit ``j`` of all fingerprints (rows of words), 64 fingerprints to a word."""
+    padded = np.zeros((-(-len(prints) // 64) * 64, prints.shape[1]), dtype=np.uint64)
     padded[: len(prints)] = prints
-    bits = np.unpackbits(padded.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    return np.packbits(np.ascontiguousarray(bits.T), axis=1, bitorder="little").view("<u8")
+    return np.packbits(np.ascontiguousarray(_unpacked(padded).T), axis=1, bitorder="little").view("<u8")
 
 
-def _close_lanes(planes, words, queries, closed, radius):
-    """Which of 64 stored fingerprints per row lie within ``radius`` of the row's query.
+def _close_lanes(planes, prints, words, queries, closed, radius):
+    """Which of 64 stored fingerprints (``words`` of the planes) lie within ``radius`` of the rows ``queries``.
 
     ``closed`` marks lanes that do not count. Counters start so that they overflow at ``radius + 1``, and
     rows whose lanes have all overflowed are dropped after every eight planes.
@@ -97,9 +145,10 @@ def _close_lanes(planes, words, queries, closed, radius):
     rows = np.arange(len(words))
     over = closed.copy()
     counters = [np.full(len(words), _FULL if start >> k & 1 else 0, dtype=np.uint64) for k in range(width)]
-    for first in range(0, BITS, 8):
-        for j in range(first, first + 8):
-            carry = planes[j][words] ^ (np.uint64(0) - (queries >> np.uint64(j) & np.uint64(1)))
+    for first in range(0, len(planes), 8):
+        own = prints[queries, first // 64] >> np.uint64(first % 64)
+        for j in range(8):
+            carry = planes[first + j][words] ^ (np.uint64(0) - (own >> np.uint64(j) & np.uint64(1)))
             for counter in counters:
                 carried = counter & carry
                 counter ^= carry
@@ -142,7 +191,7 @@ def cluster_buckets(buckets: np.ndarray, prints: np.ndarray, radius: int = RADIU
             first = np.clip(rows + 1 - words * 64, 0, 63).astype(np.uint64)
             last = np.clip(ends[rows] - words * 64, 1, 64).astype(np.uint64)
             opened = (_FULL << first) & (_FULL >> (np.uint64(64) - last))
-            hit, lanes = _close_lanes(planes, words, prints[rows], ~opened, radius)
+            hit, lanes = _close_lanes(planes, prints, words, rows, ~opened, radius)
             if len(hit):
                 at, lane = np.nonzero(np.unpackbits(lanes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"))
                 labels = _merged(labels, rows[hit][at], words[hit][at] * 64 + lane)
@@ -152,46 +201,52 @@ def cluster_buckets(buckets: np.ndarray, prints: np.ndarray, radius: int = RADIU
     return labels
 
 
-def _links(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[pa.RecordBatch]:
-    """Stars of close fingerprints, from rows ``(b1, b2, b3, b4, fp)`` that arrive sorted by bucket."""
+def _links(batches: Iterator[pa.RecordBatch], radius: int, bits: int) -> Iterator[pa.RecordBatch]:
+    """Stars of close fingerprints, from rows ``(table, key, low, high, fp)`` that arrive sorted by bucket."""
 
-    def linked(rows: np.ndarray) -> pa.RecordBatch:
-        changed = np.any(rows[1:, :-1] != rows[:-1, :-1], axis=1)
+    def linked(keys: np.ndarray, prints: np.ndarray) -> pa.RecordBatch:
+        changed = np.any(keys[1:] != keys[:-1], axis=1)
         buckets = np.concatenate(([0], np.cumsum(changed)))
-        sizes = np.bincount(buckets)
-        rows, buckets = rows[sizes[buckets] > 1], buckets[sizes[buckets] > 1]
-        prints = np.ascontiguousarray(rows[:, -1]).view(np.uint64)
-        labels = cluster_buckets(buckets, prints, radius) if len(rows) else np.arange(0)
+        several = np.bincount(buckets)[buckets] > 1
+        buckets, prints = buckets[several], prints[several]
+        labels = cluster_buckets(buckets, prints, radius) if len(prints) else np.arange(0)
         away = labels != np.arange(len(labels))
-        return pa.RecordBatch.from_arrays(
-            [pa.array(prints[away].view(np.int64)), pa.array(prints[labels[away]].view(np.int64))], ["u", "v"]
-        )
+        return pa.RecordBatch.from_arrays([_printed(prints[away]), _printed(prints[labels[away]])], ["u", "v"])
 
-    held = np.zeros((0, 5), dtype=np.int64)
+    keys, prints = np.zeros((0, 4), dtype=np.int64), np.zeros((0, bits // 64), dtype=np.uint64)
     for batch in batches:
-        new = np.stack([np.asarray(c, dtype=np.int64) for c in batch.columns], axis=1)
-        held = np.concatenate((held, new))
-        if len(held) < _CHUNK:
+        keys = np.concatenate((keys, np.stack([np.asarray(c, dtype=np.int64) for c in batch.columns[:4]], axis=1)))
+        prints = np.concatenate((prints, _words(batch.column(4), bits)))
+        if len(keys) < _CHUNK:
             continue
-        inside = np.any(held[:, :-1] != held[-1, :-1], axis=1)
+        inside = np.any(keys != keys[-1], axis=1)
         ready = int(inside.nonzero()[0][-1]) + 1 if inside.any() else 0
         if ready:
-            yield linked(held[:ready])
-            held = held[ready:]
-    if len(held):
-        yield linked(held)
+            yield linked(keys[:ready], prints[:ready])
+            keys, prints = keys[ready:], prints[ready:]
+    if len(keys):
+        yield linked(keys, prints)
 
 
-def close_pairs(prints: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
-    """Links ``u``, ``v`` that connect all distinct fingerprints ``fp`` within ``radius``, as stars; ``prints`` should be stored."""
-    masks = F.array(*(F.lit(m) for m in block_masks(radius)))
-    keyed = prints.select("fp", F.posexplode(masks).alias("table", "mask")).select(
-        F.col("table").cast("long").alias("table"), F.col("fp").bitwiseAND(F.col("mask")).alias("key"), "fp"
-    )
+def close_pairs(prints: DataFrame, radius: int = RADIUS, bits: int = BITS, tile: int = TILE) -> DataFrame:
+    """Links ``u``, ``v`` that connect the distinct fingerprints ``fp`` within ``radius``, as stars; ``prints`` should be stored."""
+    tables = bit_tables(radius, bits, prints.count())
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low in range(0, batch.num_rows, 4096):
+                part = batch.column(0).slice(low, 4096)
+                unpacked = _unpacked(_words(part, bits)).astype(np.int64)
+                for table, picked in enumerate(tables):
+                    key = unpacked[:, picked] @ (np.int64(1) << np.arange(len(picked), dtype=np.int64))
+                    at = pa.array(np.full(len(part), table))
+                    yield pa.RecordBatch.from_arrays([at, pa.array(key), part], ["table", "key", "fp"])
+
+    placed = prints.select("fp").mapInArrow(keyed, "table long, key long, fp binary")
     large = materialize(
-        keyed.groupBy("table", "key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > tile), "large-buckets"
+        placed.groupBy("table", "key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > tile), "large-buckets"
     )
-    sized = keyed.join(broadcast_if_small(large), ["table", "key"], "left")
+    sized = placed.join(broadcast_if_small(large), ["table", "key"], "left")
     tiles = sized.withColumn("tiles", F.coalesce(F.ceil(F.col("n") / tile), F.lit(1)))
     own = tiles.withColumn("own", F.pmod(F.xxhash64("fp"), F.col("tiles")))
     dealt = own.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
@@ -202,7 +257,7 @@ def close_pairs(prints: DataFrame, radius: int = RADIUS, tile: int = TILE) -> Da
     return (
         rows.repartition(*keys)
         .sortWithinPartitions(*keys)
-        .mapInArrow(lambda batches: _links(batches, radius), "u long, v long")
+        .mapInArrow(lambda batches: _links(batches, radius, bits), "u binary, v binary")
         .distinct()
     )
 
@@ -244,14 +299,14 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def near_duplicate_groups(
-    docs: DataFrame, words: int = SHINGLE_WORDS, radius: int = RADIUS, tile: int = TILE
+    docs: DataFrame, words: int = SHINGLE_WORDS, radius: int = RADIUS, bits: int = BITS, tile: int = TILE
 ) -> DataFrame:
     """One row per document: ``doc_id``, ``text_hash``, ``fp``, ``root`` (the group's smallest fingerprint) and ``component_id``."""
-    stored = materialize(with_fingerprints(docs, words), "fingerprints")
+    stored = materialize(with_fingerprints(docs, words, bits), "fingerprints")
     prints = materialize(
         stored.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")), "prints"
     )
-    roots = components(close_pairs(prints.select("fp"), radius, tile))
+    roots = components(close_pairs(prints.select("fp"), radius, bits, tile))
     members = roots.select(F.col("u").alias("fp"), "root").unionByName(
         roots.select(F.col("root").alias("fp"), "root").distinct()
     )
@@ -272,12 +327,14 @@ def near_duplicate_groups(
 def simhash_components(docs: DataFrame) -> DataFrame:
     """One row per document: ``doc_id``, ``fingerprint`` (16 hex digits) and ``component_id``."""
     groups = near_duplicate_groups(docs)
-    return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return groups.select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
 
 
-def keep_one_per_group(docs: DataFrame) -> DataFrame:
+def keep_one_per_group(
+    docs: DataFrame, words: int = NEAR["words"], radius: int = NEAR["radius"], bits: int = NEAR["bits"]
+) -> DataFrame:
     """``docs`` with one row of each group: that of the smallest id (nulls last), then text hash; repeated rows once."""
-    groups = near_duplicate_groups(docs.select("doc_id", "text"))
+    groups = near_duplicate_groups(docs.select("doc_id", "text"), words, radius, bits)
     rank = F.struct(F.col("doc_id").isNull().alias("a"), F.col("doc_id").alias("b"), F.col("text_hash").alias("c"))
     keepers = groups.groupBy("root").agg(F.min(rank).alias("_k")).select(F.col("_k.b").alias("_b"), F.col("_k.c").alias("_c"))
     packed = docs.select(
