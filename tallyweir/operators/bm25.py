@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyweir.functions.text import tokenize
@@ -52,9 +52,6 @@ class Bm25Index:
             .agg(F.count(F.lit(1)).alias("tf"))
         )
 
-    def lengths(self) -> DataFrame:
-        return self.chunks.select(*CHUNK_KEYS, F.size("tokens").alias("length"))
-
 
 def bm25_index(chunks: DataFrame) -> Bm25Index:
     """Index chunks (doc_id, pos, text).
@@ -164,35 +161,17 @@ def with_chunk_id(hits: DataFrame) -> DataFrame:
     return hits.withColumn("chunk_id", chunk_id(F.col("doc_id"), F.col("pos")))
 
 
-def bm25_topk(index: Bm25Index, questions: DataFrame, k: int = 15, pad: bool = False, **limits) -> DataFrame:
+def bm25_topk(
+    index: Bm25Index, questions: DataFrame, k: int = 15, only_positive: bool = False, **limits
+) -> DataFrame:
     """(query_id, doc_id, pos, score, rank, chunk_id) of the ``k`` best chunks per question.
 
-    Only chunks with a positive score are hits; ``pad`` lets the others fill up to ``k``, earlier
-    documents first.
+    A chunk without any question word scores zero, and one whose only shared words are in nearly every chunk may
+    score less; both fill up to ``k``, earlier documents first, unless ``only_positive`` leaves them out.
     """
     weights = question_weights(index, questions)
-    above = float("-inf") if pad else 0.0
+    above = 0.0 if only_positive else float("-inf")
     hits = search_top_k(
         index.chunks, weights, CHUNK_KEYS, bm25_scorer(index.mean_length), k, above, **limits
     )
     return with_chunk_id(hits)
-
-
-def bm25_scores(index: Bm25Index, questions: DataFrame) -> DataFrame:
-    """(query_id, doc_id, pos, score) of every chunk that shares a term with a question.
-
-    The relational form of the search: question terms joined to postings. Its output has as many rows
-    as there are matches, so use it for a few rare terms or to check ``bm25_topk``.
-    """
-    weights = question_weights(index, questions).filter("term IS NOT NULL")
-    gain = _gain(F.col("tf"), F.col("length"), index.mean_length)
-    return (
-        index.postings()
-        .join(broadcast_if_small(weights), "term")
-        .groupBy("query_id", *CHUNK_KEYS)
-        .agg(F.sum(F.col("weight") * gain).alias("score"))
-    )
-
-
-def _gain(tf: Column, length: Column, mean_length: float) -> Column:
-    return tf * F.lit(K1 + 1) / (tf + F.lit(K1) * (F.lit(1 - B) + F.lit(B) * length / F.lit(mean_length)))

@@ -7,13 +7,11 @@ from pyspark.sql import functions as F
 
 from tallyweir.functions.text import is_blank, split_sentences, strip
 
-MAX_PRODUCTS = 1000
 
+def product_documents(gold: DataFrame, max_products: int | None = None) -> DataFrame:
+    """(doc_id, title, text) of every product, or of the ``max_products`` best-ranked ones if that is given.
 
-def product_documents(gold: DataFrame, max_products: int = MAX_PRODUCTS) -> DataFrame:
-    """(doc_id, title, text) of the ``max_products`` best-ranked products.
-
-    The rank is a stored column, so the cut is a filter that reaches the scan.
+    The rank is a stored column, so a cut is a filter that reaches the scan.
     """
     rank = F.col("revenue_rank")
     name = F.coalesce(F.nullif("Description", F.lit("")), F.col("StockCode"))
@@ -60,7 +58,8 @@ def product_documents(gold: DataFrame, max_products: int = MAX_PRODUCTS) -> Data
             ),
         ),
     ]
-    return gold.filter(rank <= max_products).select(
+    chosen = gold if max_products is None else gold.filter(rank <= max_products)
+    return chosen.select(
         F.col("StockCode").alias("doc_id"), strip(name).alias("title"), F.concat_ws(" ", *sentences).alias("text")
     )
 

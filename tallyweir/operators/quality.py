@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyweir.functions.retail import INVOICE_NUMBER
 from tallyweir.operators.rank import top_n_per_group
 from tallyweir.session import materialize
 
@@ -61,7 +62,7 @@ BRONZE_SUITE = Suite(
     (
         not_null("InvoiceNo"),
         not_null("StockCode"),
-        matches_regex("InvoiceNo", r"^[A-Za-z]?\d{5,6}$"),
+        matches_regex("InvoiceNo", INVOICE_NUMBER),  # the same rule as the contract's
     ),
 )
 SILVER_SUITE = Suite(
@@ -84,27 +85,32 @@ def _unexpected(e: Expectation) -> Column:
 
 
 def _tally(df: DataFrame, expectations: list[Expectation]) -> DataFrame:
-    """(position, finding, value, times) of all that one scan can tell.
+    """(position, finding, value, times): the row count (position -1), and what each expectation is missing for.
 
-    Every row adds a mark (position -1), one entry per expectation it is missing for, and one with
-    the value for each row-wise expectation it fails. Counting starts within each task.
+    One aggregate of plain counts, whatever the number of expectations.
     """
-
-    def entry(position: int, finding: str, value: Column) -> Column:
-        return F.struct(
-            F.lit(position).alias("position"), F.lit(finding).alias("finding"), value.alias("value")
+    judged = [e for e in expectations if e.kind != NOT_NULL]
+    counts = df.agg(
+        F.count(F.lit(1)).alias("_rows"), *(F.count_if(_missing(e)).alias(f"_m{e.position}") for e in judged)
+    )
+    found = [(-1, ROW, "_rows"), *((e.position, MISSING, f"_m{e.position}") for e in judged)]
+    entries = [
+        F.struct(
+            F.lit(position).alias("position"),
+            F.lit(finding).alias("finding"),
+            F.lit(None).cast("string").alias("value"),
+            F.col(column).alias("times"),
         )
+        for position, finding, column in found
+    ]
+    return counts.select(F.inline(F.array(*entries)))
+
 
-    nothing = F.lit(None).cast("string")
-    entries = [entry(-1, ROW, nothing)]
-    for e in expectations:
-        if e.kind != NOT_NULL:
-            entries.append(F.when(_missing(e), entry(e.position, MISSING, nothing)))
-        if e.kind != UNIQUE_KEYS:
-            value = F.col(e.columns[0]).cast("string")
-            entries.append(F.when(_unexpected(e), entry(e.position, UNEXPECTED, value)))
-    found = df.select(F.explode(F.filter(F.array(*entries), lambda x: x.isNotNull())).alias("f"))
-    return found.groupBy("f.position", "f.finding", "f.value").agg(F.count(F.lit(1)).alias("times"))
+def _row_failures(df: DataFrame, e: Expectation) -> DataFrame:
+    """(position, finding, value, times) of the values that fail a row-wise expectation; reads only its column."""
+    value = F.col(e.columns[0]).cast("string").alias("value")
+    failing = df.filter(_unexpected(e)).select(value).groupBy("value").agg(F.count(F.lit(1)).alias("times"))
+    return failing.select(F.lit(e.position).alias("position"), F.lit(UNEXPECTED).alias("finding"), "value", "times")
 
 
 def _key_failures(df: DataFrame, e: Expectation) -> DataFrame:
@@ -130,14 +136,13 @@ def run_expectations(df: DataFrame, suite: Suite) -> DataFrame:
     missing are not judged, except by not-null, which has no missing values. The samples hold the
     20 smallest failing values (repeats included) and the 20 most frequent ones with their counts.
 
-    All totals and row-wise expectations share one scan, whatever their number; a uniqueness
-    expectation costs one aggregate over its key columns. What they found is stored, as the counts
-    and both samples are drawn from it.
+    All totals share one scan of plain counts. Each expectation reads the columns it names and keeps only what
+    fails, so pass a stored table. What they found is stored, as the counts and both samples are drawn from it.
     """
     spark = df.sparkSession
     expectations = suite.numbered()
-    keys = [_key_failures(df, e) for e in expectations if e.kind == UNIQUE_KEYS]
-    tally = materialize(reduce(DataFrame.unionByName, [_tally(df, expectations), *keys]), "tally")
+    failures = [_key_failures(df, e) if e.kind == UNIQUE_KEYS else _row_failures(df, e) for e in expectations]
+    tally = materialize(reduce(DataFrame.unionByName, [_tally(df, expectations), *failures]), "tally")
     failed = tally.filter(F.col("finding") == UNEXPECTED)
     missing = (
         tally.filter(F.col("finding") == MISSING).groupBy("position").agg(F.sum("times").alias("missing"))

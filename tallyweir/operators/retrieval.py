@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -182,29 +182,42 @@ def build_index(chunks: DataFrame, load_embedder: Callable[[], Embedder] | None
 
 @dataclass(frozen=True)
 class Retrieval:
-    """The hit lists of every stage for one question table."""
+    """The hit lists of every stage for one question table. A stage is made and stored when it is first read;
+    the lists hold a few rows per question."""
 
-    vector: DataFrame
-    bm25: DataFrame
-    fused: DataFrame
-    reranked: DataFrame
+    index: RetrievalIndex
+    questions: DataFrame
+    scorer: Callable[[Column, Column], Column]
+
+    @cached_property
+    def asked(self) -> DataFrame:
+        return materialize(expand_query(self.questions), "questions")
+
+    @cached_property
+    def vector(self) -> DataFrame:
+        query_vectors = embed(self.asked, "text", self.index.load_embedder)
+        nearest = vector_topk(self.index.chunks, query_vectors, CHUNK_KEYS, SEARCH_DEPTH)
+        return materialize(with_chunk_id(nearest), "vector_hits")
+
+    @cached_property
+    def bm25(self) -> DataFrame:
+        return materialize(bm25_topk(self.index.keywords, self.asked, SEARCH_DEPTH), "keyword_hits")
+
+    @cached_property
+    def fused(self) -> DataFrame:
+        return materialize(rrf_fusion(self.vector, self.bm25, top_k=FUSED_DEPTH), "fused_hits")
+
+    @cached_property
+    def reranked(self) -> DataFrame:
+        ranked = rerank_topk(with_texts(self.fused, self.index.chunks, self.asked), self.scorer)
+        return materialize(ranked, "reranked_hits")
 
 
 def retrieve(
     index: RetrievalIndex, questions: DataFrame, scorer: Callable[[Column, Column], Column] = term_coverage
 ) -> Retrieval:
-    """Both searches, fusion and reranking, all of them with the expanded questions.
-
-    The two hit lists have several readers and are stored; they hold a few rows per question.
-    """
-    asked = materialize(expand_query(questions), "questions")
-    query_vectors = embed(asked, "text", index.load_embedder)
-    nearest = vector_topk(index.chunks, query_vectors, CHUNK_KEYS, SEARCH_DEPTH)
-    vector_hits = materialize(with_chunk_id(nearest), "vector_hits")
-    keyword_hits = materialize(bm25_topk(index.keywords, asked, SEARCH_DEPTH), "keyword_hits")
-    fused = materialize(rrf_fusion(vector_hits, keyword_hits, top_k=FUSED_DEPTH), "fused_hits")
-    reranked = rerank_topk(with_texts(fused, index.chunks, asked), scorer)
-    return Retrieval(vector_hits, keyword_hits, fused, materialize(reranked, "reranked_hits"))
+    """Both searches, fusion and reranking, all of them with the expanded questions."""
+    return Retrieval(index, questions, scorer)
 
 
 def answer_questions(index: RetrievalIndex, questions: DataFrame) -> DataFrame:

@@ -12,7 +12,8 @@ from tallyweir.operators.search import BLOCK_CELLS, flat_list, search_top_k
 
 def _matrix(table, column: str = "embedding") -> np.ndarray:
     items, lengths = flat_list(table.column(column))
-    return items.to_numpy(zero_copy_only=False).astype(float).reshape(len(lengths), -1)
+    width = int(lengths[0]) if len(lengths) else 0
+    return items.to_numpy(zero_copy_only=False).astype(float).reshape(len(lengths), width)
 
 
 def distance_scorer():
@@ -27,6 +28,9 @@ def distance_scorer():
             vectors = _matrix(batch)
             for start in range(0, len(vectors), step):
                 block = vectors[start : start + step]
+                if not len(wanted):
+                    yield start, np.zeros((len(block), 0))
+                    continue
                 product = block @ wanted.T
                 yield start, 2 * product - (block * block).sum(axis=1)[:, None] - wanted_norm
 
@@ -37,10 +41,11 @@ def distance_scorer():
 
 def vector_topk(vectors: DataFrame, queries: DataFrame, keys: list[str], k: int = 15, **limits) -> DataFrame:
     """(query_id, *keys, distance, rank) of the ``k`` nearest rows of ``vectors`` (keys, embedding) to
-    each row of ``queries`` (query_id, embedding); all vectors need the same length."""
+    each row of ``queries`` (query_id, embedding); all vectors need the same length. Rows without a
+    vector, on either side, have no distance and take no part."""
     hits = search_top_k(
-        vectors.select(*keys, "embedding"),
-        queries.select("query_id", "embedding"),
+        vectors.select(*keys, "embedding").filter("embedding IS NOT NULL"),
+        queries.select("query_id", "embedding").filter("embedding IS NOT NULL"),
         keys,
         distance_scorer(),
         k,

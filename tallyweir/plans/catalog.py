@@ -109,7 +109,7 @@ def schema_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     leaves a column out, which is filled with NULL."""
     path = scratch_path(spark, "guarded")
     silver = _stored_silver(spark, sf_dir)
-    fitting = silver.withColumn("line_revenue", F.col("line_revenue").cast("double")).drop("CustomerID")
+    fitting = silver.drop("CustomerID")
     refused = "nothing"
     try:
         sinks.append_table(fitting.withColumn("discount", F.lit(99.9)), path, SILVER)
@@ -178,20 +178,12 @@ def landing_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Units and invoices per product after landed records were folded into silver as a stream."""
+    """The silver table after landed records were folded into it as a stream."""
     root = scratch_path(spark, "stream_merge")
     contract_valid(spark, sf_dir).write.json(f"{root}/landing")
     stream = spark.readStream.schema(LANDING).json(f"{root}/landing")
     merge_stream(stream, f"{root}/silver", f"{root}/non_product", f"{root}/checkpoint").awaitTermination()
-    return _units(sinks.read_snapshot(spark, f"{root}/silver"))
-
-
-def _units(silver: DataFrame) -> DataFrame:
-    return silver.groupBy("StockCode").agg(
-        F.sum("Quantity").alias("units"),
-        F.countDistinct("InvoiceNo").alias("invoices"),
-        F.count_if("is_cancellation").alias("cancelled"),
-    )
+    return _shown_silver(sinks.read_snapshot(spark, f"{root}/silver"))
 
 
 def layered_run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -200,8 +192,7 @@ def layered_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     sinks.write_messages(inputs.raw_messages(spark, sf_dir), f"{root}/messages")
     layers = Layers(f"{root}/lake")
     run_increment(spark, f"{root}/messages", layers, runlog.RunLog(spark, f"{root}/events"))
-    gold = sinks.read_snapshot(spark, layers.path("gold"))
-    return gold.select("StockCode", "Description", "total_quantity", "num_invoices", "total_products")
+    return sinks.read_snapshot(spark, layers.path("gold"))
 
 
 # Tabular core

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallyweir.operators.documents import chunk_sentences, product_documents
 from tallyweir.operators.medallion import append_audit, rank_products, silver_increment
-from tallyweir.operators.quality import BRONZE_SUITE, SILVER_SUITE, enforce, run_expectations
+from tallyweir.operators.quality import BRONZE_SUITE, SILVER_SUITE, Suite, enforce, run_expectations
 from tallyweir.operators.runlog import RunLog
 from tallyweir.schemas import GRAIN_KEYS, LANDING, MERGE_COUNTS
 from tallyweir.session import materialize
@@ -32,6 +32,13 @@ class Layers:
         return f"{self.root}/{name}"
 
 
+def _judge(table: DataFrame, suite: Suite, layers: Layers, batch_id: int) -> None:
+    """Store the gate's results, then stop the run if an expectation failed."""
+    results = materialize(run_expectations(table, suite), "gate")
+    results.write.mode("overwrite").parquet(f"{layers.path('gates')}/suite_name={suite.name}/batch_id={batch_id}")
+    enforce(results)
+
+
 def _merge_landed(spark: SparkSession, layers: Layers, log: RunLog) -> list[tuple]:
     """Merge all landed files that are new since the last call, as one increment; returns the counts."""
     counts: list[tuple] = []
@@ -39,13 +46,15 @@ def _merge_landed(spark: SparkSession, layers: Layers, log: RunLog) -> list[tupl
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         try:
-            # A replayed batch replaces its own folders, so the audit table never holds a row twice.
-            with log.stage("audit"):
-                bronze = layers.path("bronze")
-                append_audit(batch).write.mode("overwrite").parquet(f"{bronze}/batch_id={batch_id}")
-                increment = batch.sparkSession.read.schema(LANDING).parquet(f"{bronze}/batch_id={batch_id}")
+            # The increment is judged before it becomes part of the audit table. A replayed batch replaces its
+            # own folders, so no table ever holds a row twice.
+            staged = materialize(append_audit(batch), "staged")
             with log.stage("gate_bronze"):
-                enforce(run_expectations(spark.read.parquet(bronze), BRONZE_SUITE))
+                _judge(staged, BRONZE_SUITE, layers, batch_id)
+            with log.stage("audit"):
+                bronze = f"{layers.path('bronze')}/batch_id={batch_id}"
+                staged.write.mode("overwrite").parquet(bronze)
+                increment = batch.sparkSession.read.schema(LANDING).parquet(bronze)
             with log.stage("silver"):
                 grain, others = silver_increment(increment)
                 others.write.mode("overwrite").parquet(f"{layers.path('non_product')}/batch_id={batch_id}")
@@ -53,7 +62,7 @@ def _merge_landed(spark: SparkSession, layers: Layers, log: RunLog) -> list[tupl
                     grain,
                     layers.path("silver"),
                     GRAIN_KEYS,
-                    gate=lambda table: enforce(run_expectations(table, SILVER_SUITE)),
+                    gate=lambda table: _judge(table, SILVER_SUITE, layers, batch_id),
                 )
                 stored = materialize(merged, "merge_counts")
                 stored.write.mode("overwrite").json(f"{layers.path('merge_metrics')}/batch_id={batch_id}")

@@ -62,6 +62,7 @@ SELECT InvoiceNo, StockCode, Description, CAST(Quantity AS VARCHAR) AS Quantity,
 
 
 def _grain(lines: str) -> str:
+    """Rows per invoice and product; prices are exact decimals, also where messages hold them as numbers."""
     return f"""
 SELECT InvoiceNo, StockCode, CAST(SUM(Quantity) AS BIGINT) AS Quantity,
   SUM(Quantity * UnitPrice) AS line_revenue,
@@ -71,7 +72,8 @@ SELECT InvoiceNo, StockCode, CAST(SUM(Quantity) AS BIGINT) AS Quantity,
   CASE WHEN SUM(Quantity) <> 0 THEN CAST(SUM(Quantity * UnitPrice) AS DOUBLE) / CAST(SUM(Quantity) AS BIGINT)
        ELSE CAST(MIN(UnitPrice) AS DOUBLE) END AS UnitPrice,
   FALSE AS _injected
-FROM (SELECT DISTINCT {_BUSINESS} FROM {lines})
+FROM (SELECT DISTINCT * REPLACE (CAST(UnitPrice AS DECIMAL(18,4)) AS UnitPrice)
+      FROM (SELECT DISTINCT {_BUSINESS} FROM {lines}))
 WHERE regexp_matches(StockCode, '^[0-9]{{5}}[A-Za-z]?$')
 GROUP BY InvoiceNo, StockCode
 """
@@ -83,26 +85,32 @@ _SHOW_SILVER = f"""InvoiceNo, StockCode, Quantity, CAST(line_revenue AS DOUBLE)
   strftime(invoice_ts, '%Y-%m-%d %H:%M:%S') AS invoice_ts, Description, CustomerID, Country,
   is_cancellation, {_six("UnitPrice")} AS UnitPrice, _injected"""
 
-_TABLES["sales"] = "SELECT * FROM grain WHERE NOT is_cancellation AND NOT _injected"
 
-_TABLES["top3"] = """
+def _product_tables(prefix: str, grain: str) -> None:
+    """Table expressions from a silver table to the ranked product table."""
+    p = prefix
+    _TABLES[f"{p}sales"] = f"SELECT * FROM {grain} WHERE NOT is_cancellation AND NOT _injected"
+    _TABLES[f"{p}top3"] = f"""
 SELECT StockCode, string_agg(Country, ', ' ORDER BY rn) AS top_countries
 FROM (SELECT StockCode, Country,
         row_number() OVER (PARTITION BY StockCode ORDER BY SUM(line_revenue) DESC, Country) AS rn
-      FROM sales GROUP BY StockCode, Country)
+      FROM {p}sales GROUP BY StockCode, Country)
 WHERE rn <= 3 GROUP BY StockCode
 """
-
-_TABLES["gold"] = """
+    _TABLES[f"{p}gold"] = f"""
 SELECT StockCode, Description, total_quantity, total_revenue, num_invoices, top_countries,
   CAST(row_number() OVER (ORDER BY total_revenue DESC, StockCode) AS INTEGER) AS revenue_rank,
   CAST(COUNT(*) OVER () AS INTEGER) AS total_products
 FROM (SELECT StockCode, MIN(Description) AS Description, CAST(SUM(Quantity) AS BIGINT) AS total_quantity,
         CAST(round(SUM(line_revenue), 2) AS DOUBLE) AS total_revenue,
         COUNT(DISTINCT InvoiceNo) AS num_invoices
-      FROM sales GROUP BY StockCode) LEFT JOIN top3 USING (StockCode)
+      FROM {p}sales GROUP BY StockCode) LEFT JOIN {p}top3 USING (StockCode)
 """
 
+
+_product_tables("", "grain")
+_product_tables("accepted_", "accepted_grain")
+
 # Messages and contract
 
 _TABLES["messages"] = r"""
@@ -178,15 +186,7 @@ _REJECTS = (
     "FROM checked WHERE reason IS NOT NULL"
 )
 
-_TABLES["accepted_lines"] = r"""
-SELECT DISTINCT InvoiceNo, StockCode, Description, Quantity, InvoiceDate, UnitPrice, CustomerID, Country
-FROM accepted WHERE regexp_matches(StockCode, '^[0-9]{5}[A-Za-z]?$')
-"""
-_TABLES["accepted_grain"] = """
-SELECT InvoiceNo, StockCode, CAST(SUM(Quantity) AS BIGINT) AS Quantity, MIN(Description) AS Description,
-  bool_or(Quantity < 0 OR starts_with(upper(InvoiceNo), 'C')) AS is_cancellation
-FROM accepted_lines GROUP BY InvoiceNo, StockCode
-"""
+_TABLES["accepted_grain"] = _grain("accepted").replace("strptime(InvoiceDate,", "strptime(regexp_replace(trim(InvoiceDate), '\\s+', ' ', 'g'),")
 
 # Increments
 
@@ -314,7 +314,7 @@ SELECT StockCode AS doc_id, {_strip("name")} AS title,
            || 'highest-revenue product in the entire catalog.'
          WHEN revenue_rank <= 10 THEN 'It is one of the top 10 best-selling products by revenue (number '
            || revenue_rank || ').' END) AS text
-FROM (SELECT *, coalesce(nullif(Description, ''), StockCode) AS name FROM gold) WHERE revenue_rank <= 1000
+FROM (SELECT *, coalesce(nullif(Description, ''), StockCode) AS name FROM gold)
 """
 
 _TABLES["catalog_questions"] = """
@@ -380,7 +380,8 @@ GROUP BY query_id, doc_id, pos
     _TABLES[f"{p}bm25"] = f"""
 SELECT *, printf('%s_chunk_%03d', doc_id, pos) AS chunk_id FROM (
   SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id, pos) - 1 AS INTEGER) AS rank
-  FROM {p}bm25_all WHERE score > 0)
+  FROM (SELECT q.query_id, c.doc_id, c.pos, coalesce(score, 0) AS score
+        FROM {p}asked q CROSS JOIN {p}chunks c LEFT JOIN {p}bm25_all USING (query_id, doc_id, pos)))
 WHERE rank < 15
 """
 
@@ -493,13 +494,8 @@ def oracle_sql() -> dict[str, str]:
         "stream_ingest": accepted,
         "dlq_read": _REJECTS,
         "landing_scan": accepted,
-        "stream_merge": "SELECT StockCode, CAST(SUM(Quantity) AS BIGINT) AS units, "
-        "COUNT(DISTINCT InvoiceNo) AS invoices, COUNT(*) FILTER (WHERE is_cancellation) AS cancelled "
-        "FROM accepted_grain GROUP BY StockCode",
-        "layered_run": "SELECT StockCode, MIN(Description) AS Description, "
-        "CAST(SUM(Quantity) AS BIGINT) AS total_quantity, COUNT(DISTINCT InvoiceNo) AS num_invoices, "
-        "CAST(COUNT(*) OVER () AS INTEGER) AS total_products "
-        "FROM accepted_grain WHERE NOT is_cancellation GROUP BY StockCode",
+        "stream_merge": f"SELECT {_SHOW_SILVER} FROM accepted_grain",
+        "layered_run": "SELECT * FROM accepted_gold",
         "dedup_business_cols": f"SELECT {shown_lines} FROM (SELECT DISTINCT {_BUSINESS} FROM retail_lines)",
         "route_non_product": "SELECT line_id, InvoiceNo, StockCode, Description, Quantity, Country "
         "FROM retail_lines WHERE NOT regexp_matches(StockCode, '^[0-9]{5}[A-Za-z]?$')",

@@ -3,6 +3,7 @@
 from pyspark.sql.types import (
     ArrayType,
     BooleanType,
+    DecimalType,
     DoubleType,
     IntegerType,
     LongType,
@@ -59,12 +60,15 @@ DEAD_LETTER = StructType(
     ]
 )
 
+#: Sums of revenue are exact, so that they do not depend on the order in which tasks finish.
+REVENUE = "decimal(38,8)"
+
 SILVER = StructType(
     [
         StructField("InvoiceNo", StringType()),
         StructField("StockCode", StringType()),
         StructField("Quantity", LongType()),
-        StructField("line_revenue", DoubleType()),
+        StructField("line_revenue", DecimalType(38, 8)),
         StructField("invoice_ts", TimestampType()),
         StructField("Description", StringType()),
         StructField("CustomerID", StringType()),

@@ -1,7 +1,12 @@
-"""Table sinks: schema-checked append, overwrite, and published snapshots for keyed upserts."""
+"""Table sinks: schema-checked append, and published snapshots for keyed upserts.
+
+A snapshot table has one writer at a time. The marker that publishes a version holds its schema, so that a version
+without rows can be read, and versions beyond the last ``KEPT_VERSIONS`` are removed when a new one is published.
+"""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +17,7 @@ from tallyweir.operators.merge import ACTION, conform, merge_into_delta, merge_m
 from tallyweir.session import materialize
 
 PUBLISHED = "_PUBLISHED"
+KEPT_VERSIONS = 3  # the newest one and those that long readers may still be on
 
 
 def append_table(df: DataFrame, path: str, declared: StructType | None = None, fmt: str = "parquet") -> None:
@@ -19,10 +25,6 @@ def append_table(df: DataFrame, path: str, declared: StructType | None = None, f
     (conform(df, declared) if declared is not None else df).write.format(fmt).mode("append").save(path)
 
 
-def overwrite_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    df.write.format(fmt).mode("overwrite").save(path)
-
-
 def write_documents(docs: DataFrame, path: str) -> None:
     """Documents as JSON lines, each task writing its own file."""
     docs.write.mode("overwrite").json(path)
@@ -38,25 +40,38 @@ def _file_system(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
 
 
-def latest_snapshot(spark: SparkSession, root: str) -> tuple[int, str] | None:
-    """(version, path) of the newest published snapshot under ``root``; None before the first."""
+def published_versions(spark: SparkSession, root: str) -> list[int]:
+    """The published versions under ``root``, oldest first."""
     fs, folder = _file_system(spark, root)
     if not fs.exists(folder):
-        return None
+        return []
     hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     folders = [status.getPath() for status in fs.listStatus(folder)]
-    published = [
+    return sorted(
         int(path.getName()[2:])
         for path in folders
         if path.getName().startswith("v=") and fs.exists(hadoop_path(path, PUBLISHED))
-    ]
-    return (max(published), f"{root}/v={max(published)}") if published else None
+    )
+
+
+def latest_snapshot(spark: SparkSession, root: str) -> tuple[int, str] | None:
+    """(version, path) of the newest published snapshot under ``root``; None before the first."""
+    published = published_versions(spark, root)
+    return (published[-1], f"{root}/v={published[-1]}") if published else None
 
 
 def read_snapshot(spark: SparkSession, root: str) -> DataFrame | None:
-    """The newest published version of a table, or None."""
+    """The newest published version of a table, or None. Its schema is the declared one, not read from files."""
     found = latest_snapshot(spark, root)
-    return spark.read.parquet(found[1]).drop(ACTION) if found else None
+    if not found:
+        return None
+    fs, marker = _file_system(spark, f"{found[1]}/{PUBLISHED}")
+    stream = fs.open(marker)
+    try:
+        schema = StructType.fromJson(json.loads(bytes(stream.readAllBytes())))
+    finally:
+        stream.close()
+    return spark.read.schema(schema).parquet(found[1]).drop(ACTION)
 
 
 def publish_snapshot(
@@ -68,7 +83,7 @@ def publish_snapshot(
     """Write ``df`` as the next version, let ``gate`` look at it, then mark it as published.
 
     A gate that raises leaves the version before in place, and so does a write that fails. Readers of
-    older versions are not disturbed. Returns the stored rows.
+    the last few older versions are not disturbed. Returns the stored rows.
     """
     spark = df.sparkSession
     found = latest_snapshot(spark, root)
@@ -79,7 +94,11 @@ def publish_snapshot(
     if gate is not None:
         gate(stored)
     fs, marker = _file_system(spark, f"{path}/{PUBLISHED}")
-    fs.create(marker, True).close()
+    out = fs.create(marker, True)
+    out.write(bytearray(df.schema.json().encode()))
+    out.close()
+    for version in published_versions(spark, root)[:-KEPT_VERSIONS]:
+        fs.delete(_file_system(spark, f"{root}/v={version}")[1], True)
     return stored
 
 

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -17,9 +17,9 @@ from tallyweir.operators.contract import (
 )
 from tallyweir.operators.medallion import silver_increment
 from tallyweir.schemas import GRAIN_KEYS, MESSAGE
+from tallyweir.session import materialize
 from tallyweir.sources.sinks import upsert_table
 
-
 FILES_PER_BATCH = 1000
 
 
@@ -52,25 +52,33 @@ def ingest_stream(
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        checked = apply_contract(batch, contract).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            for records, root in ((accepted_records(checked), landing), (rejected_records(checked), dead_letters)):
-                records.write.mode("overwrite").json(f"{root}/batch_id={batch_id}")
-        finally:
-            checked.unpersist()
+        checked = materialize(apply_contract(batch, contract), "checked")
+        for records, root in ((accepted_records(checked), landing), (rejected_records(checked), dead_letters)):
+            records.write.mode("overwrite").json(f"{root}/batch_id={batch_id}")
 
     return each_batch(messages, checkpoint, handle)
 
 
-def merge_stream(records: DataFrame, silver_root: str, side_root: str, checkpoint: str) -> StreamingQuery:
-    """Fold landed records into the keyed silver table, one merge per batch; non-product lines go to a
-    side folder. Both steps give the same result when a batch is replayed."""
+def merge_stream(
+    records: DataFrame, silver_root: str, side_root: str, checkpoint: str, increment: str | None = None
+) -> StreamingQuery:
+    """Fold landed records into the keyed silver table; rows set aside go to a side folder.
+
+    All batches of one ``increment`` count as one: its lines add up, however many batches bring them, and what
+    the increment holds of a key replaces what the table had. Without an id, every call is an increment of its
+    own. Its records are kept under ``side_root``, and each batch merges all of them that have arrived, so the
+    result depends neither on the batch size nor on a replay.
+    """
+    name = increment or uuid.uuid4().hex
+    arrived, aside = f"{side_root}/records/increment={name}", f"{side_root}/aside/increment={name}"
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        grain, others = silver_increment(batch)
-        others.write.mode("overwrite").parquet(f"{side_root}/batch_id={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{arrived}/batch_id={batch_id}")
+        whole = batch.sparkSession.read.schema(batch.schema).parquet(f"{arrived}/*")
+        grain, others = silver_increment(whole)
+        others.write.mode("overwrite").parquet(aside)
         upsert_table(grain, silver_root, GRAIN_KEYS)
 
     return each_batch(records, checkpoint, handle)

@@ -59,6 +59,8 @@ def test_product_documents(spark):
     assert docs["2"]["text"].endswith("by revenue (number 10).")
     assert docs["3"]["title"] == "X" and docs["3"]["text"].endswith("It ranks 11 out of 12 products by total revenue.")
     assert product_documents(gold, max_products=1).count() == 1
+    many = gold.limit(1).crossJoin(spark.range(1500)).withColumn("revenue_rank", F.col("id").cast("int") + 1).drop("id")
+    assert product_documents(many).count() == 1500
     rank_one = chunk_sentences(product_documents(gold, max_products=1)).orderBy("pos").collect()
     assert len(rank_one) == 7 and rank_one[-1]["chunk_id"] == "1_chunk_006"
 
@@ -125,31 +127,52 @@ GRID = {"query_limits": (0, 0, 0)}
 
 
 @pytest.mark.parametrize("limits", [{}, GRID], ids=["broadcast", "grid"])
-@pytest.mark.parametrize("pad", [False, True])
-def test_bm25_matches_brute_force(spark, monkeypatch, limits, pad):
+@pytest.mark.parametrize("only_positive", [False, True])
+def test_bm25_matches_brute_force(spark, monkeypatch, limits, only_positive):
     monkeypatch.setattr("tallyweir.operators.search.CELL_ROWS", 90)
     monkeypatch.setattr("tallyweir.operators.search.CELL_QUERIES", 2)
     docs = _corpus()
     chunks = spark.createDataFrame(docs, "doc_id string, pos int, text string").repartition(5)
     questions = spark.createDataFrame(QUESTIONS, "query_id int, text string")
     index = bm25.bm25_index(chunks)
-    hits = bm25.bm25_topk(index, questions, k=7, pad=pad, **limits)
+    hits = bm25.bm25_topk(index, questions, k=7, only_positive=only_positive, **limits)
     found = {}
     for r in hits.orderBy("query_id", "rank").collect():
         found.setdefault(r["query_id"], []).append((r["doc_id"], r["pos"], round(r["score"], 6)))
     for query_id, text in QUESTIONS:
         scores = [round(s + 1e-13, 9) for s in _okapi(docs, text)]
         order = sorted(range(len(docs)), key=lambda i: (-scores[i], docs[i][0], docs[i][1]))
-        want = [(docs[i][0], docs[i][1], round(scores[i], 6)) for i in order if pad or scores[i] > 0][:7]
+        want = [(docs[i][0], docs[i][1], round(scores[i], 6)) for i in order if not only_positive or scores[i] > 0][:7]
         assert found.get(query_id, []) == want, text
 
 
+def _joined_scores(index, questions):
+    """The relational form of the search: question terms joined to postings, one row per match."""
+    weights = bm25.question_weights(index, questions).filter("term IS NOT NULL")
+    tf, length = F.col("tf"), F.col("length")
+    gain = tf * (bm25.K1 + 1) / (tf + bm25.K1 * (1 - bm25.B + bm25.B * length / index.mean_length))
+    joined = index.postings().join(weights, "term")
+    return joined.groupBy("query_id", *bm25.CHUNK_KEYS).agg(F.sum(F.col("weight") * gain).alias("score"))
+
+
+def test_words_that_are_in_every_chunk_still_give_k_hits(spark):
+    """All weights are negative here, as the mean weight of the terms is."""
+    chunks = spark.createDataFrame([("a", 0, "x y"), ("b", 0, "x y y"), ("c", 0, "y x x")], "doc_id string, pos int, text string")
+    questions = spark.createDataFrame([(1, "x"), (2, "unknown")], "query_id int, text string")
+    index = bm25.bm25_index(chunks)
+    assert index.average_idf < 0
+    hits = bm25.bm25_topk(index, questions, k=3).collect()
+    assert sorted((h["query_id"], h["rank"]) for h in hits) == [(q, r) for q in (1, 2) for r in range(3)]
+    assert all(h["score"] < 0 for h in hits if h["query_id"] == 1)
+    assert bm25.bm25_topk(index, questions, k=3, only_positive=True).count() == 0
+
+
 def test_bm25_pieces_and_blocks_do_not_matter(spark, monkeypatch):
     docs = _corpus(150)
     chunks = spark.createDataFrame(docs, "doc_id string, pos int, text string")
     questions = spark.createDataFrame(QUESTIONS, "query_id int, text string")
     index = bm25.bm25_index(chunks)
-    whole = bm25.bm25_topk(index, questions, k=5, **GRID).orderBy("query_id", "rank").collect()
+    whole = bm25.bm25_topk(index, questions, k=5, only_positive=True, **GRID).orderBy("query_id", "rank").collect()
     score = bm25.bm25_scorer(index.mean_length)
     query_ids, scorer = score(bm25.question_weights(index, questions).toArrow())
     batch = index.chunks.orderBy("doc_id", "pos").toArrow().combine_chunks()
@@ -162,7 +185,7 @@ def test_bm25_pieces_and_blocks_do_not_matter(spark, monkeypatch):
     order = np.argsort(query_ids.to_numpy())
     again = np.vstack([s for _, s in pieces])
     assert np.allclose(np.sort(full[:, order], axis=1), np.sort(again, axis=1))
-    relational = {(r["query_id"], r["doc_id"], r["pos"]): r["score"] for r in bm25.bm25_scores(index, questions).collect()}
+    relational = {(r["query_id"], r["doc_id"], r["pos"]): r["score"] for r in _joined_scores(index, questions).collect()}
     for r in whole:
         assert relational[(r["query_id"], r["doc_id"], r["pos"])] == pytest.approx(r["score"])
 
@@ -184,6 +207,27 @@ def test_vector_search_matches_brute_force(spark, monkeypatch, limits):
         assert [r["vec_id"] for r in rows if r["query_id"] == q] == order
 
 
+def test_no_questions_and_no_vectors(spark):
+    vectors = spark.createDataFrame([(1, [1.0, 0.0]), (2, None), (3, [0.0, 1.0])], "vec_id int, embedding array<double>")
+    asked = spark.createDataFrame([(7, [1.0, 0.0]), (8, None)], "query_id int, embedding array<double>")
+    rows = vector_topk(vectors, asked, ["vec_id"], 5).collect()
+    assert sorted((r["query_id"], r["vec_id"], r["rank"]) for r in rows) == [(7, 1, 0), (7, 3, 1)]
+    assert vector_topk(vectors, asked.filter("false"), ["vec_id"], 5).count() == 0
+    assert vector_topk(vectors.filter("false"), asked, ["vec_id"], 5).count() == 0
+    words = spark.createDataFrame([("a", 0, "x")], "doc_id string, pos int, text string")
+    none = spark.createDataFrame([], "query_id int, text string")
+    assert bm25.bm25_topk(bm25.bm25_index(words), none).count() == 0
+    assert bm25.bm25_topk(bm25.bm25_index(words.filter("false")), none).count() == 0
+
+
+def test_stages_are_made_when_they_are_read(spark, monkeypatch):
+    index = retrieval.build_index(chunk_sentences(spark.createDataFrame([("7", "LAMP", "LAMP is red. It is big.")], DOC)))
+    questions = spark.createDataFrame([(1, "red lamp")], "query_id int, text string")
+    monkeypatch.setattr(retrieval, "rerank_topk", None)
+    found = retrieval.retrieve(index, questions)
+    assert found.fused.count() == 2 and "reranked" not in vars(found)
+
+
 def test_expansion(spark):
     texts = ["Which is the TOP product?", "the best", "#1?", "stop it", "Number One", "laptop"]
     df = spark.createDataFrame(list(enumerate(texts)), "query_id int, text string")

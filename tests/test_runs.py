@@ -75,6 +75,53 @@ def test_merge_stream_replaces_across_batches(spark, tmp_path):
     assert _rows(silver, "InvoiceNo", "StockCode", "Quantity", "line_revenue") == [("536000", "10000", 5, 10.0)]
 
 
+def test_the_batch_size_does_not_change_an_increment(spark, tmp_path):
+    """Lines of one key in several files add up within an increment, and replace the one before."""
+    found = []
+    for files_per_batch in (1, 100):
+        root = str(tmp_path / str(files_per_batch))
+        for day, quantities in enumerate(((3, 4), (5, 6, 7))):
+            landing = f"{root}/landing{day}"
+            for q in quantities:
+                record = _record("536000", "10000", q) | {"Quantity": q, "UnitPrice": 2.0, "Description": f"line {q}"}
+                row = tuple(record[c] for c in BUSINESS_COLUMNS) + (0, 0)
+                spark.createDataFrame([row], LANDING).coalesce(1).write.mode("append").json(landing)
+            stream = spark.readStream.schema(LANDING).option("maxFilesPerTrigger", files_per_batch).json(landing)
+            args = (f"{root}/silver", f"{root}/side", f"{root}/checkpoint{day}", f"day{day}")
+            merge_stream(stream, *args).awaitTermination()
+            found.append(_rows(sinks.read_snapshot(spark, args[0]), "Quantity", "line_revenue"))
+    assert found == [[(7, 14.0)], [(18, 36.0)]] * 2
+
+
+def test_odd_but_accepted_messages_do_not_stop_a_run(spark, tmp_path):
+    """A first increment without products, digits of other scripts, and totals beyond 64 bits."""
+    layers, log = layered.Layers(str(tmp_path / "lake")), runlog.RunLog(spark, str(tmp_path / "log"))
+    source = str(tmp_path / "in")
+    _send(spark, source, [_record("536000", "POST", 1)])
+    layered.run_increment(spark, source, layers, log)
+    assert sinks.read_snapshot(spark, layers.path("silver")).count() == 0
+    odd = [_record("\u0665\u0663\u0666\u0660\u0660", "10001", 1), _record("536001", "10001", 1, price="inf")]
+    odd += [_record("536002", "10001", 9 * 10**18), _record("536002", "10001", 9 * 10**18, price="3.00")]
+    _send(spark, source, odd + [_record("536003", "10001", 2)], 100)
+    layered.run_increment(spark, source, layers, log)
+    invoices = _rows(sinks.read_snapshot(spark, layers.path("silver")), "InvoiceNo")
+    assert invoices == [("536003",), ("\u0665\u0663\u0666\u0660\u0660",)]
+    aside = spark.read.parquet(layers.path("non_product"))
+    assert _rows(aside, "InvoiceNo") == [("536000",), ("536001",), ("536002",), ("536002",)]
+    gates = spark.read.parquet(layers.path("gates"))
+    assert gates.filter("success").count() == gates.count() == 2 * 5
+
+
+def test_a_refused_increment_is_not_in_the_audit_table(spark, tmp_path, monkeypatch):
+    layers, log = layered.Layers(str(tmp_path / "lake")), runlog.RunLog(spark, str(tmp_path / "log"))
+    monkeypatch.setattr(layered, "BRONZE_SUITE", quality.Suite("none", (quality.matches_regex("InvoiceNo", "^x$"),)))
+    _send(spark, str(tmp_path / "in"), [_record("536000", "10001", 1)])
+    with pytest.raises(quality.QualityGateError):
+        layered.run_increment(spark, str(tmp_path / "in"), layers, log)
+    assert not (tmp_path / "lake" / "bronze").exists()
+    assert spark.read.parquet(layers.path("gates")).first()["unexpected_count"] == 1
+
+
 def test_increments_go_through_all_layers(spark, tmp_path):
     layers, log = layered.Layers(str(tmp_path / "lake")), runlog.RunLog(spark, str(tmp_path / "log"), "manual__1")
     source = str(tmp_path / "in")
@@ -136,6 +183,10 @@ def test_snapshots(spark, tmp_path):
     assert sinks.read_snapshot(spark, root).count() == 3
     sinks.publish_snapshot(sinks.read_snapshot(spark, root).union(spark.range(1)), root)
     assert sinks.read_snapshot(spark, root).count() == 4
+    for n in range(5):
+        sinks.publish_snapshot(spark.range(n), root)
+    assert len(sinks.published_versions(spark, root)) == sinks.KEPT_VERSIONS
+    assert sinks.publish_snapshot(spark.range(0), root).count() == sinks.read_snapshot(spark, root).count() == 0
 
 
 def test_run_log_states(spark, tmp_path):

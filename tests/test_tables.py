@@ -54,6 +54,53 @@ def test_grain_rules(spark):
     assert grain.schema.names == [f.name for f in SILVER] or set(grain.columns) == set(SILVER.names)
 
 
+def test_totals_out_of_range_are_set_aside_and_stop_nothing(spark):
+    big, infinite = 9 * 10**18, float("inf")
+    lines = _lines(
+        spark,
+        [
+            ("1", "11111", "a", big, 1.0, "A"),
+            ("1", "11111", "b", big, 1.0, "A"),
+            ("2", "11111", "a", big, 1.0, "A"),
+            ("3", "11111", "a", big, 1.0, "A"),
+            ("4", "22222", "a", 1, infinite, "A"),
+            ("5", "22222", "a", 1, float("nan"), "A"),
+            ("6", "22222", "a", 1, 0.1, "A"),
+            ("7", "22222", "a", None, None, "A"),
+            ("8", "POST", "a", 1, 1.0, "A"),
+        ],
+    )
+    grain, aside = medallion.silver_increment(lines)
+    assert _rows(grain, "InvoiceNo") == [("2",), ("3",), ("6",), ("7",)]
+    reasons = [("1", medallion.OUT_OF_RANGE)] * 2 + [("4", medallion.OUT_OF_RANGE), ("5", medallion.OUT_OF_RANGE)]
+    assert _rows(aside, "InvoiceNo", "reason") == reasons + [("8", medallion.NOT_A_PRODUCT)]
+    gold = {r["StockCode"]: r["total_quantity"] for r in medallion.rank_products(grain).collect()}
+    assert gold == {"11111": None, "22222": 1}  # the sum of two accepted rows may exceed 64 bits, too
+
+
+def test_dedup_and_grain_share_one_shuffle(spark):
+    lines = _lines(spark, [("1", "11111", "a", 1, 1.0, "A")])
+    clustered = medallion.dedup_rows(lines, cluster_by=["InvoiceNo", "StockCode"])
+    timed = medallion.flag_cancellations(clustered).withColumn("invoice_ts", F.current_timestamp())
+    plan = medallion.roll_up(timed, medallion.grain_rule())._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_revenue_does_not_depend_on_the_order_of_rows(spark):
+    rows = [("1", "11111", f"d{i}", i % 7 + 1, 0.1 * i + 0.01, "A") for i in range(400)]
+    sums = set()
+    for parts in (1, 3, 7):
+        grain, _ = medallion.silver_increment(_lines(spark, rows).repartition(parts))
+        sums.add(grain.first()["line_revenue"])
+    assert len(sums) == 1
+
+
+def test_best_labels_of_any_columns(spark):
+    df = spark.createDataFrame([("g", "x", 1), ("g", "y", 2), ("g", "z", 2), ("h", "x", None)], "g string, l string, w int")
+    made = medallion.best_labels(df, ["g"], "l", F.sum("w"), 2, "best", "/")
+    assert _rows(made, "g", "best") == [("g", "y/z"), ("h", "x")]
+
+
 def test_products_are_ranked_with_their_best_countries(spark):
     rows = [("1", "11111", "one", 1, 5.0, c) for c in "A"] + [
         ("2", "11111", "one", 1, 7.0, "B"),
