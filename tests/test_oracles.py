@@ -10,6 +10,9 @@ from tallyweir.plans import catalog, oracles
 SF_DIR = Path("/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 
+#: Tested by recall instead.
+APPROXIMATE = {"vector_lists_topk"}
+
 pytestmark = pytest.mark.skipif(not SF_DIR.exists(), reason="test tables not present")
 
 
@@ -29,11 +32,11 @@ def _comparable(frame):
 
 
 def test_every_query_has_an_oracle():
-    assert set(catalog.queries()) == set(oracles.oracle_sql())
+    assert set(catalog.queries()) - set(oracles.oracle_sql()) == APPROXIMATE
     assert set(catalog.queries()) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", list(catalog.queries()))
+@pytest.mark.parametrize("name", sorted(oracles.oracle_sql()))
 def test_query_matches_sql(spark, duck, name):
     found = _comparable(entry.queries()[name](spark, str(SF_DIR)).toPandas())
     wanted = _comparable(duck.execute(entry.oracle_sql()[name]).df())

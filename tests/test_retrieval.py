@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyweir.functions.vectors import embed, hashing_embedder
-from tallyweir.operators import bm25, retrieval
+from tallyweir.operators import bm25, lists, retrieval
 from tallyweir.operators.documents import chunk_sentences, chunks_per_document, product_documents
 from tallyweir.operators.vector import vector_topk
 
@@ -207,6 +207,27 @@ def test_vector_search_matches_brute_force(spark, monkeypatch, limits):
         assert [r["vec_id"] for r in rows if r["query_id"] == q] == order
 
 
+def test_lists_find_nine_in_ten_of_the_nearest(spark):
+    vectors = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    asked = vectors.filter("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
+    index = lists.build_lists(vectors, ["vec_id"])
+    found = lists.lists_topk(index, asked, 15)
+    assert index.vectors.count() == vectors.count() and len(index.centroids) > lists.PROBES
+    assert lists.recall(found, vector_topk(vectors, asked, ["vec_id"], 15), ["vec_id"]) >= 0.9
+
+
+def test_all_lists_give_the_exact_result(spark):
+    rng = np.random.default_rng(11)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(300, 5)))] + [(900, None)]
+    vectors = spark.createDataFrame(rows, "vec_id int, embedding array<double>")
+    asked = spark.createDataFrame([(i, rows[i * 7][1]) for i in range(9)] + [(99, None)], "query_id int, embedding array<double>")
+    index = lists.build_lists(vectors, ["vec_id"], n_lists=6, sample_rows=100)
+    exact = vector_topk(vectors, asked, ["vec_id"], 10)
+    assert lists.recall(lists.lists_topk(index, asked, 10, probes=6), exact, ["vec_id"]) == 1
+    assert lists.lists_topk(lists.build_lists(vectors.filter("false"), ["vec_id"]), asked).count() == 0
+    assert lists.lists_topk(index, asked.filter("false")).count() == 0
+
+
 def test_no_questions_and_no_vectors(spark):
     vectors = spark.createDataFrame([(1, [1.0, 0.0]), (2, None), (3, [0.0, 1.0])], "vec_id int, embedding array<double>")
     asked = spark.createDataFrame([(7, [1.0, 0.0]), (8, None)], "query_id int, embedding array<double>")
