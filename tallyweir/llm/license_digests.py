@@ -20,12 +20,12 @@ from pyspark.sql import functions as F
 from tallyweir.llm.literals import literal_table
 from tallyweir.session import broadcast_if_small, materialize
 
-# Equivalent spellings, each pair as (pattern, replacement), applied in this order.
+# Equivalent spellings, each pair as (pattern, replacement), applied in this order to plain words.
 SPELLINGS = [
     ("licence", "license"),
     ("licencing", "licensing"),
-    ("sub[- ]license", "sublicense"),
-    ("non[- ]commercial", "noncommercial"),
+    ("sub license", "sublicense"),
+    ("non commercial", "noncommercial"),
     ("organisation", "organization"),
     ("favour", "favor"),
     ("behaviour", "behavior"),
@@ -34,7 +34,7 @@ SPELLINGS = [
     ("whilst", "while"),
     ("per ?cent", "percent"),
     ("copyright holders?", "copyright holder"),
-    ("https?://", " "),
+    ("https? ", ""),
 ]
 
 # Texts of licences and of the notices by which files refer to them.
@@ -100,17 +100,19 @@ KNOWN = [
     ("CC-BY-NC-ND-4.0", "Licensed under CC BY-NC-ND 4.0."),
 ]
 
-#: Lines that hold a copyright statement and nothing else.
-COPYRIGHT_LINE = r"(?:^|\n)[ \t]*(?:copyright|\(c\)|©)[^\n]*"
+#: Lines that begin with a copyright statement: the word with a mark or a year behind it, or a mark. A line of a
+#: wrapped text that happens to begin with the word is none.
+COPYRIGHT_LINE = r"(?:^|\n)[ \t]*(?:copyright[^\n]*(?:\(c\)|©|[0-9]{4})|\(c\)|©)[^\n]*"
 _MENTIONS = r"(?i)licen[cs]"
 
 
 def canonical(text: Column) -> Column:
     """The text in canonical form."""
     plain = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), COPYRIGHT_LINE, " ")
+    plain = F.trim(F.regexp_replace(plain, r"[^\p{L}\p{N}]+", " "))
     for pattern, spelling in SPELLINGS:
         plain = F.regexp_replace(plain, pattern, spelling)
-    return F.trim(F.regexp_replace(plain, r"[^\p{L}\p{N}]+", " "))
+    return plain
 
 
 def digest(text: Column) -> Column:
@@ -147,9 +149,10 @@ def scan_licenses(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
 
 def _duck_canonical(text: str) -> str:
     sql = f"regexp_replace(lower(coalesce({text}, '')), '{COPYRIGHT_LINE}', ' ', 'g')"
+    sql = rf"trim(regexp_replace({sql}, '[^\p{{L}}\p{{N}}]+', ' ', 'g'))"
     for pattern, spelling in SPELLINGS:
         sql = f"regexp_replace({sql}, '{pattern}', '{spelling}', 'g')"
-    return rf"trim(regexp_replace({sql}, '[^\p{{L}}\p{{N}}]+', ' ', 'g'))"
+    return sql
 
 
 def oracle_sql() -> str:

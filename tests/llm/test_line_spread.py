@@ -60,9 +60,9 @@ def test_many_sites_are_estimated_by_sketches(spark):
         F.concat(F.lit("s"), F.col("id")).alias("source"),
         F.lit(1).cast("long").alias("n_chars"),
     )
-    rows = line_spread.remove_boilerplate(docs, 100).filter("doc_id > 1").select("text").distinct().collect()
-    # digits are all alike, so the middle and last lines are boilerplate too
-    assert [r["text"] for r in rows] == [""]
+    rows = line_spread.remove_boilerplate(docs, 100).filter("doc_id > 99").groupBy("text").count().collect()
+    # digits are all alike, so the middle lines with three of them are boilerplate, too; one document keeps its own
+    assert sorted((r["text"], r["count"]) for r in rows) == [("", 499), ("own 100 word", 1)]
 
 
 def test_awkward_rows(spark):
