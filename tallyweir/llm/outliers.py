@@ -127,14 +127,15 @@ def with_base_counts(docs: DataFrame) -> DataFrame:
         F.expr(f"if(base_failed, null, cast(round({FIXED_POINT} * ({statistic})) as bigint))").alias(f"_q{i}")
         for i, (statistic, _) in enumerate(STATISTICS)
     ]
-    return judged.select(
-        *kept,
+    made = F.struct(
         *BASE,
         "base_failed",
         F.coalesce("lang", F.lit("")).alias("_lang"),
         F.coalesce("source", F.lit("")).alias("_source"),
         *vector,
     )
+    # a filter on the counts must not move below them: Spark would put all that they are made of into its condition
+    return judged.select(*kept, F.inline_outer(F.array(made)))
 
 
 def _floor(i: int) -> float:
