@@ -24,10 +24,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyweir.session import materialize
+from tallyweir.session import broadcast_if_small, materialize
 
 LIMIT = 4096
-COMMON = 1 << 18
+COMMON = 1 << 20
 COMMON_BYTES = 64
 MARK = "▁"
 
@@ -72,40 +72,47 @@ def count_pieces(pre_tokens: DataFrame, path: str) -> DataFrame:
     return pre_tokens.select("token", "uses").mapInArrow(run, "token string, uses long, pieces long")
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``text`` and ``key``: what tells rows of one id apart, zero where the id alone does.
+
+    Text hashes would be a good part of all that is shuffled, so only rows with a null or repeated id get one.
+    """
+    repeated = materialize(
+        docs.groupBy(F.col("doc_id").alias("_id")).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_id"),
+        "repeated-ids",
+    )
+    flagged = docs.select("doc_id", "text").join(
+        broadcast_if_small(repeated.withColumn("_twice", F.lit(True))), F.col("doc_id") == F.col("_id"), "left"
+    )
+    alone = F.col("_twice").isNull() & F.col("doc_id").isNotNull()
+    return flagged.select("doc_id", "text", F.when(alone, F.lit(0)).otherwise(F.xxhash64("text")).alias("key"))
+
+
 def token_counts(docs: DataFrame, path: str, limit: int = LIMIT, common: int = COMMON) -> DataFrame:
     """One row per document: ``doc_id``, ``n_bytes``, ``n_tokens`` and ``over_limit``."""
-    rows = docs.select("doc_id", "text").filter("text <> ''")
     # the outer form keeps Spark from splitting twice, for a filter on the number of pre-tokens; none is null
-    every = rows.select(F.explode_outer(F.expr(_PRE_TOKENS)).alias("token"))
+    every = docs.filter("text <> ''").select(F.explode_outer(F.expr(_PRE_TOKENS)).alias("token"))
     distinct = every.groupBy("token").agg(F.count(F.lit(1)).alias("uses"))
     counted = materialize(count_pieces(distinct, path), "pre-tokens")
 
     total = counted.agg(F.coalesce(F.sum("uses"), F.lit(0))).first()[0]
     frequent = counted.filter((F.octet_length("token") <= COMMON_BYTES) & (F.col("uses") * common > total))
     frequent = materialize(frequent.select("token", "pieces"), "common-pre-tokens")
-    keyed = rows.select("doc_id", F.xxhash64("text").alias("hash"), F.explode_outer(F.expr(_PRE_TOKENS)).alias("token"))
-    split = keyed.join(F.broadcast(frequent), "token", "left")
-    known = split.filter("pieces IS NOT NULL").select("doc_id", "hash", "pieces")
+    rows = _keyed(docs)
+    tokens = rows.filter("text <> ''").select("doc_id", "key", F.explode_outer(F.expr(_PRE_TOKENS)).alias("token"))
+    split = tokens.join(F.broadcast(frequent), "token", "left")
+    known = split.filter("pieces IS NOT NULL").select("doc_id", "key", "pieces")
     rare = counted.join(F.broadcast(frequent.select("token")), "token", "left_anti").select("token", "pieces")
-    looked_up = split.filter("pieces IS NULL").select("doc_id", "hash", "token").join(rare, "token")
-    sums = (
-        known.groupBy("doc_id", "hash")
-        .agg(F.sum("pieces").alias("pieces"))
-        .unionByName(looked_up.groupBy("doc_id", "hash").agg(F.sum("pieces").alias("pieces")))
-        .groupBy("doc_id", "hash")
-        .agg(F.sum("pieces").alias("pieces"))
-    )
-    sized = docs.select(
-        "doc_id",
-        F.xxhash64("text").alias("_hash"),
-        F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
+    looked_up = split.filter("pieces IS NULL").select("doc_id", "key", "token").join(rare, "token")
+    parts = known.groupBy("doc_id", "key").agg(F.sum("pieces").alias("pieces")).unionByName(
+        looked_up.groupBy("doc_id", "key").agg(F.sum("pieces").alias("pieces"))
     )
+    sums = parts.groupBy(F.col("doc_id").alias("_id"), F.col("key").alias("_key")).agg(F.sum("pieces").alias("pieces"))
     # equal rows have added up to one sum
-    copies = sized.groupBy("doc_id", "_hash").agg(F.max("n_bytes").alias("n_bytes"), F.count(F.lit(1)).alias("copies"))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("hash"))
-    joined = copies.join(sums.withColumnRenamed("doc_id", "_id"), same, "left")
-    tokens = F.coalesce(F.expr("pieces div copies"), F.lit(0).cast("long"))
-    whole = joined.select("doc_id", "n_bytes", tokens.alias("n_tokens"), "copies")
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    copies = rows.groupBy("doc_id", "key").agg(F.max(size).alias("n_bytes"), F.count(F.lit(1)).alias("copies"))
+    joined = copies.join(sums, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key")), "left")
+    n_tokens = F.coalesce(F.expr("pieces div copies"), F.lit(0).cast("long"))
+    whole = joined.select("doc_id", "n_bytes", n_tokens.alias("n_tokens"), "copies")
     repeated = whole.withColumn("_copy", F.explode(F.expr("sequence(1, cast(copies as int))")))
     return repeated.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
-
