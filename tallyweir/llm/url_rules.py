@@ -140,7 +140,8 @@ def judge_pages(pages: DataFrame, rules: DataFrame | None = None) -> DataFrame:
     keyed = ruled.withColumn("_url", open_)
     urls = materialize(keyed.select("_url").filter("_url is not null").distinct(), "open-urls")
     found = pattern_verdicts(urls, rule_table(pages.sparkSession) if rules is None else rules)
-    judged = keyed.join(found, "_url", "left")
+    # few URLs match a rule as a rule; then the pages stay where they are, and so does a URL that many share
+    judged = keyed.join(broadcast_if_small(materialize(found, "url-verdicts")), "_url", "left")
     return judged.select(
         "page_id",
         "host",
