@@ -1,8 +1,10 @@
-"""Approximate nearest neighbours by inverted lists, as a named alternative to the exact search.
+"""Nearest neighbours by inverted lists, as a named alternative to the scan of all vectors.
 
 Centroids are fitted on a bounded sample; every vector is put into the list of its nearest centroid. A question
 looks into the ``probes`` lists whose centroids are nearest to it, and what it finds there is ranked by exact
-distance. ``recall`` measures against the exact search how much of it is found.
+distance. It then goes on to every further list that can hold a vector as near as its k-th one, by the distance
+of the list's centroid less the list's radius; with fewer than k found, to all lists. The result is that of the exact
+search, whatever the number of lists; ``probes`` and the sample only decide how much is scanned.
 """
 
 from __future__ import annotations
@@ -27,18 +29,22 @@ SEED = 42
 
 @dataclass(frozen=True)
 class VectorLists:
-    """Stored vectors (keys, embedding, list) and the centroids of the lists, by list number."""
+    """Stored vectors (keys, embedding, list), and the centroids and radii of the lists, by list number."""
 
     vectors: DataFrame
     centroids: list[list[float]]
+    radii: list[float]
     keys: list[str]
 
 
-def squared_distance(a: Column, b: Column) -> Column:
-    total = F.aggregate(
+def _squares(a: Column, b: Column) -> Column:
+    return F.aggregate(
         F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda done, value: done + value
     )
-    return F.round(total, SCORE_DECIMALS)
+
+
+def squared_distance(a: Column, b: Column) -> Column:
+    return F.round(_squares(a, b), SCORE_DECIMALS)
 
 
 def build_lists(vectors: DataFrame, keys: list[str], n_lists: int | None = None, sample_rows: int = SAMPLE_ROWS) -> VectorLists:
@@ -50,7 +56,7 @@ def build_lists(vectors: DataFrame, keys: list[str], n_lists: int | None = None,
     whole = whole.filter("embedding IS NOT NULL")
     n = whole.count()
     if not n:
-        return VectorLists(whole.withColumn("list", F.lit(0)), [], keys)
+        return VectorLists(whole.withColumn("list", F.lit(0)), [], [], keys)
     share = min(1.0, sample_rows / n)
     sample = whole.filter(F.pmod(F.xxhash64(*keys), F.lit(1 << 40)) < int(share * (1 << 40)))
     featured = materialize(sample.select(array_to_vector("embedding").alias("features")), "list-sample")
@@ -59,28 +65,60 @@ def build_lists(vectors: DataFrame, keys: list[str], n_lists: int | None = None,
     placed = model.transform(whole.withColumn("features", array_to_vector("embedding")))
     stored = placed.select(*keys, "embedding", F.col("prediction").alias("list"))
     centroids = [list(map(float, c)) for c in model.clusterCenters()]
-    return VectorLists(materialize(stored, "lists"), centroids, keys)
+    lists = materialize(stored, "lists")
+    centre = F.array(*(F.array(*map(F.lit, c)) for c in centroids))[F.col("list")]
+    widest = lists.groupBy("list").agg(F.max(F.sqrt(_squares(F.col("embedding"), centre))).alias("radius"))
+    radii = {r["list"]: r["radius"] for r in widest.collect()}  # one number per list
+    return VectorLists(lists, centroids, [radii.get(i, 0.0) for i in range(len(centroids))], keys)
+
+
+def ordered_lists(embedding: Column, lists: VectorLists) -> Column:
+    """All lists as (d, list, least), the nearest centroid first; no vector of a list has a squared distance below ``least``."""
+    known = F.array(
+        *(
+            F.struct(F.lit(i).alias("list"), F.lit(r).alias("radius"), F.array(*map(F.lit, c)).alias("at"))
+            for i, (c, r) in enumerate(zip(lists.centroids, lists.radii))
+        )
+    )
 
+    def measured(c: Column) -> Column:
+        away = F.sqrt(_squares(embedding, c["at"]))
+        # less what rounding may have added; a distance that is no number rules nothing out
+        gap = F.nanvl(away - c["radius"] - (away + c["radius"]) * 1e-9, F.lit(0.0))
+        return F.struct(away.alias("d"), c["list"].alias("list"), F.pow(F.greatest(gap, F.lit(0.0)), 2).alias("least"))
 
-def nearest_lists(embedding: Column, centroids: list[list[float]], probes: int) -> Column:
-    """The numbers of the ``probes`` lists whose centroids are nearest."""
-    known = F.array(*(F.struct(F.lit(i).alias("list"), F.array(*map(F.lit, c)).alias("at")) for i, c in enumerate(centroids)))
-    measured = F.transform(known, lambda c: F.struct(squared_distance(embedding, c["at"]).alias("d"), c["list"].alias("list")))
-    return F.transform(F.slice(F.array_sort(measured), 1, probes), lambda c: c["list"])
+    return F.array_sort(F.transform(known, measured))
 
 
 def lists_topk(lists: VectorLists, queries: DataFrame, k: int = 15, probes: int = PROBES) -> DataFrame:
-    """(query_id, *keys, distance, rank) of the ``k`` nearest vectors in each question's lists.
+    """(query_id, *keys, distance, rank) of the ``k`` nearest vectors of all.
 
     The questions travel to the lists; a list that holds a third of all vectors stays spread as it is stored.
     """
     asked = queries.select("query_id", F.col("embedding").cast("array<double>").alias("wanted")).filter("wanted IS NOT NULL")
-    places = nearest_lists(F.col("wanted"), lists.centroids, probes) if lists.centroids else F.array(F.lit(0))
-    routed = materialize(asked.select("query_id", "wanted", F.explode(places).alias("list")), "routed-questions")
-    found = lists.vectors.join(broadcast_if_small(routed), "list")
-    scored = found.select("query_id", *lists.keys, squared_distance(F.col("embedding"), F.col("wanted")).alias("distance"))
     order = [F.asc("distance"), *(F.asc(key) for key in lists.keys)]
-    return top_n_per_group(scored, ["query_id"], order, k).withColumn("rank", F.col("rank") - 1)
+    if not lists.centroids:
+        none = asked.crossJoin(lists.vectors.filter("false"))
+        scored = none.select("query_id", *lists.keys, squared_distance(F.col("embedding"), F.col("wanted")).alias("distance"))
+        return top_n_per_group(scored, ["query_id"], order, k).withColumn("rank", F.col("rank") - 1)
+    placed = asked.select("query_id", "wanted", ordered_lists(F.col("wanted"), lists).alias("places"))
+    placed = materialize(placed, "placed-questions")
+
+    def best(routed: DataFrame, label: str) -> DataFrame:
+        found = lists.vectors.join(broadcast_if_small(materialize(routed, label)), "list")
+        return found.select("query_id", *lists.keys, squared_distance(F.col("embedding"), F.col("wanted")).alias("distance"))
+
+    near = best(placed.select("query_id", "wanted", F.explode(F.slice("places", 1, probes)["list"]).alias("list")), "first-lists")
+    first = materialize(top_n_per_group(near, ["query_id"], order, k).drop("rank"), "first-found")
+    full = first.groupBy("query_id").agg(F.max("distance").alias("bound"), F.count(F.lit(1)).alias("n")).filter(F.col("n") >= k)
+    bounded = placed.join(full.select(F.col("query_id").alias("_id"), "bound"), F.col("query_id").eqNullSafe(F.col("_id")), "left")
+    slack = F.lit(10.0**-SCORE_DECIMALS)
+    further = F.filter(
+        F.slice("places", probes + 1, len(lists.centroids)),
+        lambda p: F.col("bound").isNull() | (p["least"] <= F.col("bound") + slack),
+    )
+    rest = best(bounded.select("query_id", "wanted", F.explode(further["list"]).alias("list")), "further-lists")
+    return top_n_per_group(first.unionByName(rest), ["query_id"], order, k).withColumn("rank", F.col("rank") - 1)
 
 
 def recall(found: DataFrame, exact: DataFrame, keys: list[str]) -> float:

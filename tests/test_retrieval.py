@@ -228,6 +228,19 @@ def test_all_lists_give_the_exact_result(spark):
     assert lists.lists_topk(index, asked.filter("false")).count() == 0
 
 
+def test_few_probes_of_many_lists_give_the_exact_result(spark):
+    rng = np.random.default_rng(12)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(2500, 6)))]
+    vectors = spark.createDataFrame(rows, "vec_id int, embedding array<double>")
+    asked = spark.createDataFrame([(i, rows[i * 50][1]) for i in range(40)], "query_id int, embedding array<double>")
+    index = lists.build_lists(vectors, ["vec_id"], n_lists=1000)  # under three vectors a list
+    exact = vector_topk(vectors, asked, ["vec_id"], 15)
+    wanted = sorted((r["query_id"], r["rank"], r["vec_id"]) for r in exact.collect())
+    for probes in (1, 12):
+        found = lists.lists_topk(index, asked, 15, probes=probes)
+        assert sorted((r["query_id"], r["rank"], r["vec_id"]) for r in found.collect()) == wanted
+
+
 def test_no_questions_and_no_vectors(spark):
     vectors = spark.createDataFrame([(1, [1.0, 0.0]), (2, None), (3, [0.0, 1.0])], "vec_id int, embedding array<double>")
     asked = spark.createDataFrame([(7, [1.0, 0.0]), (8, None)], "query_id int, embedding array<double>")
