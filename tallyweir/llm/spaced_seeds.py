@@ -11,11 +11,13 @@ the benchmark's windows are broadcast in blocks of at most ``BLOCK_ROWS`` rows,
 each block, so that no window of a document is ever shuffled, and a passage that a third of all documents share
 stays spread as the documents are. Hits become one row per document, item, diagonal and task before they move.
 
-No passage is missed: wherever up to two of thirteen tokens are replaced, one of the two masks fits in between
-(``tests/llm`` tries all placements).
+No passage is missed: wherever up to two of thirteen tokens are replaced, one of the two masks fits in between, and
+the same holds for one of eleven or twelve. Shorter items have masks of their own: half an item of seven to ten tokens,
+of which one may be replaced, and the whole of a shorter one, of which none may (``tests/llm`` tries all lengths and
+placements). The documents are hashed only under the masks that some item has.
 
-Defined results: null and empty texts have no tokens and match nothing; items with fewer tokens than a mask's
-weight cannot match; an empty benchmark contaminates nothing; repeated rows are judged alike.
+Defined results: null and empty texts have no tokens and match nothing; an empty benchmark contaminates nothing;
+repeated rows are judged alike.
 """
 
 from __future__ import annotations
@@ -29,6 +31,8 @@ from tallyweir.session import broadcast_if_small, materialize
 
 #: Positions that count, within windows of consecutive tokens; "0" positions are ignored.
 MASKS = ["10101111", "111001101"]
+#: Items with fewer tokens have masks of their own.
+LONG = 11
 WINDOW = 13
 MAX_SUBSTITUTIONS = 2
 BLOCK_ROWS = 1_000_000
@@ -36,23 +40,30 @@ BLOCK_ROWS = 1_000_000
 _TOKENS = r"array_remove(split(lower({text}), '[^\\p{{L}}\\p{{N}}]+'), '')"
 
 
+def masks_of(size: int) -> list[str]:
+    """The masks for items of ``size`` tokens: wherever the allowed substitutions are, one of their windows is whole."""
+    if size >= LONG:
+        return MASKS
+    return ["1" * (size // 2 if size * MAX_SUBSTITUTIONS >= WINDOW else size)]
+
+
 def _hashes(tokens: str, mask: str) -> str:
     """The hashes of all windows of ``tokens`` under ``mask``, by their first position."""
     picked = ", ".join(f"{tokens}[i + {k}]" for k, bit in enumerate(mask) if bit == "1")
     return f"""if(size({tokens}) < {len(mask)}, cast(array() as array<bigint>), transform(
-        sequence(0, size({tokens}) - {len(mask)}), i -> xxhash64({MASKS.index(mask)}, {picked})))"""
+        sequence(0, size({tokens}) - {len(mask)}), i -> xxhash64({MASKS.index(mask) if mask in MASKS else -len(mask)}, {picked})))"""
 
 
-def _windows(texts: DataFrame, keys: list[str]) -> DataFrame:
+def _windows(texts: DataFrame, keys: list[str], masks: list[str]) -> DataFrame:
     """``keys``, ``at`` and ``hash`` of every masked window of ``texts`` (``keys`` and ``words``)."""
-    made = texts.select(*keys, *(F.expr(_hashes("words", m)).alias(f"_h{i}") for i, m in enumerate(MASKS)))
-    ends = [" + ".join(f"size(_h{k})" for k in range(i + 1)) for i in range(len(MASKS))]
+    made = texts.select(*keys, *(F.expr(_hashes("words", m)).alias(f"_h{i}") for i, m in enumerate(masks)))
+    ends = [" + ".join(f"size(_h{k})" for k in range(i + 1)) for i in range(len(masks))]
     joined = made.selectExpr(
-        *keys, f"concat({', '.join(f'_h{i}' for i in range(len(MASKS)))}) as _all", *(f"{e} as _e{i}" for i, e in enumerate(ends))
+        *keys, f"concat({', '.join(f'_h{i}' for i in range(len(masks)))}) as _all", *(f"{e} as _e{i}" for i, e in enumerate(ends))
     )
     # the outer form keeps Spark from making the array a second time, in a filter on its size below
-    placed = joined.select(*keys, *(f"_e{i}" for i in range(len(MASKS))), F.posexplode_outer("_all").alias("_i", "hash"))
-    at = "case " + " ".join(f"when _i < _e{i} then _i - {f'_e{i - 1}' if i else 0}" for i in range(len(MASKS))) + " end"
+    placed = joined.select(*keys, *(f"_e{i}" for i in range(len(masks))), F.posexplode_outer("_all").alias("_i", "hash"))
+    at = "case " + " ".join(f"when _i < _e{i} then _i - {f'_e{i - 1}' if i else 0}" for i in range(len(masks))) + " end"
     return placed.select(*keys, F.expr(at).alias("at"), "hash").filter("hash is not null")
 
 
@@ -88,10 +99,15 @@ def overlaps(docs: DataFrame, items: DataFrame, block_rows: int = BLOCK_ROWS) ->
     """
     benchmark = materialize(_tokens(items, "item_id").filter("size(words) > 0"), "benchmark")
     texts = benchmark.select(F.col("text_hash").alias("item_hash"), "words").dropDuplicates(["item_hash"])
-    seeds = materialize(_windows(texts, ["item_hash"]).withColumnRenamed("at", "q").distinct(), "seeds")
+    sizes = sorted(r[0] for r in texts.select(F.least(F.size("words"), F.lit(LONG))).distinct().collect())  # LONG at most
     words = _tokens(docs, "doc_id")
-    windows = _windows(words, ["doc_id", "text_hash"])
-    found = [windows.join(F.broadcast(block), "hash") for block in _blocks(seeds, block_rows)]
+    found = []
+    if sizes:
+        sized = [_windows(texts.filter(F.least(F.size("words"), F.lit(LONG)) == n), ["item_hash"], masks_of(n)) for n in sizes]
+        seeds = materialize(reduce(DataFrame.unionByName, sized).withColumnRenamed("at", "q").distinct(), "seeds")
+        masks = list(dict.fromkeys(mask for n in sizes for mask in masks_of(n)))
+        windows = _windows(words, ["doc_id", "text_hash"], masks)
+        found = [windows.join(F.broadcast(block), "hash") for block in _blocks(seeds, block_rows)]
     if not found:
         none = F.lit(None).cast(benchmark.schema["item_id"].dataType).alias("item_id")
         hashed = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), none)

@@ -72,3 +72,23 @@ def test_awkward_rows_and_empty_tables(spark):
     assert spaced_seeds.contaminated(empty(spark), items).count() == 0
     assert spaced_seeds.contaminated(table, none).count() == 0
     assert spaced_seeds.contaminated(empty(spark), none).columns == ["doc_id", "item_id", "matched", "compared"]
+
+
+def test_items_of_all_lengths_with_all_placements_of_the_allowed_substitutions(spark):
+    items, texts, expected = [], [], {}
+    for n in range(1, 16):
+        words = [f"w{n}x{k}" for k in range(n)]
+        items.append((n, " ".join(words)))
+        compared = min(n, spaced_seeds.WINDOW)
+        allowed = compared * spaced_seeds.MAX_SUBSTITUTIONS // spaced_seeds.WINDOW
+        for changes in range(allowed + 2):
+            for changed in combinations(range(n), changes) if n < 13 or changes <= allowed else []:
+                held = [f"y{k}" if k in changed else w for k, w in enumerate(words)]
+                best = max(sum(k not in changed for k in range(s, s + compared)) for s in range(n - compared + 1))
+                if best >= compared - allowed:
+                    expected[len(texts), n] = best
+                texts.append(" ".join(["before", *held, "after"]))
+    texts += [items[6][1].rsplit(" ", 1)[0], items[5][1].rsplit(" ", 1)[0], items[5][1]]  # cut at the end
+    expected |= {(len(texts) - 3, 7): 6, (len(texts) - 1, 6): 6}
+    made = spaced_seeds.contaminated(documents(spark, texts), spark.createDataFrame(items, ITEMS)).collect()
+    assert {(r["doc_id"], r["item_id"]): r["matched"] for r in made} == expected
