@@ -44,7 +44,7 @@ def ship_package(spark: SparkSession) -> None:
     root = Path(__file__).resolve().parent
     archive = Path(tempfile.mkdtemp(prefix="tallyweir-zip-")) / "tallyweir.zip"
     with zipfile.ZipFile(archive, "w") as out:
-        for source in sorted(root.rglob("*.py")):
+        for source in sorted([*root.rglob("*.py"), *root.rglob("*.txt")]):
             out.write(source, source.relative_to(root.parent))
     spark.sparkContext.addPyFile(str(archive))
     _shipped.add(application)

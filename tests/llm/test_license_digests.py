@@ -1,3 +1,5 @@
+from pathlib import Path
+
 from tallyweir.llm import license_digests
 from tests.llm.common import awkward, clashing, documents, empty
 
@@ -35,3 +37,15 @@ def test_awkward_rows(spark):
     assert license_digests.scan_licenses(empty(spark)).count() == 0
     none = license_digests.known_digests(spark, [])
     assert license_digests.scan_licenses(documents(spark, [MIT]), none).first()["license"] is None
+
+
+def test_whole_texts_and_usual_notices_of_other_licenses(spark):
+    folder = Path("/usr/share/common-licenses")
+    names = {"Apache-2.0": "Apache-2.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-3": "LGPL-3.0", "MPL-2.0": "MPL-2.0"}
+    texts = [(folder / f).read_text() for f in names]
+    bsd = next(t for n, t in license_digests.KNOWN if n == "BSD-3-Clause" and "Neither the name" in t)
+    texts += [bsd.replace("\"", "``").upper(), "Copyright (c) 2020, Somebody\nAll of it.\nlicensed under the GNU GPL v2 or later"]
+    texts += ["  Released under the BSD 3-clause licence", "Licensed under the Apache License 2.0"]
+    rows = found(documents(spark, texts))
+    assert [rows[i][0] for i in range(6)] == [*names.values(), "BSD-3-Clause"]
+    assert [rows[i][1] for i in (6, 7, 8)] == ["GPL-2.0-or-later", "BSD-3-Clause", "Apache-2.0"]
