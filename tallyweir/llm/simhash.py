@@ -3,11 +3,10 @@
 1. Each text gets a fingerprint of ``bits`` bits: those set in over half of its shingles' hashes. The first 64
    hash bits are XXH64; longer fingerprints mix further ones from it.
 2. Equal fingerprints become one. The others are put into buckets by some of their bits, and only buckets are
-   compared. For a small radius the buckets are exact: two fingerprints that differ in at most ``radius`` bits agree
-   in two of ``radius + 2`` blocks of bits, so there is one bucket per pair of blocks and no link is missed. For a
-   large one, buckets are samples of so many bits that they hold about ``BUCKET`` fingerprints each, and there
-   are as many as it takes to miss a pair at the radius with a probability of at most ``MISSED``. A bucket beyond
-   ``TILE`` fingerprints is dealt out as pairs of tiles, each a task's work.
+   compared. The buckets are exact: two fingerprints that differ in at most ``radius`` bits agree in two of
+   ``radius + 2`` blocks of bits, so there is one bucket per pair of blocks and no link is missed. A bucket beyond
+   ``TILE`` fingerprints is dealt out as pairs of tiles, each a task's work; its comparisons, not its links, grow with
+   the square of its number of distinct fingerprints.
 3. Within a bucket, the fingerprints are stored as bit planes, 64 fingerprints to a word. One fingerprint is
    compared with 64 at a time: plane by plane, the differing bits are added into carry-save counters, and a
    block whose 64 distances have all passed the radius is abandoned. A bucket yields a star for each cluster
@@ -15,21 +14,18 @@
 4. The links form a graph of distinct fingerprints. Large-star and small-star rounds, each stored in the shared
    folder, contract it until every fingerprint points to the smallest one of its component.
 
-``keep_one_per_group`` decides on exact similarities instead: the Jaccard similarity of the sets of distinct five-word
-shingles, at least 0.8. Texts that share all ``BAND_ROWS`` minima of one of ``BANDS`` bands are candidates, which misses a
-pair at 0.8 with a probability of 3e-7 and closer ones with less. Candidates that hang together form a block, and within a
-block all pairs are compared exactly, in tiles of ``SET_TILE`` texts; pairs below 0.8 make no link. Only texts of
-blocks move, once for each pair of tiles of their block.
+``keep_one_per_group`` keeps one document of each such component.
 
 Defined results: null and empty texts and texts without words have fingerprint zero; fewer words than a shingle
 make one shingle; a null id can be linked but is never a component's id unless all its ids are null.
+Very long texts are hashed in blocks of shingles; repeated rows share a fingerprint; further columns are not read, and
+``keep_one_per_group`` hands them on whatever their names.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations
-from math import acos, ceil, log, pi
 
 import numpy as np
 import pyarrow as pa
@@ -44,18 +40,9 @@ RADIUS = 3
 BITS = 64
 SEED = 42
 TILE = 4096
-BUCKET = 512
-MISSED = 0.01
-NEAR_WORDS = 5
-#: Two sets are near if the shared part is at least 4 / 9 of their sizes' sum: a Jaccard similarity of 0.8.
-NEAR_SHARE = (4, 9)
-BANDS = 64
-BAND_ROWS = 7
-SET_TILE = 256
 
 _FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
 _CHUNK = 1 << 16
-_TURNS = np.random.default_rng(SEED).integers(0, 1 << 63, (2, BANDS * BAND_ROWS), dtype=np.uint64) | np.uint64(1)
 
 
 def _mixed(hashes: np.ndarray, bits: int) -> np.ndarray:
@@ -118,20 +105,12 @@ def with_fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS, bits: int = B
     ).mapInArrow(run, "doc_id long, text_hash long, fp binary")
 
 
-def bit_tables(radius: int, bits: int, n: int) -> list[list[int]]:
-    """The bits by which ``n`` fingerprints are put into buckets, one list per table."""
+def bit_tables(radius: int, bits: int) -> list[list[int]]:
+    """The bits by which fingerprints are put into buckets, one list per table; no link within ``radius`` is missed."""
+    if radius + 2 > bits:
+        raise ValueError("the radius leaves no blocks of bits to agree in")
     blocks = [range(round(i * bits / (radius + 2)), round((i + 1) * bits / (radius + 2))) for i in range(radius + 2)]
-    if radius <= bits // 16:
-        return [[*x, *y] for x, y in combinations(blocks, 2)]
-    picked = max(1, min(62, round(log(max(2, n / BUCKET), 2))))
-    tables = ceil(log(MISSED) / log(1 - (1 - radius / bits) ** picked))
-    random = np.random.default_rng(SEED)
-    return [sorted(random.choice(bits, picked, replace=False).tolist()) for _ in range(tables)]
-
-
-def distance_at(jaccard: float, bits: int) -> float:
-    """The expected number of differing bits at a Jaccard similarity."""
-    return bits * acos(2 * jaccard / (1 + jaccard)) / pi
+    return [[*x, *y] for x, y in combinations(blocks, 2)]
 
 
 def _words(column: pa.Array, bits: int) -> np.ndarray:
@@ -247,7 +226,7 @@ def _links(batches: Iterator[pa.RecordBatch], radius: int, bits: int) -> Iterato
 
 def close_pairs(prints: DataFrame, radius: int = RADIUS, bits: int = BITS, tile: int = TILE) -> DataFrame:
     """Links ``u``, ``v`` that connect the distinct fingerprints ``fp`` within ``radius``, as stars; ``prints`` should be stored."""
-    tables = bit_tables(radius, bits, prints.count())
+    tables = bit_tables(radius, bits)
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -347,128 +326,12 @@ def simhash_components(docs: DataFrame) -> DataFrame:
     return groups.select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
 
 
-def shingle_set(text: bytes, words: int = NEAR_WORDS) -> np.ndarray:
-    """The sorted distinct shingle hashes of a UTF-8 text."""
-    _, blocks = _shingle_hashes(text, words, _CHUNK)
-    return np.unique(np.concatenate([np.zeros(0, dtype=np.uint64), *blocks]))
-
-
-def _band_keys(shingles: np.ndarray) -> np.ndarray:
-    """One key per band: a hash of the band's number and of its ``BAND_ROWS`` minima. No shingles have no keys."""
-    if not len(shingles):
-        return np.zeros(0, dtype=np.int64)
-    least = np.full(BANDS * BAND_ROWS, _FULL)
-    for low in range(0, len(shingles), 64):  # so few that they stay in a core's cache
-        mixed = shingles[low : low + 64, None] ^ _TURNS[0]
-        mixed *= _TURNS[1]
-        np.minimum(least, mixed.min(axis=0), out=least)
-    rows = least.reshape(BANDS, BAND_ROWS)
-    return np.array([xxhash.xxh64_intdigest(r.tobytes(), k) for k, r in enumerate(rows)], dtype=np.uint64).view(np.int64)
-
-
-def with_sketches(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``text_hash``, ``node`` (a hash of the shingle set) and ``keys`` (of its bands) of every row."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = (shingle_set(t.as_py() or b"") for t in batch.column(2))
-            made = [(xxhash.xxh64_intdigest(s.tobytes(), SEED), _band_keys(s)) for s in sets]
-            nodes = pa.array(np.array([n for n, _ in made], dtype=np.uint64).view(np.int64))
-            keys = pa.array([k for _, k in made], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), nodes, keys], ["doc_id", "text_hash", "node", "keys"]
-            )
-
-    return docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), F.encode("text", "UTF-8")
-    ).mapInArrow(run, "doc_id long, text_hash long, node long, keys array<long>")
-
-
-def near_sets(sets: list[np.ndarray]) -> np.ndarray:
-    """For sorted distinct sets, the first row of each row's cluster: all pairs are compared, exactly."""
-    m = len(sets)
-    sizes = np.array([len(s) for s in sets], dtype=np.int64)
-    values = np.concatenate(sets)
-    order = np.argsort(values, kind="stable")
-    changed = np.concatenate(([True], values[order][1:] != values[order][:-1]))
-    column = np.cumsum(changed) - 1
-    several = np.bincount(column)[column] > 1  # what one set alone has is in no shared part
-    owner, column = np.repeat(np.arange(m), sizes)[order][several], column[several]
-    column = np.cumsum(np.concatenate(([0], column[1:] != column[:-1]))) if len(column) else column
-    shared = np.zeros((m, m), dtype=np.int64)
-    width = 8192
-    for low in range(0, int(column[-1]) + 1 if len(column) else 0, width):
-        a, b = np.searchsorted(column, [low, low + width])
-        held = np.zeros((m, int(column[b - 1]) - low + 1), dtype=np.float32)
-        held[owner[a:b], column[a:b] - low] = 1
-        shared += (held @ held.T).astype(np.int64)
-    part, whole = NEAR_SHARE
-    a, b = np.nonzero(np.triu(shared * whole >= part * (sizes[:, None] + sizes), 1))
-    return _merged(np.arange(m), b, a) if len(a) else np.arange(m)
-
-
-def _set_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Stars of near sets, from rows ``(block, low, high, node, text)`` that arrive sorted by the first three."""
-
-    def linked(nodes: list[int], sets: list[np.ndarray]) -> pa.RecordBatch:
-        labels = near_sets(sets)
-        away = np.flatnonzero(labels != np.arange(len(labels)))
-        at = np.array(nodes, dtype=np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(at[away]), pa.array(at[labels[away]])], ["u", "v"])
-
-    group, nodes, sets = None, [], []
-    for batch in batches:
-        for *key, node, text in zip(*(c.to_pylist() for c in batch.columns[:4]), batch.column(4)):
-            if key != group:
-                if len(nodes) > 1:
-                    yield linked(nodes, sets)
-                group, nodes, sets = key, [], []
-            nodes.append(node)
-            sets.append(shingle_set(text.as_py() or b""))
-    if len(nodes) > 1:
-        yield linked(nodes, sets)
-
-
-def near_set_roots(docs: DataFrame, sketches: DataFrame, tile: int = SET_TILE) -> DataFrame:
-    """``node`` and ``root`` of the shingle sets that have near ones; ``sketches`` (of ``docs``) should be stored."""
-    placed = sketches.select("node", F.explode("keys").alias("key"))
-    hubs = placed.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("_last")).filter("hub < _last")
-    hubs = materialize(hubs.select("key", "hub"), "band-hubs")
-    candidates = placed.join(broadcast_if_small(hubs), "key").filter("node <> hub").select(
-        F.col("node").alias("u"), F.col("hub").alias("v")
-    )
-    found = components(candidates)
-    blocks = found.selectExpr("u as node", "root as block").unionByName(
-        found.selectExpr("root as node", "root as block").distinct()
-    )
-    sizes = blocks.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / tile).alias("tiles"))
-    shown = sketches.groupBy("node").agg(F.min("text_hash").alias("text_hash"))  # one text for each set
-    wanted = materialize(shown.join(blocks, "node").join(sizes, "block"), "blocks")
-    texts = docs.select(F.xxhash64("text").alias("text_hash"), F.encode("text", "UTF-8").alias("text"))
-    members = texts.join(broadcast_if_small(wanted), "text_hash").dropDuplicates(["text_hash"])
-    own = members.withColumn("own", F.pmod(F.xxhash64("node"), F.col("tiles")))
-    dealt = own.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
-    keys = ["block", "low", "high"]
-    rows = dealt.select(
-        "block", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "node", "text"
-    )
-    links = rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_set_links, "u long, v long")
-    linked = components(links)
-    return linked.withColumnRenamed("u", "node").unionByName(
-        linked.select(F.col("root").alias("node"), "root").distinct()
-    )
-
-
-def keep_one_per_group(docs: DataFrame, tile: int = SET_TILE) -> DataFrame:
+def keep_one_per_group(docs: DataFrame, tile: int = TILE) -> DataFrame:
     """``docs`` with one row of each group: that of the smallest id (nulls last), then text hash; repeated rows once.
 
-    Groups are the components of the links between texts whose sets of distinct five-word shingles are equal or have
-    a Jaccard similarity of at least 0.8.
+    Groups are those of ``near_duplicate_groups`` at its own shingle length and radius, as in ``simhash_components``.
     """
-    sketches = materialize(with_sketches(docs.select("doc_id", "text")), "sketches")
-    roots = materialize(near_set_roots(docs.select("doc_id", "text"), sketches, tile), "near-sets")
-    groups = sketches.select("doc_id", "text_hash", "node").join(broadcast_if_small(roots), "node", "left")
-    groups = groups.withColumn("root", F.coalesce("root", "node"))
+    groups = near_duplicate_groups(docs.select("doc_id", "text"), tile=tile)
     rank = F.struct(F.col("doc_id").isNull().alias("a"), F.col("doc_id").alias("b"), F.col("text_hash").alias("c"))
     keepers = groups.groupBy("root").agg(F.min(rank).alias("_k")).select(F.col("_k.b").alias("_b"), F.col("_k.c").alias("_c"))
     packed = docs.select(

@@ -6,6 +6,7 @@ from tokenizers import Tokenizer
 
 from tallyweir.llm.catalog import tokenizer_path
 from tests.llm.common import awkward, clashing, sentence
+from tests.llm.test_simhash import brute_components, reference
 
 
 def test_every_stage_keeps_clean_documents_and_takes_effect(spark, tmp_path):
@@ -25,17 +26,20 @@ def test_every_stage_keeps_clean_documents_and_takes_effect(spark, tmp_path):
     docs.write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([(1, leak)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
 
-    ids, text = {}, {}
+    ids, texts = {}, {}
     current = spark.read.parquet(f"{tmp_path}/documents.parquet")
     for name, stage in corpus_pipeline.STAGES[:-1]:
         current = corpus_pipeline.materialize(stage(spark, current, str(tmp_path)), name)
         assert current.columns == docs.columns
-        ids[name] = {r["doc_id"] for r in current.collect()}
-    text = {r["doc_id"]: r["text"] for r in current.collect()}
+        texts[name] = {r["doc_id"]: r["text"] for r in current.collect()}
+        ids[name] = set(texts[name])
+    text = texts["decontamination"]
     everything = {r[0] for r in rows}
     assert ids["quality_rules"] == everything - {1000, 1004}
     assert ids["line_dedup"] == ids["quality_rules"]
-    assert ids["near_dedup"] == ids["line_dedup"] - {1001, 1002}
+    prints = [(i, reference(t)) for i, t in texts["line_dedup"].items()]
+    assert ids["near_dedup"] == {c for _, c in brute_components(prints, 3)}
+    assert 1001 not in ids["near_dedup"] and ids["near_dedup"] > set(range(60)) - {5, 6}
     assert ids["decontamination"] == ids["near_dedup"] - {1003}
     assert [i for i in range(8) if "Subscribe" in text[2000 + i]] == [0]
 
