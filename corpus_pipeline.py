@@ -25,7 +25,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays: five-word shingles, a similarity of 0.8."""
+    """One document of each group stays: fingerprints of three-word shingles that differ in at most 3 bits, and chains of them."""
     ship_package(spark)
     return simhash.keep_one_per_group(docs)
 
