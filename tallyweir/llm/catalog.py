@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from tallyweir.llm import (
     bpe_tree,
     cotraining,
+    divergence,
     license_digests,
     line_spread,
+    mixing,
     outliers,
     piece_counts,
     simhash,
@@ -76,6 +78,8 @@ _QUERIES: dict[str, Query] = {
     "op8_piece_counts": _documents(op8_piece_counts),
     "op9_license_digests": _documents(license_digests.scan_licenses),
     "op10_spaced_seeds": op10_spaced_seeds,
+    "op12_source_divergence": _documents(divergence.source_divergence),
+    "op13_block_mix": _documents(mixing.mix_report),
 }
 
 
@@ -97,4 +101,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_line_spread": LINE_SPREAD,
         "op9_license_digests": license_digests.oracle_sql(),
         "op10_spaced_seeds": SPACED_SEEDS,
+        "op12_source_divergence": divergence.ORACLE_SQL,
     }
