@@ -15,6 +15,7 @@ from tallyweir.llm import (
     mixing,
     outliers,
     piece_counts,
+    prefix_trie,
     simhash,
     spaced_seeds,
     transcripts,
@@ -65,6 +66,10 @@ def op10_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spaced_seeds.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(_table(spark, sf_dir, "conversations"))
+
+
 _QUERIES: dict[str, Query] = {
     "op1_robust_outliers": _documents(outliers.quality_verdicts),
     "op2_transcript_roles": op2_transcript_roles,
@@ -78,6 +83,7 @@ _QUERIES: dict[str, Query] = {
     "op8_piece_counts": _documents(op8_piece_counts),
     "op9_license_digests": _documents(license_digests.scan_licenses),
     "op10_spaced_seeds": op10_spaced_seeds,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_source_divergence": _documents(divergence.source_divergence),
     "op13_block_mix": _documents(mixing.mix_report),
 }
@@ -101,5 +107,6 @@ def oracle_sql() -> dict[str, str]:
         "op5_line_spread": LINE_SPREAD,
         "op9_license_digests": license_digests.oracle_sql(),
         "op10_spaced_seeds": SPACED_SEEDS,
-        "op12_source_divergence": divergence.ORACLE_SQL,
+        "op11_prefix_trie": op11_prefix_trie,
+    "op12_source_divergence": divergence.ORACLE_SQL,
     }

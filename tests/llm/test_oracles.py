@@ -13,7 +13,7 @@ def test_query_equals_its_sql(spark, name):
     made = catalog.queries()[name](spark, SF_DIR)
     rows, columns = made.collect(), sorted(made.columns)
     with duckdb.connect() as db:
-        for table in ("documents", "pages", "benchmark"):
+        for table in ("documents", "pages", "benchmark", "conversations"):
             db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
         result = db.execute(catalog.oracle_sql()[name])
         names = [d[0] for d in result.description]
