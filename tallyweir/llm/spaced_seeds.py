@@ -36,6 +36,8 @@ LONG = 11
 WINDOW = 13
 MAX_SUBSTITUTIONS = 2
 BLOCK_ROWS = 1_000_000
+#: Items with fewer tokens ("Paris", "Yes.") are common words; they are reported, but no document goes for them.
+LEAST_REMOVED = 8
 
 _TOKENS = r"array_remove(split(lower({text}), '[^\\p{{L}}\\p{{N}}]+'), '')"
 
@@ -143,9 +145,9 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     )
 
 
-def remove_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """``docs`` without those that share a passage with the benchmark, with their own columns."""
-    found = overlaps(docs.select("doc_id", "text"), items).select(
+def remove_contaminated(docs: DataFrame, items: DataFrame, least_tokens: int = LEAST_REMOVED) -> DataFrame:
+    """``docs`` without those that share a passage with a benchmark item of ``least_tokens`` or more, with their own columns."""
+    found = overlaps(docs.select("doc_id", "text"), items).filter(F.col("compared") >= least_tokens).select(
         F.col("doc_id").alias("_b"), F.col("text_hash").alias("_c")
     )
     packed = docs.select(

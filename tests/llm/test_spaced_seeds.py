@@ -92,3 +92,12 @@ def test_items_of_all_lengths_with_all_placements_of_the_allowed_substitutions(s
     expected |= {(len(texts) - 3, 7): 6, (len(texts) - 1, 6): 6}
     made = spaced_seeds.contaminated(documents(spark, texts), spark.createDataFrame(items, ITEMS)).collect()
     assert {(r["doc_id"], r["item_id"]): r["matched"] for r in made} == expected
+
+
+def test_no_document_goes_for_a_word_that_is_a_whole_item(spark):
+    passage = sentence(50, spaced_seeds.LEAST_REMOVED)
+    docs = documents(spark, ["Paris is a town. Yes.", sentence(51, 40) + " " + passage + " end", sentence(52, 40)])
+    items = spark.createDataFrame([(1, "Paris"), (2, "Yes."), (3, passage)], "item_id long, text string")
+    assert {(r["doc_id"], r["item_id"]) for r in spaced_seeds.contaminated(docs, items).collect()} == {(0, 1), (0, 2), (1, 3)}
+    assert {r["doc_id"] for r in spaced_seeds.remove_contaminated(docs, items).collect()} == {0, 2}
+    assert {r["doc_id"] for r in spaced_seeds.remove_contaminated(docs, items, 1).collect()} == {2}
