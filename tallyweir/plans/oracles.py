@@ -543,6 +543,7 @@ def oracle_sql() -> dict[str, str]:
         "bm25_lengths": "SELECT doc_id, COUNT(DISTINCT pos) AS chunks, COUNT(*) AS postings, "
         "CAST(SUM(tf) AS BIGINT) AS tokens FROM b_postings GROUP BY doc_id",
         "bm25_topk": f"SELECT query_id, rank, chunk_id, doc_id, pos, {_six('score')} AS score FROM b_bm25",
+        "bm25_stored_topk": f"SELECT query_id, rank, chunk_id, doc_id, pos, {_six('score')} AS score FROM b_bm25",
         "vector_topk": f"""
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, {_six("distance")} AS distance FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) - 1 AS rank
