@@ -16,7 +16,7 @@ from tallyweir.plans import inputs
 from tallyweir.plans.layered import Layers, run_increment
 from tallyweir.schemas import BUSINESS_COLUMNS, GRAIN_KEYS, LANDING, SILVER
 from tallyweir.session import materialize, scratch_path, ship_package
-from tallyweir.sources import files, sinks, topics
+from tallyweir.sources import files, keyed, sinks, topics
 from tallyweir.streaming.ingest import ingest_stream, message_stream, merge_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -278,6 +278,15 @@ def silver_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown_silver(merge.merge_tagged(target, source, GRAIN_KEYS).drop(merge.ACTION))
 
 
+def bucket_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same merge into a stored table in hash buckets by invoice."""
+    target, source = _merge_sides(spark, sf_dir)
+    table = keyed.create_keyed(spark, scratch_path(spark, "keyed"), target.schema, GRAIN_KEYS, GRAIN_KEYS[:1])
+    table.upsert(target)
+    table.upsert(source)
+    return _shown_silver(table.read())
+
+
 def merge_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     target, source = _merge_sides(spark, sf_dir)
     return merge.merge_metrics(merge.merge_tagged(target, source, GRAIN_KEYS), source)
@@ -511,6 +520,7 @@ def queries() -> dict[str, Query]:
         "global_rank": global_rank_orders,
         "correction_batch": correction_batch,
         "silver_merge": silver_merge,
+        "bucket_merge": bucket_merge,
         "merge_metrics": merge_metrics,
         "inject_duplicates": inject_duplicates,
         "predicate_delete": predicate_delete,

@@ -511,6 +511,8 @@ def oracle_sql() -> dict[str, str]:
         "correction_batch": "SELECT * FROM second_batch",
         "silver_merge": f"SELECT {_SHOW_SILVER} FROM (SELECT * FROM second_grain UNION ALL BY NAME "
         f"SELECT * FROM first_grain t WHERE NOT EXISTS (SELECT 1 FROM second_grain s WHERE {_SAME_KEY}))",
+        "bucket_merge": f"SELECT {_SHOW_SILVER} FROM (SELECT * FROM second_grain UNION ALL BY NAME "
+        f"SELECT * FROM first_grain t WHERE NOT EXISTS (SELECT 1 FROM second_grain s WHERE {_SAME_KEY}))",
         "merge_metrics": "SELECT "
         f"(SELECT COUNT(*) FROM first_grain t WHERE EXISTS (SELECT 1 FROM second_grain s WHERE {_SAME_KEY})) "
         "AS target_rows_updated, "
