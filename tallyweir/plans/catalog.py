@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyweir.functions.retail import format_invoice_date
 from tallyweir.functions.vectors import embed, hashing_embedder
-from tallyweir.operators import bm25, changes, contract, documents, lists, medallion, merge, postings, quality, retrieval, runlog
+from tallyweir.operators import bm25, changes, contract, documents, hashed, lists, medallion, merge, postings, quality, retrieval, runlog
 from tallyweir.operators.rank import global_rank
 from tallyweir.operators.vector import vector_topk
 from tallyweir.plans import inputs
@@ -435,6 +435,15 @@ def vector_lists_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hits.select("query_id", "rank", "vec_id", _six("distance"))
 
 
+def vector_hashed_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The vectors nearest to every vector whose id is divisible by 20, by stored hash buckets: nine in ten of them or more."""
+    vectors = inputs.table(spark, sf_dir, "embeddings")
+    asked = vectors.filter("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
+    index = hashed.publish_hashed(vectors, ["vec_id"], scratch_path(spark, "hashed"), retrieval.SEARCH_DEPTH)
+    hits = hashed.hashed_topk(index, asked, retrieval.SEARCH_DEPTH)
+    return hits.select("query_id", "rank", "vec_id", _six("distance"))
+
+
 def expand_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     questions = inputs.catalog_questions(spark, sf_dir).unionByName(inputs.benchmark_questions(spark, sf_dir))
     return retrieval.expand_query(questions)
@@ -539,6 +548,7 @@ def queries() -> dict[str, Query]:
         "bm25_stored_topk": bm25_stored_topk,
         "vector_topk": vector_topk_query,
         "vector_lists_topk": vector_lists_topk,
+        "vector_hashed_topk": vector_hashed_topk,
         "expand_query": expand_query,
         "embed_chunks": embed_chunks,
         "rrf_fusion": rrf_fusion,

@@ -557,6 +557,14 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, {_six("distance")} AS di
                         unnest(range(1, len(embedding) + 1)) AS dim FROM embeddings)
                 GROUP BY label, dim) GROUP BY label) c))
 WHERE rank < 15
+""",
+        "vector_lists_topk": f"""
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, {_six("distance")} AS distance FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) - 1 AS rank
+  FROM (SELECT q.vec_id AS query_id, e.vec_id,
+               {_nine("power(list_distance(CAST(e.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])), 2)")} AS distance
+        FROM embeddings e CROSS JOIN (SELECT * FROM embeddings WHERE vec_id % 20 = 0) q))
+WHERE rank < 15
 """,
         "expand_query": _expanded("(SELECT * FROM catalog_questions UNION ALL SELECT * FROM plain_questions)"),
         "embed_chunks": f"""

@@ -11,7 +11,7 @@ SF_DIR = Path("/root/testdata/sf0.001")
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 
 #: Tested by recall instead.
-APPROXIMATE = {"vector_lists_topk"}
+APPROXIMATE = {"vector_hashed_topk"}
 
 pytestmark = pytest.mark.skipif(not SF_DIR.exists(), reason="test tables not present")
 
