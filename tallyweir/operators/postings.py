@@ -5,13 +5,17 @@ blocks and no row holds more than a block's. A stored row is one term in one blo
 frequency and the smallest length among them, which bound what the term can add to a chunk of the block, whatever
 the mean length of the corpus. Rows lie in folders by a hash of the term.
 
-A search first looks up the question's terms; only their folders are listed and only bounds are read. The sum of a question's
-bounds in a block is the most that a chunk of it can score. Then, in two rounds:
+A search first looks up the question's terms; only their folders are listed. Its terms are ranked by the most that each can add to
+any chunk. Then:
 
-1. The ``FIRST_BLOCKS`` blocks of the largest sums are scored. The k-th best score is the question's threshold.
-2. Of the other blocks, those whose sum is below the threshold are skipped; the rest are scored.
+1. The chunks of the ``FIRST_TERMS`` strongest terms are scored by these alone. The k-th best such score is a threshold that
+   the k best chunks reach.
+2. Terms so weak that all of them together, from some place in the ranking on, stay below the threshold are left out: a chunk
+   needs one of the others to be among the best. Nor are blocks read whose bound, with all that the weak terms could
+   add, stays below it. What is left gives a higher threshold, and the few chunks that can still reach that.
+3. Only those are scored in full, from their tokens.
 
-Scores are sums per question and chunk over the postings read, added up where they are joined. Results equal ``bm25_topk``.
+No step drops a chunk that could be among the best; results equal ``bm25_topk``.
 """
 
 from __future__ import annotations
@@ -20,7 +24,7 @@ import math
 from dataclasses import dataclass, replace
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyweir.functions.text import tokenize
@@ -31,7 +35,7 @@ from tallyweir.sources.sinks import publish_snapshot, read_snapshot
 
 BLOCK_CHUNKS = 1024
 TERM_BUCKETS = 64
-FIRST_BLOCKS = 4
+FIRST_TERMS = 3
 #: Scores are compared at nine decimals, so a bound must be lower than the threshold by more than that.
 SLACK = 1e-8
 
@@ -63,6 +67,10 @@ class StoredIndex:
     def postings(self) -> DataFrame:
         return self._read("postings")
 
+    @cached_property
+    def chunks(self) -> DataFrame:
+        return self._read("chunks")
+
     @cached_property
     def figures(self):
         return self._read("figures").first()
@@ -81,7 +89,7 @@ class StoredIndex:
     def scan_index(self) -> Bm25Index:
         """The same index in the form that ``bm25_topk`` scans."""
         f = self.figures
-        return Bm25Index(self._read("chunks"), self.terms.drop("bucket"), f["n_chunks"], f["total_tokens"], f["average_idf"])
+        return Bm25Index(self.chunks, self.terms.drop("bucket"), f["n_chunks"], f["total_tokens"], f["average_idf"])
 
 
 def _rows(index: Bm25Index, block_chunks: int, buckets: int) -> DataFrame:
@@ -154,28 +162,79 @@ def block_bounds(index: StoredIndex, asked: DataFrame) -> DataFrame:
     return materialize(bounds, "bounds")
 
 
-def _scores(index: StoredIndex, asked: DataFrame, blocks: DataFrame) -> DataFrame:
-    """(query_id, doc_id, pos, score) of all chunks of the pairs (query_id, block) that hold a question word."""
-    wanted = materialize(asked.join(broadcast_if_small(blocks.select("query_id", "block")), "query_id"), "wanted")
+def ranked_terms(index: StoredIndex, asked: DataFrame) -> DataFrame:
+    """Stored ``asked`` plus ``place`` (from 1) in the question's ranking, and ``tail``: the most that a chunk scores without
+    the terms before this one. A question with a negative weight has no such bound, and an infinite ``tail``."""
+    rows = read_postings(index, asked).groupBy("bucket", "term").agg(F.max("max_tf").alias("max_tf"), F.min("min_length").alias("min_length"))
+    known = asked.join(broadcast_if_small(materialize(rows, "term-bounds")), ["bucket", "term"])
+    most = known.withColumn("most", F.col("weight") * gain(F.col("max_tf"), F.col("min_length"), index.mean_length))
+    question = Window.partitionBy("query_id")
+    order = question.orderBy(F.desc("most"), F.asc("term"))
+    tail = F.sum("most").over(order.rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    bounded = F.when(F.min("weight").over(question) < 0, F.lit(math.inf)).otherwise(tail)
+    ranked = most.select("query_id", "bucket", "term", "weight", F.row_number().over(order).alias("place"), bounded.alias("tail"))
+    return materialize(ranked, "ranked-terms")
+
+
+def _scores(index: StoredIndex, asked: DataFrame, blocks: DataFrame | None = None) -> DataFrame:
+    """(query_id, doc_id, pos, score) by the terms of ``asked`` alone, in the pairs (query_id, block) of ``blocks`` if given."""
     rows = read_postings(index, asked).select("bucket", "term", "block", "entries")
-    found = rows.join(broadcast_if_small(wanted), ["bucket", "term", "block"])
+    on, wanted = ["bucket", "term"], asked.select("query_id", "bucket", "term", "weight")
+    if blocks is not None:
+        on = [*on, "block"]
+        wanted = wanted.join(broadcast_if_small(blocks.select("query_id", "block")), "query_id")
+    found = rows.join(broadcast_if_small(materialize(wanted, "wanted")), on)
     each = found.select("query_id", "weight", F.explode("entries").alias("e"))
     part = F.col("weight") * gain(F.col("e.tf"), F.col("e.length"), index.mean_length)
     summed = each.groupBy("query_id", *(F.col(f"e.{c}").alias(c) for c in CHUNK_KEYS)).agg(F.sum(part).alias("score"))
-    return summed.withColumn("score", F.floor(F.col("score") * 1e9 + 0.5) / 1e9)
+    return summed.withColumn("score", _rounded("score"))
+
+
+def _rounded(score: str) -> Column:
+    return F.floor(F.col(score) * 1e9 + 0.5) / 1e9
+
+
+def _thresholds(scores: DataFrame, k: int, label: str) -> DataFrame:
+    """Stored (query_id, threshold): the k-th best score, for questions that have so many."""
+    best = top_n_per_group(scores, ["query_id"], [F.desc("score"), *(F.asc(c) for c in CHUNK_KEYS)], k)
+    return materialize(best.filter(F.col("rank") == k).select("query_id", F.col("score").alias("threshold")), label)
+
+
+def _reach(bound: Column) -> Column:
+    return F.col("threshold").isNull() | (bound >= F.col("threshold") - SLACK)
+
+
+def open_terms(index: StoredIndex, ranked: DataFrame, k: int, first_terms: int = FIRST_TERMS) -> tuple[DataFrame, DataFrame]:
+    """The terms that a chunk needs one of, and per question the threshold and what the others can add (``left``)."""
+    first = ranked.filter(F.col("place") <= first_terms)
+    early = broadcast_if_small(_thresholds(_scores(index, first).filter("score > 0"), k, "first-thresholds"))
+    judged = materialize(ranked.join(early, "query_id", "left").withColumn("needed", _reach(F.col("tail"))), "judged-terms")
+    left = F.coalesce(F.max(F.when(~F.col("needed"), F.col("tail"))), F.lit(0.0)).alias("left")
+    return judged.filter("needed"), materialize(judged.groupBy("query_id").agg(F.max("threshold").alias("threshold"), left), "left-over")
+
+
+def open_blocks(index: StoredIndex, needed: DataFrame, figures: DataFrame) -> DataFrame:
+    """Stored (query_id, block) that may hold one of the best chunks."""
+    bounds = block_bounds(index, needed).join(broadcast_if_small(figures), "query_id")
+    endless = needed.filter(F.col("tail") == math.inf).select("query_id").distinct().withColumn("endless", F.lit(True))
+    bounds = bounds.join(broadcast_if_small(endless), "query_id", "left")
+    kept = bounds.filter(F.coalesce("endless", F.lit(False)) | _reach(F.col("bound") + F.col("left")))
+    return materialize(kept.select("query_id", "block"), "open-blocks")
 
 
-def open_blocks(bounds: DataFrame, first: DataFrame, early: DataFrame, k: int) -> DataFrame:
-    """Stored (query_id, block) that are not scored yet and may still hold one of the ``k`` best chunks."""
-    threshold = early.filter(F.col("rank") == k).select("query_id", F.col("score").alias("threshold"))
-    rest = bounds.join(broadcast_if_small(first.select("query_id", "block")), ["query_id", "block"], "left_anti")
-    rest = rest.join(broadcast_if_small(materialize(threshold, "thresholds")), "query_id", "left")
-    rest = rest.filter(F.col("threshold").isNull() | (F.col("bound") > F.col("threshold") - SLACK))
-    return materialize(rest.select("query_id", "block"), "open-blocks")
+def _full_scores(index: StoredIndex, asked: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The full scores of the pairs (query_id, doc_id, pos) of ``chosen``, a few per question, from the chunks' tokens."""
+    held = index.chunks.join(broadcast_if_small(chosen), CHUNK_KEYS)
+    each = held.select("query_id", *CHUNK_KEYS, F.size("tokens").alias("length"), F.explode("tokens").alias("term"))
+    weights = broadcast_if_small(asked.select("query_id", "term", "weight"))
+    counted = each.join(weights, ["query_id", "term"]).groupBy("query_id", *CHUNK_KEYS, "length", "term", "weight")
+    counted = counted.agg(F.count(F.lit(1)).alias("tf"))
+    part = F.col("weight") * gain(F.col("tf"), F.col("length"), index.mean_length)
+    return counted.groupBy("query_id", *CHUNK_KEYS).agg(F.sum(part).alias("score")).withColumn("score", _rounded("score"))
 
 
 def stored_topk(
-    index: StoredIndex, questions: DataFrame, k: int = 15, only_positive: bool = False, first_blocks: int = FIRST_BLOCKS
+    index: StoredIndex, questions: DataFrame, k: int = 15, only_positive: bool = False, first_terms: int = FIRST_TERMS
 ) -> DataFrame:
     """(query_id, doc_id, pos, score, rank, chunk_id) of the ``k`` best chunks per question, as ``bm25_topk`` gives them.
 
@@ -183,14 +242,17 @@ def stored_topk(
     """
     questions = materialize(questions.select("query_id", "text"), "questions")
     asked = _asked(index, questions)
-    bounds = block_bounds(index, asked)
-    order = [F.desc("bound"), F.asc("block")]
-    first = materialize(top_n_per_group(bounds, ["query_id"], order, first_blocks, "place"), "first-blocks")
+    ranked = ranked_terms(index, asked)
+    needed, figures = open_terms(index, ranked, k, first_terms)
+    partial = materialize(_scores(index, needed, open_blocks(index, needed, figures)), "partial-scores")
+    better = figures.select("query_id", "left").join(_thresholds(partial.filter("score > 0"), k, "thresholds"), "query_id", "left")
+    endless = ranked.filter(F.col("tail") == math.inf).select("query_id").distinct()
+    better = better.join(endless.withColumn("endless", F.lit(True)), "query_id", "left")
+    able = F.coalesce("endless", F.lit(False)) | _reach(F.col("score") + F.col("left"))
+    chosen = partial.join(broadcast_if_small(materialize(better, "better")), "query_id").filter(able)
+    chosen = materialize(chosen.select("query_id", *CHUNK_KEYS), "chosen")
     best = [F.desc("score"), *(F.asc(c) for c in CHUNK_KEYS)]
-    early = materialize(top_n_per_group(_scores(index, asked, first).filter("score > 0"), ["query_id"], best, k), "early")
-    late = _scores(index, asked, open_blocks(bounds, first, early, k)).filter("score > 0")
-    columns = ["query_id", *CHUNK_KEYS, "score"]
-    hits = top_n_per_group(early.select(*columns).unionByName(late.select(*columns)), ["query_id"], best, k)
+    hits = top_n_per_group(_full_scores(index, asked, chosen).filter("score > 0"), ["query_id"], best, k)
     hits = with_chunk_id(hits.withColumn("rank", F.col("rank") - 1))
     if only_positive:
         return hits
