@@ -442,13 +442,13 @@ def conversation_trie(conversations: DataFrame, width: int = WIDTH, shard_rows:
 ORACLE_SQL = r"""
 WITH ids AS (
   SELECT conv_id, conv_id - conv_id % 100 AS base,
-         list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), c -> CAST(ascii(c) AS BIGINT))) AS codes
+         list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))) AS codes
   FROM (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL)),
 convs AS (
   SELECT conv_id, base,
-         xor(list_reduce(codes, (a, c) -> list_reduce(
+         xor(list_reduce(codes, lambda a, c: list_reduce(
            list_prepend(xor(a, c), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]),
-           (x, k) -> CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384::BIGINT) ELSE x // 2 END)), 4294967295::BIGINT) % 6 AS h
+           lambda x, k: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384::BIGINT) ELSE x // 2 END)), 4294967295::BIGINT) % 6 AS h
   FROM ids),
 turns AS (
   SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) - 1 AS pos,
