@@ -107,6 +107,6 @@ def oracle_sql() -> dict[str, str]:
         "op5_line_spread": LINE_SPREAD,
         "op9_license_digests": license_digests.oracle_sql(),
         "op10_spaced_seeds": SPACED_SEEDS,
-        "op11_prefix_trie": op11_prefix_trie,
-    "op12_source_divergence": divergence.ORACLE_SQL,
+        "op11_prefix_trie": prefix_trie.ORACLE_SQL,
+        "op12_source_divergence": divergence.ORACLE_SQL,
     }
