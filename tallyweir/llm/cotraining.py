@@ -2,17 +2,21 @@
 
 The text view sees hashed words and word shapes, and the share of distinct words. The metadata view sees language,
 source, length, line layout and the shares of kinds of characters. Each is a logistic regression, and both start from
-the labelled sample. In every round each classifier labels the unlabelled pool; the rows on which it is most certain,
-the same share of each class as the labels have, become training rows of the *other* classifier. At the end, each
-view is calibrated on labelled rows that were not trained on, and the calibrated log odds are added, less the
+the labelled sample. In every round each classifier scores *all* unlabelled documents; the ones on which it is most
+certain, the same share of each class as the labels have, are candidates for the *other* classifier, which learns a draw
+of them: half of it in proportion, half of it evenly over the languages and sources, so that small ones take part. At the
+end, each view is calibrated on labelled rows that were not trained on, and the calibrated log odds are added, less the
 prior's. All documents are scored.
 
-What is fitted on is bounded: about ``LABELLED_ROWS`` labelled and ``POOL_ROWS`` unlabelled documents, chosen by a
-hash of the id. All else covers every document.
+The features of all documents are stored once (hashed counts, a fraction of the text) and read in every round. Certainty
+cuts come from counts of binned log odds over all unlabelled texts. Only what a regression is fitted on is bounded: about
+``LABELLED_ROWS`` labelled and, per view and round, about ``TAUGHT_ROWS`` pseudo-labelled texts, chosen by a hash.
 
-Defined results: null and empty texts have the features of no words; labels with a null or conflicting quality for a
-document are left out; with labels of one class only, that class's share of one is the score of every document;
-without labels the scores are null and every document is kept.
+Defined results: null and empty texts have the features of no words; null language or source counts as empty; a text that
+repeats under the same language and source is learned once, and every row of it is scored; an id that repeats with other
+texts has all of them labelled by its label; labels with a null or conflicting quality for a document are left out; with
+labels of one class only, that class's share of one is the score of every document; without labels the scores are null and
+every document is kept. Texts are whole at any length. Other columns of the inputs are not looked at.
 """
 
 from __future__ import annotations
@@ -21,25 +25,27 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF, Normalizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyweir.session import materialize
+from tallyweir.session import broadcast_if_small, materialize
 
 LABELLED_ROWS = 8000
-POOL_ROWS = 8000
+TAUGHT_ROWS = 8000
 ROUNDS = 3
-GROWTH = 0.1  # share of the pool that each view labels per round
+GROWTH = 0.1  # share of the unlabelled texts that each view is certain of in the first round; it adds as much per round
 HELD_OUT = 4  # one in so many labelled rows is kept for calibration
 TEXT_FEATURES = 1 << 12
 PLACE_FEATURES = 1 << 8
 REGULARISATION = 1e-3
+ODDS_BINS = 64  # per unit of log odds
+ODDS_RANGE = 64  # log odds beyond this fall into the last bin
 
 _VIEWS = ("text", "meta")
 
 
-def with_views(docs: DataFrame) -> DataFrame:
-    """``docs`` plus ``text_view`` and ``meta_view`` vectors."""
+def with_features(docs: DataFrame) -> DataFrame:
+    """``docs`` plus hashed counts ``_tf`` and ``_place`` and the numbers ``_d`` and ``_f0``... of its texts."""
     words = F.expr(r"array_remove(split(_t, '[\\x20\\x09-\\x0D]+'), '')")
     shaped = F.regexp_replace(F.regexp_replace("_t", r"\p{Lu}{2,}", "0"), r"\p{L}+", "x")
     shapes = F.transform(F.split(shaped, r"\s+"), lambda s: F.concat(F.lit("\u0001"), s))
@@ -73,48 +79,120 @@ def with_views(docs: DataFrame) -> DataFrame:
         share(r"\p{N}").alias("_f5"),
         share(r"\s").alias("_f6"),
     )
-    stages = PipelineModel(
+    hashed = PipelineModel(
         [
             HashingTF(numFeatures=TEXT_FEATURES, inputCol="_words", outputCol="_tf"),
-            Normalizer(inputCol="_tf", outputCol="_content"),
-            VectorAssembler(inputCols=["_content", "_d"], outputCol="text_view"),
             HashingTF(numFeatures=PLACE_FEATURES, binary=True, inputCol="_places", outputCol="_place"),
-            VectorAssembler(inputCols=["_place", *(f"_f{i}" for i in range(8))], outputCol="meta_view"),
         ]
     )
-    return stages.transform(prepared).select(*(F.col(f"`{c}`") for c in docs.columns), "text_view", "meta_view")
+    return hashed.transform(prepared).drop("_words", "_places")
 
 
-def _sampled(df: DataFrame, salt: str, rows: int, n: int) -> DataFrame:
-    """About ``rows`` of the ``n`` rows of ``df``, the same ones in every run; all of them if there are no more."""
-    if n <= rows:
-        return df
-    return df.filter(F.pmod(F.xxhash64("doc_id", F.lit(salt)), F.lit(1 << 40)) < int((1 << 40) * rows / n))
+def as_views(features: DataFrame) -> DataFrame:
+    """The vectors ``text_view`` and ``meta_view`` in place of the columns that :func:`with_features` adds."""
+    numbers = [f"_f{i}" for i in range(8)]
+    stages = PipelineModel(
+        [
+            Normalizer(inputCol="_tf", outputCol="_content"),
+            VectorAssembler(inputCols=["_content", "_d"], outputCol="text_view"),
+            VectorAssembler(inputCols=["_place", *numbers], outputCol="meta_view"),
+        ]
+    )
+    return stages.transform(features).drop("_tf", "_place", "_d", "_content", *numbers)
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, labelled_rows: int, pool_rows: int) -> DataFrame:
-    """Stored ``row``, both views, ``label`` (null in the pool) and ``held`` (kept for calibration)."""
-    agreed = (
+def learning_table(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Every row of ``docs``, stored: its features, ``label`` or null, ``row`` (equal for what is learned once), unique ``_at``."""
+    known = materialize(
         labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL")
         .groupBy("doc_id")
         .agg(F.min("quality").alias("label"), F.max("quality").alias("_most"))
         .filter("label = _most")
-        .drop("_most")
+        .drop("_most"),
+        "labels",
     )
-    known = materialize(agreed, "labels")
-    chosen = _sampled(known, "label", labelled_rows, known.count()).select(F.col("doc_id").alias("_id"), "label")
-    pool = _sampled(docs.select("doc_id", "text", "lang", "source"), "pool", pool_rows, docs.count())
-    candidates = docs.select("doc_id", "text", "lang", "source").join(chosen, F.col("doc_id") == F.col("_id")).drop("_id")
-    unlabelled = pool.join(known.select("doc_id"), "doc_id", "left_anti").withColumn("label", F.lit(None).cast("int"))
-    rows = candidates.unionByName(unlabelled).dropDuplicates(["doc_id"])
-    views = with_views(rows).select(
-        F.xxhash64("doc_id").alias("row"),
-        "text_view",
-        "meta_view",
-        "label",
-        (F.col("label").isNotNull() & (F.pmod(F.xxhash64("doc_id", F.lit("held")), F.lit(HELD_OUT)) == 0)).alias("held"),
+    named = docs.select("doc_id", *(F.coalesce(c, F.lit("")).alias(c) for c in ("text", "lang", "source")))
+    features = with_features(named.withColumn("_text_hash", F.xxhash64("text", "lang", "source"))).drop("text")
+    labelled = features.join(broadcast_if_small(known), "doc_id", "left")
+    identity = F.xxhash64(F.when(F.col("label").isNotNull(), F.col("doc_id")), F.col("_text_hash"))
+    keyed = labelled.withColumn("row", identity).withColumn("_at", F.monotonically_increasing_id())
+    return materialize(keyed.drop("_text_hash"), "features")
+
+
+def _drawn(rows: DataFrame, salt: str, rate: Column) -> DataFrame:
+    """The share ``rate`` of ``rows``, the same ones in every run."""
+    return rows.filter(F.pmod(F.xxhash64("row", F.lit(salt)), F.lit(1 << 40)) < rate * float(1 << 40))
+
+
+def _fetched(table: DataFrame, chosen: DataFrame) -> DataFrame:
+    """``chosen`` (few rows with ``_at``) with both views, in an order that does not depend on tasks."""
+    found = as_views(table.drop("label", "row").join(broadcast_if_small(chosen), "_at"))
+    return materialize(found.repartition(8, "row").sortWithinPartitions("row"), "learned")
+
+
+def labelled_sample(table: DataFrame, rows: int = LABELLED_ROWS) -> DataFrame:
+    """About ``rows`` labelled texts (all if there are no more) with their views, ``label`` and ``held`` (for calibration)."""
+    distinct = table.filter("label IS NOT NULL").groupBy("row").agg(F.min("_at").alias("_at"), F.min("label").alias("label"))
+    distinct = materialize(distinct, "labelled")
+    n = distinct.count()
+    held = F.pmod(F.xxhash64("row", F.lit("held")), F.lit(HELD_OUT)) == 0
+    chosen = _drawn(distinct, "label", F.lit(min(1.0, rows / max(n, 1)))).withColumn("held", held)
+    return _fetched(table, materialize(chosen, "labelled-sample"))
+
+
+def _scores(table: DataFrame, models: dict) -> DataFrame:
+    """Both views' log odds of every unlabelled text, once per text: ``o_text`` and ``o_meta``."""
+    scored = as_views(table.filter("label IS NULL"))
+    for view in _VIEWS:
+        scored = models[view].transform(scored)
+    once = scored.groupBy("row").agg(
+        *(F.min(c).alias(c) for c in ("_at", "lang", "source")), *(F.min(_odds(v)).alias(f"o_{v}") for v in _VIEWS)
     )
-    return materialize(views, "training-sample")
+    return materialize(once, "unlabelled-scores")
+
+
+def _bin(view: str) -> Column:
+    odds = F.greatest(F.least(F.col(f"o_{view}"), F.lit(float(ODDS_RANGE))), F.lit(-float(ODDS_RANGE)))
+    return F.floor(odds * ODDS_BINS)
+
+
+def certain_labels(scores: DataFrame, view: str, share: float, positive: float) -> DataFrame:
+    """The rows of ``scores`` of which ``view`` is most certain, with the ``label`` that it gives them.
+
+    ``share`` of all rows, split by class as ``positive`` says, and what shares the bin of the last one of them.
+    """
+    counts = sorted(scores.groupBy(_bin(view).alias("bin")).count().collect())  # one row per bin, a fixed number
+    total = sum(n for _, n in counts)
+
+    def cut(bins: list, wanted: float) -> int | None:
+        passed = 0
+        for place, n in bins:
+            passed += n
+            if passed >= wanted:
+                return place
+        return None
+
+    low, high = cut(counts, share * (1 - positive) * total), cut(counts[::-1], share * positive * total)
+    if low is None or high is None:
+        return scores.withColumn("label", F.lit(None).cast("int")).filter("false")
+    good = (_bin(view) >= high) & (F.col(f"o_{view}") > 0)
+    bad = (_bin(view) <= low) & (F.col(f"o_{view}") < 0)
+    return scores.withColumn("label", F.when(good, 1).when(bad, 0)).filter("label IS NOT NULL")
+
+
+def stratified_draw(certain: DataFrame, rows: int, positive: float, salt: str) -> DataFrame:
+    """About ``rows`` of ``certain`` at most, its classes as ``positive`` says.
+
+    Half of each class is drawn in proportion, half of it evenly over the languages and sources that have any.
+    """
+    strata = materialize(certain.groupBy("label", "lang", "source").agg(F.count(F.lit(1)).alias("_n")), "strata")
+    per_class = Window.partitionBy("label")
+    quota = F.when(F.col("label") == 1, rows * positive).otherwise(rows * (1 - positive))
+    even = 0.5 / (F.count(F.lit(1)).over(per_class) * F.col("_n"))
+    rate = quota * (0.5 / F.sum("_n").over(per_class) + even)
+    rates = materialize(strata.select("label", "lang", "source", rate.alias("_rate")), "rates")
+    drawn = _drawn(certain.join(broadcast_if_small(rates), ["label", "lang", "source"]), salt, F.col("_rate"))
+    return drawn.select("row", "_at", "label")
 
 
 def _fit(rows: DataFrame, view: str, label: str):
@@ -128,40 +206,31 @@ def _odds(view: str) -> Column:
     return vector_to_array(f"_r_{view}")[1]
 
 
-def co_train(sample: DataFrame, rounds: int = ROUNDS, growth: float = GROWTH) -> tuple[dict, dict, float]:
-    """The two classifiers, their calibrations (slope, offset), and the prior log odds, from :func:`training_sample`."""
-    truth = sample.filter("label IS NOT NULL").agg(
-        F.avg("label").alias("share"), F.sum(F.col("held").cast("int")).alias("held"), F.count(F.lit(1)).alias("n")
-    )
-    row = truth.first()
-    positive = row["share"]
-    own = F.when(~F.col("held"), F.col("label"))
-    state = sample.select("row", own.alias("teach_text"), own.alias("teach_meta"))
-    models: dict = {}
+def co_train(
+    table: DataFrame, sample: DataFrame, rounds: int = ROUNDS, growth: float = GROWTH, taught_rows: int = TAUGHT_ROWS
+) -> tuple[dict, dict, float]:
+    """The two classifiers, their calibrations (slope, offset), and the prior log odds.
+
+    From :func:`learning_table` and its :func:`labelled_sample`.
+    """
+    truth = sample.agg(F.avg("label").alias("share"), F.sum(F.col("held").cast("int")).alias("held")).first()
+    positive = truth["share"]
+    own = sample.filter("NOT held").select("row", *(f"{v}_view" for v in _VIEWS), *(F.col("label").alias(f"for_{v}") for v in _VIEWS))
+    learned, models = own, {}
     for turn in range(rounds + 1):
-        stored = materialize(state, "co-training")
-        rows = sample.join(stored, "row")
-        models = {
-            view: _fit(rows.filter(F.col(f"teach_{view}").isNotNull()), view, f"teach_{view}") for view in _VIEWS
-        }
+        models = {v: _fit(learned.filter(F.col(f"for_{v}").isNotNull()), v, f"for_{v}") for v in _VIEWS}
         if turn == rounds:
             break
-        scored = rows.filter("label IS NULL")
-        for view in _VIEWS:
-            scored = models[view].transform(scored)
-        scored = materialize(scored.select("row", *(_odds(v).alias(f"o_{v}") for v in _VIEWS)), "pool-scores")
-        cut = {}
-        for view in _VIEWS:
-            low, high = growth * (turn + 1) * (1 - positive), 1 - growth * (turn + 1) * positive
-            cut[view] = scored.agg(F.percentile(f"o_{view}", F.array(F.lit(low), F.lit(high)))).first()[0]
-        taught = scored.select("row", *(_taught(v, cut[v]) for v in _VIEWS))
-        state = sample.select("row", own.alias("_own")).join(taught, "row", "left").select(
-            "row",
-            # each view learns what the other one is certain of
-            F.coalesce("_own", "by_meta").alias("teach_text"),
-            F.coalesce("_own", "by_text").alias("teach_meta"),
-        )
-    held = sample.filter("held") if row["held"] else sample.filter("label IS NOT NULL")
+        scores = _scores(table, models)
+        lessons = []
+        for view, other in (_VIEWS, _VIEWS[::-1]):
+            certain = certain_labels(scores, view, growth * (turn + 1), positive)
+            drawn = stratified_draw(certain, taught_rows, positive, f"{view}{turn}")
+            lessons.append(drawn.withColumnRenamed("label", f"for_{other}"))
+        both = lessons[0].unionByName(lessons[1], allowMissingColumns=True).groupBy("row", "_at")
+        taught = both.agg(*(F.max(f"for_{v}").alias(f"for_{v}") for v in _VIEWS))
+        learned = own.unionByName(_fetched(table, materialize(taught, "lessons")).select(*own.columns))
+    held = sample.filter("held") if truth["held"] else sample
     calibrations = {}
     for view in _VIEWS:
         odds = models[view].transform(held).select("label", _odds(view).alias("_o"))
@@ -172,30 +241,23 @@ def co_train(sample: DataFrame, rounds: int = ROUNDS, growth: float = GROWTH) ->
     return models, calibrations, prior
 
 
-def _taught(view: str, cut: list[float] | None) -> Column:
-    """The pseudo-label a view gives to rows beyond its certain scores, else null."""
-    odds = F.col(f"o_{view}")
-    low, high = cut or (0.0, 0.0)
-    value = F.when((odds >= high) & (odds > 0), 1).when((odds <= low) & (odds < 0), 0)
-    return value.cast("int").alias(f"by_{view}")
-
-
 def score_quality(
     docs: DataFrame,
     labels: DataFrame,
     labelled_rows: int = LABELLED_ROWS,
-    pool_rows: int = POOL_ROWS,
+    taught_rows: int = TAUGHT_ROWS,
     rounds: int = ROUNDS,
 ) -> DataFrame:
     """One row per document: ``doc_id``, ``p_text``, ``p_meta``, ``quality`` (a probability) and ``kept`` (at least a half)."""
-    sample = training_sample(docs, labels, labelled_rows, pool_rows)
-    classes = [r[0] for r in sample.filter("label IS NOT NULL").select("label").distinct().limit(2).collect()]
+    table = learning_table(docs, labels)
+    sample = labelled_sample(table, labelled_rows)
+    classes = [r[0] for r in sample.select("label").distinct().limit(2).collect()]
     if len(classes) < 2:
         value = F.lit(float(classes[0]) if classes else None).cast("double")
         constant = docs.select("doc_id", value.alias("p_text"), value.alias("p_meta"), value.alias("quality"))
         return constant.withColumn("kept", F.coalesce(F.col("quality") >= 0.5, F.lit(True)))
-    models, calibrations, prior = co_train(sample, rounds)
-    scored = with_views(docs.select("doc_id", "text", "lang", "source")).select("doc_id", "text_view", "meta_view")
+    models, calibrations, prior = co_train(table, sample, rounds, taught_rows=taught_rows)
+    scored = as_views(table).select("doc_id", "text_view", "meta_view")
     for view in _VIEWS:
         scored = models[view].transform(scored)
     odds = scored.select(
@@ -209,3 +271,27 @@ def score_quality(
         probability(F.col("_o_meta")).alias("p_meta"),
         probability(F.col("_o_text") + F.col("_o_meta") - prior_odds).alias("quality"),
     ).withColumn("kept", F.col("quality") >= 0.5)
+
+
+def exchange_lift(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS, folds: int = 5) -> DataFrame:
+    """What the exchange of labels adds: one row for ``rounds`` of 0 (labels alone) and one for ``rounds``.
+
+    ``n``, ``accuracy`` and ``log_loss`` on the labels of a ``folds``-th of the ids, which neither the fit nor the
+    calibration sees.
+    """
+    unseen = F.pmod(F.xxhash64("doc_id", F.lit("unseen")), F.lit(folds)) == 0
+    usable = labels.filter("doc_id IS NOT NULL AND quality IS NOT NULL").select("doc_id", "quality")
+    truth = usable.filter(unseen).groupBy("doc_id").agg(F.min("quality").alias("_y"), F.max("quality").alias("_z"))
+    p = F.greatest(F.least("quality", F.lit(1 - 1e-9)), F.lit(1e-9))
+    reports = []
+    for n in (0, rounds):
+        scored = score_quality(docs, usable.filter(~unseen), rounds=n).join(truth.filter("_y = _z"), "doc_id")
+        reports.append(
+            scored.agg(
+                F.lit(n).alias("rounds"),
+                F.count(F.lit(1)).alias("n"),
+                F.avg((F.col("kept") == (F.col("_y") == 1)).cast("double")).alias("accuracy"),
+                F.avg(-F.when(F.col("_y") == 1, F.log(p)).otherwise(F.log(1 - p))).alias("log_loss"),
+            )
+        )
+    return reports[0].unionByName(reports[1])
