@@ -3,8 +3,9 @@
 Every document gets base counts and a vector of transformed statistics. Location and scatter of the vectors
 are estimated per (language, source) by the minimum covariance determinant: from two deterministic starts,
 concentration steps repeat "measure all documents, keep the ``SUPPORT`` share that lies nearest, estimate
-again", and the start with the smaller determinant wins. A document is rejected if its squared Mahalanobis
-distance is beyond a chi-square quantile.
+again" until no group's rows change, and the start with the smaller determinant wins. A document is rejected if its
+squared Mahalanobis distance is beyond a chi-square quantile. Groups whose rows still changed at step
+``CONCENTRATION_STEPS`` are reported as not settled.
 
 Everything is a column expression. The vectors are fixed-point integers, so all sums are exact and the
 estimates do not depend on task order. A concentration step is one aggregate over (group, distance bin), so
@@ -31,7 +32,7 @@ from tallyweir.session import broadcast_if_small, materialize
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 SUPPORT = 0.75
-CONCENTRATION_STEPS = 5
+CONCENTRATION_STEPS = 30  # at most
 PRIOR_ROWS = 50
 REJECT_QUANTILE = 0.9999
 FIXED_POINT = 256
@@ -269,13 +270,15 @@ def _starts(stats: DataFrame) -> DataFrame:
 
 
 def fit_groups(stats: DataFrame, steps: int = CONCENTRATION_STEPS, support: float = SUPPORT) -> DataFrame:
-    """The estimates per ``_lang`` and ``_source``: ``_m*``, ``_p*_*`` and ``_limit``, the largest squared distance kept.
+    """The estimates per ``_lang`` and ``_source``: ``_m*``, ``_p*_*``, ``_limit``, the largest squared distance kept, and
+    ``_settled``, whether a further step would keep the same rows.
 
     ``stats`` holds ``_lang``, ``_source`` and ``_q*``, and should be stored, as each step reads it. ``_limit``
     is the chi-square quantile times the ratio of the median distance to its expected value, if above one.
     """
     usable = stats.filter("NOT base_failed")
     estimates = _starts(usable)
+    before = moved = None
     for _ in range(steps):
         bins = _binned(usable, estimates, _moments())
         nearest = bins.filter(F.col("_before") < F.ceil(F.col("_all") * support))
@@ -284,11 +287,21 @@ def fit_groups(stats: DataFrame, steps: int = CONCENTRATION_STEPS, support: floa
             nearest.groupBy("_start", *GROUP).agg(F.sum("_n").alias("_n"), *(F.sum(c).alias(c) for c in moments)),
             "mcd-sums",
         )
+        # the sums are exact, so groups with the sums of the step before have kept the same rows
+        moved = sums if before is None else materialize(sums.subtract(before), "mcd-moved")
+        if moved.isEmpty():
+            break
+        before = sums
         estimates = materialize(_with_inverse(_pooled(sums)), "mcd-step")
     best = estimates.groupBy(*GROUP).agg(F.min(F.struct("_logdet", "_start")).alias("_best"))
     chosen = materialize(
         estimates.join(best, GROUP).filter("_start = _best._start").drop("_best"), "mcd-best"
     )
+    if moved is None:
+        chosen = chosen.withColumn("_settled", F.lit(False))
+    else:
+        unsettled = moved.select("_start", *GROUP, F.lit(False).alias("_settled"))
+        chosen = chosen.join(broadcast_if_small(unsettled), ["_start", *GROUP], "left").fillna(True, ["_settled"])
     bins = _binned(usable, chosen, [])
     middle = bins.filter("_before * 2 < _all").groupBy(*GROUP).agg(F.max("_bin").alias("_bin"))
     expected = chi_square_quantile(0.5, D)
@@ -298,22 +311,23 @@ def fit_groups(stats: DataFrame, steps: int = CONCENTRATION_STEPS, support: floa
 
 
 def judge(stats: DataFrame, fitted: DataFrame) -> DataFrame:
-    """``stats`` plus ``distance`` (squared, as a share of the group's limit) and ``kept``."""
-    helpers = [c for c in fitted.columns if c not in GROUP]
+    """``stats`` plus ``distance`` (squared, as a share of the group's limit), ``kept`` and ``settled`` (null without a group)."""
+    helpers = [c for c in fitted.columns if c not in {*GROUP, "_settled"}]
     joined = stats.join(broadcast_if_small(fitted), GROUP, "left")
     share = F.when(~F.col("base_failed"), _distance() / F.col("_limit"))
     return (
         joined.withColumn("distance", share)
         .withColumn("kept", F.coalesce(F.col("distance") <= 1, F.lit(False)))
+        .withColumnRenamed("_settled", "settled")
         .drop(*helpers, *GROUP, *(f"_q{i}" for i in range(D)))
     )
 
 
 def quality_verdicts(docs: DataFrame) -> DataFrame:
-    """One row per document: ``doc_id``, the base counts, ``base_failed``, ``kept`` and ``distance``."""
+    """One row per document: ``doc_id``, the base counts, ``base_failed``, ``kept``, ``distance`` and ``settled``."""
     columns = ["doc_id", *BASE, "base_failed", *GROUP, *(f"_q{i}" for i in range(D))]
     stats = materialize(with_base_counts(docs.select("doc_id", "text", "lang", "source")).select(*columns), "stats")
-    return judge(stats, fit_groups(stats)).select("doc_id", *BASE, "base_failed", "kept", "distance")
+    return judge(stats, fit_groups(stats)).select("doc_id", *BASE, "base_failed", "kept", "distance", "settled")
 
 
 def keep_quality(docs: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@ import re
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from tallyweir.llm import outliers
 from tests.llm.common import awkward, clashing, documents, empty, sentence
@@ -83,6 +84,65 @@ def test_the_estimates_equal_those_made_in_numpy(spark):
     assert np.allclose([fitted[f"_p{i}_{j}"] for i, j in outliers.PAIRS], [inverse[i, j] for i, j in outliers.PAIRS], rtol=1e-5)
 
 
+def test_pooled_groups_settle_where_numpy_does(spark):
+    """Three groups of two languages, drawn towards each other, iterated in memory until no row moves."""
+    texts = [sentence(i, 52 + 4 * (i % 70)) for i in range(180)] + [" ".join(w + "$" for w in sentence(i, 70).split()) for i in range(9)]
+    names = [("en", "a"), ("en", "b"), ("de", "a")]
+    docs = documents(spark, texts).withColumn("lang", F.expr("if(doc_id % 3 = 2, 'de', 'en')"))
+    docs = docs.withColumn("source", F.expr("if(doc_id % 3 = 1, 'b', 'a')"))
+    stats = outliers.with_base_counts(docs)
+    d, k = outliers.D, outliers.PRIOR_ROWS
+    floor = np.diag([outliers._floor(i) ** 2 for i in range(d)])
+    fitted = {(r["_lang"], r["_source"]): r for r in outliers.fit_groups(stats).collect()}
+    rows = stats.filter("NOT base_failed").collect()
+    x = {g: np.array([[r[f"_q{i}"] for i in range(d)] for r in rows if (r["_lang"], r["_source"]) == g], float) for g in names}
+
+    def add(*sums):
+        return tuple(sum(part) for part in zip(*sums))
+
+    def towards(small, large):
+        return add((small[0] + k, small[1], small[2]), (0, k * large[1] / large[0], k * large[2] / large[0]))
+
+    def kept(g, mean, cov):
+        z = x[g] - mean
+        bins = np.floor(np.log1p(np.maximum(np.einsum("ij,jk,ik->i", z, np.linalg.inv(cov), z), 0)) * outliers.BINS_PER_UNIT)
+        return bins <= np.sort(bins)[math.ceil(len(bins) * outliers.SUPPORT) - 1]
+
+    ends = {g: [] for g in names}
+    for start in (0, 1):
+        estimates, last = {}, None
+        for g in names:
+            centre = np.median(x[g], axis=0)
+            spread = np.maximum(1.4826 * np.median(np.abs(x[g] - centre), axis=0), np.sqrt(np.diag(floor)))
+            z = (x[g] - centre) / spread
+            norm = (z * z).sum(1)
+            unit = z[norm > 0] / np.sqrt(norm[norm > 0])[:, None]
+            sign = d * (unit.T @ unit) / len(z) * np.outer(spread, spread) + floor
+            estimates[g] = (centre, sign if start else np.diag(spread**2))
+        for _ in range(outliers.CONCENTRATION_STEPS):
+            masks = {g: kept(g, *estimates[g]) for g in names}
+            if last is not None and all((masks[g] == last[g]).all() for g in names):
+                break
+            last = masks
+            sums = {g: (int(m.sum()), x[g][m].sum(0), x[g][m].T @ x[g][m]) for g, m in masks.items()}
+            whole = add(*sums.values())
+            for g in names:
+                language = towards(add(*(sums[h] for h in names if h[0] == g[0])), whole)
+                n, first, second = towards(sums[g], language)
+                estimates[g] = (first / n, second / n - np.outer(first, first) / n**2 + floor)
+        else:
+            raise AssertionError("the example should settle")
+        for g in names:
+            ends[g].append((np.linalg.slogdet(estimates[g][1])[1], start, *estimates[g]))
+    for g in names:
+        _, _, mean, cov = min(ends[g], key=lambda e: e[:2])
+        inverse = np.linalg.inv(cov)
+        assert fitted[g]["_settled"]
+        assert np.allclose([fitted[g][f"_m{i}"] for i in range(d)], mean, rtol=1e-6)
+        assert np.allclose([fitted[g][f"_p{i}_{j}"] for i, j in outliers.PAIRS], [inverse[i, j] for i, j in outliers.PAIRS], rtol=1e-5)
+    assert not any(r["_settled"] for r in outliers.fit_groups(stats, steps=1).collect())
+
+
 def test_awkward_rows_and_columns(spark):
     table = clashing(awkward(spark))
     kept = outliers.keep_quality(table)
