@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tallyweir.llm import (
     bpe_tree,
@@ -43,7 +44,8 @@ def _documents(operator: Callable[[DataFrame], DataFrame]) -> Query:
 
 
 def op2_transcript_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return transcripts.recovered_turns(transcripts.raw_transcripts(_table(spark, sf_dir, "conversations")))
+    lines = transcripts.raw_transcripts(_table(spark, sf_dir, "conversations"))
+    return transcripts.recovered_turns(lines, fit_on=~transcripts.held_out(F.col("conv_id")))
 
 
 def op4_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,7 +15,12 @@ most ``BLOCK`` lines.
 
 Defined results: lines with equal positions are ordered by their text; a null line is an empty one; a null
 conversation id is one conversation; lines without a known role are left out of the fit; without labelled lines all
-parameters are uniform and the first role is recovered throughout.
+parameters are uniform and the first role is recovered throughout. Repeated rows are lines of their own. Lines of any
+length are kept whole. Columns other than those named are ignored, whatever they are called.
+
+No text is lost: a marker is taken off only where a turn begins, and is kept in ``speaker``; whatever looks like one
+inside a turn stays. What looks like a canonical header inside a turn is escaped (:func:`escaped`), so ``speaker`` and
+the unescaped body give the lines back as they were.
 """
 
 from __future__ import annotations
@@ -24,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyweir.operators.rank import global_rank
@@ -77,22 +82,53 @@ def raw_transcripts(conversations: DataFrame) -> DataFrame:
 
 
 def numbered_lines(transcripts: DataFrame) -> DataFrame:
-    """Stored lines with ``rank`` over the whole table, ``block``, ``symbol`` (what the model sees) and ``text`` without marker."""
+    """Stored lines with ``rank`` over the whole table, ``block``, ``symbol`` (what the model sees) and ``marked`` (has a marker)."""
     line = F.coalesce("line", F.lit(""))
     word = F.lower(F.concat(F.regexp_extract(line, _MARKER, 1), F.regexp_extract(line, _MARKER, 2)))
     at = F.array_position(F.array(*map(F.lit, MARKERS)), word)
     marker = F.when(word == "", NO_MARKER).when(at == 0, OTHER).otherwise(at - 1)
-    body = F.when((word != "") & (at > 0), F.regexp_replace(line, _MARKER, "")).otherwise(line)
+    marked = (word != "") & (at > 0)
+    body = F.when(marked, F.regexp_replace(line, _MARKER, "")).otherwise(line)
     length = F.when(F.char_length(body) < 60, 0).when(F.char_length(body) < 240, 1).otherwise(2)
     symbol = marker * FEATURES + length * 2 + F.when(F.rtrim(body).endswith("?"), 1).otherwise(0)
     extra = [c for c in ("role", "begins") if c in transcripts.columns]
     seen = transcripts.select(
-        "conv_id", "pos", *extra, line.alias("_line"), body.alias("text"), symbol.cast("int").alias("symbol")
+        "conv_id", "pos", *extra, line.alias("line"), marked.alias("marked"), symbol.cast("int").alias("symbol")
     )
     # the stored table keeps the numbers as they are, whoever reads them
-    ranked = global_rank(seen, [F.col("conv_id"), F.col("pos"), F.col("_line")])
+    ranked = global_rank(seen, [F.col("conv_id"), F.col("pos"), F.col("line")])
     block = F.floor(F.col("rank") / BLOCK).cast("long").alias("block")
-    return materialize(ranked.select("conv_id", *extra, "text", "symbol", "rank", block), "lines")
+    return materialize(ranked.select("conv_id", *extra, "line", "marked", "symbol", "rank", block), "lines")
+
+
+def escaped(text: Column) -> Column:
+    """``text`` with a backslash behind the ``<`` of whatever reads as a canonical header, one more than is there already."""
+    return F.regexp_replace(text, rf"<(\\*)\|({'|'.join(ROLES)})\|>", r"<\\$1|$2|>")
+
+
+def unescaped(text: Column) -> Column:
+    """Undoes :func:`escaped`."""
+    return F.regexp_replace(text, rf"<\\(\\*)\|({'|'.join(ROLES)})\|>", "<$1|$2|>")
+
+
+def held_out(conv_id: Column) -> Column:
+    """Whether a conversation is in the half kept from the fit, by which roles are judged."""
+    return F.pmod(F.xxhash64(conv_id, F.lit("held out")), F.lit(2)) == 1
+
+
+def role_accuracy(turns: DataFrame, transcripts: DataFrame) -> DataFrame:
+    """Held-out conversations: ``n_turns`` that begin in ``transcripts``, and the share recovered there with the same role.
+
+    ``turns`` are those of :func:`recovered_turns` over the same lines, whose ``role`` and ``begins`` are the truth.
+    """
+    order = Window.partitionBy("conv_id").orderBy("pos", F.coalesce("line", F.lit("")))
+    placed = transcripts.filter(held_out(F.col("conv_id"))).withColumn("_at", F.row_number().over(order) - 1)
+    truth = placed.filter("begins").select(F.col("conv_id").alias("_conv"), "_at", F.col("role").alias("_role"))
+    on = F.col("_conv").eqNullSafe(F.col("conv_id")) & (F.col("_at") == F.col("line"))
+    right = (F.col("role") == F.col("_role")).cast("int")
+    return truth.join(turns.select("conv_id", "line", "role"), on, "left").agg(
+        F.count(F.lit(1)).alias("n_turns"), F.avg(F.coalesce(right, F.lit(0))).alias("accuracy")
+    )
 
 
 def fit(lines: DataFrame) -> dict[str, np.ndarray]:
@@ -214,14 +250,19 @@ def recover_states(lines: DataFrame, model: dict[str, np.ndarray]) -> DataFrame:
     return placed.repartition("block").sortWithinPartitions("block", "rank").mapInPandas(paths, "rank long, state int")
 
 
-def recovered_turns(transcripts: DataFrame, model: dict[str, np.ndarray] | None = None) -> DataFrame:
-    """One row per recovered turn: ``conv_id``, ``line`` (of its beginning, from 0), ``role``, ``n_lines``, ``rendered``.
+def recovered_turns(
+    transcripts: DataFrame, model: dict[str, np.ndarray] | None = None, fit_on: Column | None = None
+) -> DataFrame:
+    """One row per recovered turn: ``conv_id``, ``line`` (of its beginning, from 0), ``role``, ``n_lines``, ``speaker``, ``rendered``.
 
-    Without a ``model``, one is fitted to the ``role`` and ``begins`` of ``transcripts``. ``rendered`` is the
-    canonical form: the role between bars in angle brackets, then the lines without their speaker marker.
+    Without a ``model``, one is fitted to the ``role`` and ``begins`` of ``transcripts``, or of the conversations with
+    ``fit_on``. ``rendered`` is the canonical form: the role between bars in angle brackets, then the turn's lines,
+    :func:`escaped`, the first of them without the marker in ``speaker`` (empty if there was none).
     """
     lines = numbered_lines(transcripts)
-    states = materialize(recover_states(lines, fit(lines) if model is None else model), "states")
+    if model is None:
+        model = fit(lines if fit_on is None else lines.filter(fit_on))
+    states = materialize(recover_states(lines, model), "states")
     known = lines.join(states, "rank")
     begins = (F.col("state") % 2) == 0
     # the turn a block starts within is the last one begun in the conversation's blocks before
@@ -239,18 +280,26 @@ def recovered_turns(transcripts: DataFrame, model: dict[str, np.ndarray] | None
     started = known.withColumn("_own", F.max(F.when(begins, F.col("rank"))).over(within))
     on = F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("block") == F.col("_block"))
     placed = started.join(carried, on).withColumn("_turn", F.coalesce("_own", "carried", "origin"))
+    strip = begins & F.col("marked")
+    placed = placed.select(
+        "conv_id", "_turn", "origin", "rank", "state",
+        F.when(strip, F.regexp_extract("line", _MARKER, 0)).otherwise("").alias("_speaker"),
+        F.when(strip, F.regexp_replace("line", _MARKER, "")).otherwise(F.col("line")).alias("_text"),
+    )
     turns = placed.groupBy("conv_id", "_turn").agg(
         F.min("origin").alias("origin"),
         F.min(F.struct("rank", "state")).alias("_first"),
         F.count(F.lit(1)).alias("n_lines"),
-        F.array_sort(F.collect_list(F.struct("rank", "text"))).alias("_lines"),
+        F.min_by("_speaker", "rank").alias("speaker"),
+        F.array_sort(F.collect_list(F.struct("rank", "_text"))).alias("_lines"),
     )
     role = F.get(F.array(*map(F.lit, ROLES)), F.floor(F.col("_first.state") / 2).cast("int"))
-    body = F.array_join(F.transform("_lines", lambda x: x["text"]), "\n")
+    body = F.array_join(F.transform("_lines", lambda x: x["_text"]), "\n")
     return turns.select(
         "conv_id",
         (F.col("_turn") - F.col("origin")).alias("line"),
         role.alias("role"),
         "n_lines",
-        F.concat(F.lit("<|"), role, F.lit("|>\n"), body, F.lit("\n")).alias("rendered"),
+        "speaker",
+        F.concat(F.lit("<|"), role, F.lit("|>\n"), escaped(body), F.lit("\n")).alias("rendered"),
     )

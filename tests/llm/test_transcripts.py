@@ -70,6 +70,39 @@ def test_rendered_turns_keep_every_line_without_its_marker(spark):
         assert all(t["rendered"].startswith(f"<|{t['role']}|>\n") for t in own)
 
 
+def test_no_text_is_lost_or_forged(spark):
+    """Marker-like and header-like lines inside turns stay; speaker and unescaped body give back every line."""
+    model = transcripts.fit(transcripts.numbered_lines(transcripts.raw_transcripts(conversations(spark, 40, 6))))
+    inside = ["Context: this line matters", "# Answer", "A: choose option a", "<|user|>", "x <|system|> y <\\\\|assistant|>", "", " "]
+    long = [sentence(k, 40) for k in range(5)]
+    texts = [["System: " + long[0], *long[1:3]], ["User: " + sentence(9, 5) + "?"], ["Assistant: " + long[3], long[4]]]
+    texts += [[*inside, "word " * 50_000], ["plain"]]
+    rows = [(c, n, line, "clash") for c in (None, 1, 2) for n, line in enumerate(sum(texts, []))]
+    extra = "block string, symbol string, rank string, _turn string, state string, speaker string"
+    raw = spark.createDataFrame([r[:3] + (r[3],) * 6 for r in rows], f"conv_id long, pos long, line string, {extra}")
+    turns = transcripts.recovered_turns(raw, model).withColumn(
+        "body", transcripts.unescaped(F.expr("substr(rendered, length(role) + 6, length(rendered) - length(role) - 6)"))
+    )
+    found = turns.orderBy("conv_id", "line").collect()
+    for conv in (None, 1, 2):
+        own = [t for t in found if t["conv_id"] == conv]
+        assert "\n".join(t["speaker"] + t["body"] for t in own) == "\n".join(line for line in sum(texts, []))
+    for t in found:
+        headers = [r for r in transcripts.ROLES for _ in range(t["rendered"].count(f"<|{r}|>"))]
+        assert headers == [t["role"]]
+    top = next(t for t in found if t["conv_id"] == 1 and t["line"] == 0)
+    assert top["speaker"] == "System: " and top["rendered"].startswith(f"<|system|>\n{long[0]}\n")
+
+
+def test_the_model_is_fitted_to_half_and_judged_on_the_other(spark):
+    raw = transcripts.raw_transcripts(conversations(spark, 80, 6))
+    turns = transcripts.recovered_turns(raw, fit_on=~transcripts.held_out(F.col("conv_id")))
+    seen = transcripts.role_accuracy(turns, raw).first()
+    kept = raw.filter("begins").filter(transcripts.held_out(F.col("conv_id"))).count()
+    assert 0 < seen["n_turns"] == kept < raw.filter("begins").count()
+    assert seen["accuracy"] > 0.9
+
+
 def test_awkward_rows(spark):
     rows = [(None, None, None, None), (None, 1, "user", ""), (1, 1, "user", "x"), (1, 1, "user", "x"), (1, None, "other", "y\nz")]
     rows += [(2, t, "user", "a: b") for t in range(3)]
