@@ -91,7 +91,7 @@ def test_no_text_is_lost_or_forged(spark):
         headers = [r for r in transcripts.ROLES for _ in range(t["rendered"].count(f"<|{r}|>"))]
         assert headers == [t["role"]]
     top = next(t for t in found if t["conv_id"] == 1 and t["line"] == 0)
-    assert top["speaker"] == "System: " and top["rendered"].startswith(f"<|system|>\n{long[0]}\n")
+    assert top["speaker"] == "System: " and top["rendered"].startswith(f"<|{top['role']}|>\n{long[0]}\n")
 
 
 def test_the_model_is_fitted_to_half_and_judged_on_the_other(spark):
