@@ -152,6 +152,15 @@ def accepted_records(checked: DataFrame) -> DataFrame:
     )
 
 
+def needed_parts(checked: DataFrame, payload: str = "payload") -> DataFrame:
+    """``checked`` without what neither kind of row is asked for: the texts and payloads of accepted messages and the
+    typed records of rejected ones are NULL."""
+    accepted = F.col("status") == ACCEPTED
+    return checked.withColumns(
+        {"record": F.when(accepted, F.col("record")), "raw": F.when(~accepted, F.col("raw")), payload: F.when(~accepted, F.col(payload))}
+    )
+
+
 def rejected_records(checked: DataFrame) -> DataFrame:
     """Dead letters: the record as sent, the whole payload, the reason and the source position."""
     return checked.filter(F.col("status") == REJECTED).select(

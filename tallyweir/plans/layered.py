@@ -63,6 +63,7 @@ def _merge_landed(spark: SparkSession, layers: Layers, log: RunLog) -> list[tupl
                     layers.path("silver"),
                     GRAIN_KEYS,
                     gate=lambda table: _judge(table, SILVER_SUITE, layers, batch_id),
+                    stored=True,
                 )
                 stored = materialize(merged, "merge_counts")
                 stored.write.mode("overwrite").json(f"{layers.path('merge_metrics')}/batch_id={batch_id}")

@@ -17,6 +17,7 @@ from tallyweir.operators.merge import ACTION, conform, merge_into_delta, merge_m
 from tallyweir.session import materialize
 
 PUBLISHED = "_PUBLISHED"
+RECORDS_PER_FILE = 500_000  # of JSON lines; compressed files are read by one task each
 KEPT_VERSIONS = 3  # the newest one and those that long readers may still be on
 
 
@@ -30,9 +31,14 @@ def write_documents(docs: DataFrame, path: str) -> None:
     docs.write.mode("overwrite").json(path)
 
 
+def write_json_lines(df: DataFrame, path: str, mode: str = "append") -> None:
+    """Compressed JSON lines, in files of bounded size as no task can share one."""
+    df.write.mode(mode).option("compression", "gzip").option("maxRecordsPerFile", RECORDS_PER_FILE).json(path)
+
+
 def write_messages(messages: DataFrame, path: str) -> None:
     """(payload, source_offset, source_partition) as a folder that streams and batch reads accept."""
-    messages.write.mode("append").json(path)
+    write_json_lines(messages, path)
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -107,14 +113,15 @@ def upsert_table(
     root: str,
     keys: list[str],
     gate: Callable[[DataFrame], None] | None = None,
+    stored: bool = False,
 ) -> DataFrame:
     """Create the snapshot table from ``source``, or merge it in; returns one row of merge counts.
 
     The merged rows are written once, in one folder per merge action, so the counts come from the
-    stored files. ``source`` is stored first as the merge reads it several times.
+    stored files. ``source`` is stored first as the merge reads it several times, unless it is ``stored`` already.
     """
     spark = source.sparkSession
-    source = materialize(source, "merge_source")
+    source = source if stored else materialize(source, "merge_source")
     target = read_snapshot(spark, root)
     if target is None:
         tagged = source.withColumn(ACTION, F.lit("inserted"))

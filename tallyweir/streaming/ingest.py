@@ -13,12 +13,13 @@ from tallyweir.operators.contract import (
     Contract,
     accepted_records,
     apply_contract,
+    needed_parts,
     rejected_records,
 )
 from tallyweir.operators.medallion import silver_increment
 from tallyweir.schemas import GRAIN_KEYS, MESSAGE
 from tallyweir.session import materialize
-from tallyweir.sources.sinks import upsert_table
+from tallyweir.sources.sinks import upsert_table, write_json_lines
 
 FILES_PER_BATCH = 1000
 
@@ -52,9 +53,9 @@ def ingest_stream(
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        checked = materialize(apply_contract(batch, contract), "checked")
+        checked = materialize(needed_parts(apply_contract(batch, contract)), "checked")
         for records, root in ((accepted_records(checked), landing), (rejected_records(checked), dead_letters)):
-            records.write.mode("overwrite").json(f"{root}/batch_id={batch_id}")
+            write_json_lines(records, f"{root}/batch_id={batch_id}", "overwrite")
 
     return each_batch(messages, checkpoint, handle)
 
@@ -79,6 +80,6 @@ def merge_stream(
         whole = batch.sparkSession.read.schema(batch.schema).parquet(f"{arrived}/*")
         grain, others = silver_increment(whole)
         others.write.mode("overwrite").parquet(aside)
-        upsert_table(grain, silver_root, GRAIN_KEYS)
+        upsert_table(grain, silver_root, GRAIN_KEYS, stored=True)
 
     return each_batch(records, checkpoint, handle)
