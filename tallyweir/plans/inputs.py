@@ -20,34 +20,52 @@ def retail_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     Returned items are cancellations with negative quantity, every 50th part is postage. Prices are
     exact decimals. ``defect`` (0 to 96) picks the lines that ``raw_messages`` damages.
     """
-    joined = (
-        spread(table(spark, sf_dir, "lineitem"))
-        .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
-        .join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-        .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-    )
-    returned = F.col("l_returnflag") == "R"
-    order, part = F.col("l_orderkey"), F.col("l_partkey")
-    series = F.when(order >= 1_000_000, F.char(F.lit(68) + (order / 1_000_000).cast("bigint") % 22)).otherwise("")
+    # Texts are made on the small sides, once per part and per order. Lines are then shuffled twice, by part while
+    # they are narrow and by order, however large the tables are.
+    part, order = F.col("p_partkey"), F.col("o_orderkey")
     variant = F.when(part >= 100_000, F.char(F.lit(65) + (part / 100_000).cast("bigint") % 26)).otherwise("")
-    minutes = F.make_dt_interval(mins=(F.col("o_orderkey") % 1440).cast("int"))
-    price = F.col("p_retailprice").cast("decimal(10,2)") * (
-        F.lit(1).cast("decimal(4,2)") - F.col("l_discount").cast("decimal(4,2)")
-    )
-    return joined.select(
-        (order * 10 + F.col("l_linenumber")).alias("line_id"),
-        ((order * 31 + part * 7 + F.col("l_linenumber")) % 97).cast("int").alias("defect"),
-        F.concat(F.when(returned, "C").otherwise(series), F.lpad((order % 1_000_000).cast("string"), 6, "0")).alias("InvoiceNo"),
+    parts = table(spark, sf_dir, "part").select(
+        "p_partkey",
         F.when(part % 50 == 0, "POST")
         .otherwise(F.concat(F.lpad((part % 100_000).cast("string"), 5, "0"), variant))
         .alias("StockCode"),
         F.upper("p_name").alias("Description"),
+        F.col("p_retailprice").cast("decimal(10,2)").alias("_price"),
+    )
+    series = F.when(order >= 1_000_000, F.char(F.lit(68) + (order / 1_000_000).cast("bigint") % 22)).otherwise("")
+    minutes = F.make_dt_interval(mins=(order % 1440).cast("int"))
+    orders = (
+        table(spark, sf_dir, "orders")
+        .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+        .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+        .select(
+            "o_orderkey",
+            series.alias("_series"),
+            F.lpad((order % 1_000_000).cast("string"), 6, "0").alias("_number"),
+            format_invoice_date(F.col("o_orderdate") + minutes).alias("InvoiceDate"),
+            F.col("o_custkey").cast("string").alias("CustomerID"),
+            F.col("n_name").alias("Country"),
+        )
+    )
+    joined = (
+        spread(table(spark, sf_dir, "lineitem"))
+        .join(parts, F.col("l_partkey") == part)
+        .join(orders, F.col("l_orderkey") == order)
+    )
+    returned = F.col("l_returnflag") == "R"
+    line_order, line_part = F.col("l_orderkey"), F.col("l_partkey")
+    price = F.col("_price") * (F.lit(1).cast("decimal(4,2)") - F.col("l_discount").cast("decimal(4,2)"))
+    return joined.select(
+        (line_order * 10 + F.col("l_linenumber")).alias("line_id"),
+        ((line_order * 31 + line_part * 7 + F.col("l_linenumber")) % 97).cast("int").alias("defect"),
+        F.concat(F.when(returned, "C").otherwise(F.col("_series")), "_number").alias("InvoiceNo"),
+        "StockCode",
+        "Description",
         (F.when(returned, -1).otherwise(1) * F.col("l_quantity").cast("bigint")).alias("Quantity"),
-        format_invoice_date(F.col("o_orderdate") + minutes).alias("InvoiceDate"),
+        "InvoiceDate",
         price.cast("decimal(18,4)").alias("UnitPrice"),
-        F.col("o_custkey").cast("string").alias("CustomerID"),
-        F.col("n_name").alias("Country"),
+        "CustomerID",
+        "Country",
     )
 
 
