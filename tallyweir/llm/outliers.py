@@ -27,7 +27,7 @@ from statistics import NormalDist
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyweir.session import broadcast_if_small, materialize
+from tallyweir.session import broadcast_if_small, is_small, materialize
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -172,9 +172,9 @@ def _distance() -> Column:
     )
 
 
-def _binned(stats: DataFrame, estimates: DataFrame, totals: list[Column]) -> DataFrame:
+def _binned(stats: DataFrame, estimates: DataFrame, totals: list[Column], small: bool) -> DataFrame:
     """Per start, group and distance bin: the row count ``_n``, ``totals``, and the rows before and in all bins."""
-    measured = stats.join(broadcast_if_small(estimates), GROUP).withColumn(
+    measured = stats.join(F.broadcast(estimates) if small else estimates, GROUP).withColumn(
         "_bin", F.floor(F.log1p(F.greatest(_distance(), F.lit(0.0))) * BINS_PER_UNIT)
     )
     counted = measured.groupBy("_start", *GROUP, "_bin").agg(F.count(F.lit(1)).alias("_n"), *totals)
@@ -278,17 +278,18 @@ def fit_groups(stats: DataFrame, steps: int = CONCENTRATION_STEPS, support: floa
     """
     usable = stats.filter("NOT base_failed")
     estimates = _starts(usable)
+    small = is_small(estimates)  # every step has as many rows
+    moments = [f"_a{i}" for i in range(D)] + [f"_b{i}_{j}" for i, j in PAIRS]
+    key = ["_start", *GROUP]
     before = moved = None
     for _ in range(steps):
-        bins = _binned(usable, estimates, _moments())
+        bins = _binned(usable, estimates, _moments(), small)
         nearest = bins.filter(F.col("_before") < F.ceil(F.col("_all") * support))
-        moments = [f"_a{i}" for i in range(D)] + [f"_b{i}_{j}" for i, j in PAIRS]
-        sums = materialize(
-            nearest.groupBy("_start", *GROUP).agg(F.sum("_n").alias("_n"), *(F.sum(c).alias(c) for c in moments)),
-            "mcd-sums",
-        )
-        # the sums are exact, so groups with the sums of the step before have kept the same rows
-        moved = sums if before is None else materialize(sums.subtract(before), "mcd-moved")
+        sums = nearest.groupBy(*key).agg(F.sum("_n").alias("_n"), *(F.sum(c).alias(c) for c in moments))
+        sums = materialize(sums, "mcd-sums")
+        # The sums are exact, so groups with the sums of the step before have kept the same rows. Queries are few and
+        # small here, as the driver keeps the plans of all.
+        moved = sums if before is None else sums.subtract(before)
         if moved.isEmpty():
             break
         before = sums
@@ -300,9 +301,10 @@ def fit_groups(stats: DataFrame, steps: int = CONCENTRATION_STEPS, support: floa
     if moved is None:
         chosen = chosen.withColumn("_settled", F.lit(False))
     else:
-        unsettled = moved.select("_start", *GROUP, F.lit(False).alias("_settled"))
-        chosen = chosen.join(broadcast_if_small(unsettled), ["_start", *GROUP], "left").fillna(True, ["_settled"])
-    bins = _binned(usable, chosen, [])
+        unsettled = moved.select(*key, F.lit(False).alias("_settled"))
+        chosen = chosen.join(F.broadcast(unsettled) if small else unsettled, key, "left")
+        chosen = chosen.fillna(True, ["_settled"])
+    bins = _binned(usable, chosen, [], small)
     middle = bins.filter("_before * 2 < _all").groupBy(*GROUP).agg(F.max("_bin").alias("_bin"))
     expected = chi_square_quantile(0.5, D)
     scale = F.greatest(F.lit(1.0), F.expm1((F.col("_bin") + 0.5) / BINS_PER_UNIT) / expected)

@@ -162,3 +162,13 @@ def test_keeping_agrees_with_the_verdicts(spark):
 def test_no_python_in_the_plan(spark):
     plan = outliers.with_base_counts(awkward(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_a_step_starts_few_queries(spark, monkeypatch):
+    stored, measured = [], []
+    real, small = outliers.materialize, outliers.is_small
+    monkeypatch.setattr(outliers, "materialize", lambda df, label: stored.append(label) or real(df, label))
+    monkeypatch.setattr(outliers, "is_small", lambda df: measured.append(1) or small(df))
+    docs = documents(spark, [sentence(i, 60 + i) for i in range(30)])
+    outliers.fit_groups(outliers.with_base_counts(docs), steps=2)
+    assert stored.count("mcd-sums") <= 2 and "mcd-moved" not in stored and measured == [1]
