@@ -5,26 +5,39 @@ looks into the ``probes`` lists whose centroids are nearest to it, and what it f
 distance. It then goes on to every further list that can hold a vector as near as its k-th one, by the distance
 of the list's centroid less the list's radius; with fewer than k found, to all lists. The result is that of the exact
 search, whatever the number of lists; ``probes`` and the sample only decide how much is scanned.
+
+Lists are stored in order, a large one over several files. A task scores the vectors of a list against the questions that are
+open for it as one matrix and keeps the best ``k`` per question, so no (question, vector) pairs are ever rows. Vectors without
+any structure leave most lists open; the pairs to score then grow with vectors times questions, as in the exact search.
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyweir.operators.rank import top_n_per_group
-from tallyweir.operators.search import SCORE_DECIMALS
-from tallyweir.session import broadcast_if_small, materialize
+from tallyweir.operators.search import BLOCK_CELLS, CELL_ROWS, SCORE_DECIMALS, flat_list, search_top_k
+from tallyweir.session import materialize
 
 SAMPLE_ROWS = 20_000
 LIST_ROWS = 100  # vectors per list aimed at
 MAX_LISTS = 4096
 PROBES = 12
 SEED = 42
+ROUTED_ROWS = 1_000  # vectors measured against all centroids at once
+#: Up to so many questions travel to the lists whole; more are laid out as a grid, see ``search_top_k``.
+QUERY_LIMITS = (50_000, 64 * 1024 * 1024, 50_000)
+#: The score of a distance that is no number, which comes last.
+UNKNOWN = -1e290
 
 
 @dataclass(frozen=True)
@@ -32,19 +45,70 @@ class VectorLists:
     """Stored vectors (keys, embedding, list), and the centroids and radii of the lists, by list number."""
 
     vectors: DataFrame
-    centroids: list[list[float]]
-    radii: list[float]
+    centroids: np.ndarray
+    radii: np.ndarray
     keys: list[str]
 
 
-def _squares(a: Column, b: Column) -> Column:
-    return F.aggregate(
-        F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda done, value: done + value
-    )
+def _matrix(column) -> np.ndarray:
+    items, lengths = flat_list(column)
+    width = int(lengths[0]) if len(lengths) else 0
+    return items.to_numpy(zero_copy_only=False).astype(float).reshape(len(lengths), width)
+
+
+def _away(vectors: np.ndarray, centroids: np.ndarray) -> np.ndarray:
+    """Distances of all vectors (rows) to all centroids; one that is no number is infinite."""
+    squares = (vectors * vectors).sum(axis=1)[:, None] + (centroids * centroids).sum(axis=1) - 2 * (vectors @ centroids.T)
+    return np.nan_to_num(np.sqrt(np.maximum(squares, 0)), nan=np.inf)
+
+
+def _nearest(vectors: DataFrame, centroids: np.ndarray, n: int) -> DataFrame:
+    """``vectors`` (with embedding) plus ``places``, the ``n`` lists with the nearest centroids, the nearest one first."""
+    shared = vectors.sparkSession.sparkContext.broadcast(centroids)
+    n = min(n, len(centroids))
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start in range(0, batch.num_rows, ROUTED_ROWS):
+                part = batch.slice(start, ROUTED_ROWS)
+                away = _away(_matrix(part.column("embedding")), shared.value)
+                some = np.argpartition(away, n - 1, axis=1)[:, :n]
+                order = np.argsort(np.take_along_axis(away, some, axis=1), axis=1, kind="stable")
+                lists = np.take_along_axis(some, order, axis=1).astype(np.int32)
+                ends = np.arange(0, lists.size + 1, n, dtype=np.int32)
+                places = pa.ListArray.from_arrays(pa.array(ends), pa.array(lists.ravel()))
+                yield pa.RecordBatch.from_arrays([*part.columns, places], [*part.schema.names, "places"])
 
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in vectors.schema)
+    return vectors.mapInArrow(placed, f"{kinds}, places array<int>")
 
-def squared_distance(a: Column, b: Column) -> Column:
-    return F.round(_squares(a, b), SCORE_DECIMALS)
+
+def _runs(numbers: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Every number of the array, with the rows that hold it."""
+    order = np.argsort(numbers, kind="stable")
+    first = np.flatnonzero(np.diff(numbers[order], prepend=-1))
+    for at, end in zip(first, [*first[1:], len(order)]):
+        yield int(numbers[order[at]]), order[at:end]
+
+
+def _radii(vectors: DataFrame, centroids: np.ndarray) -> np.ndarray:
+    """The largest distance of each list's vectors to its centroid."""
+    shared = vectors.sparkSession.sparkContext.broadcast(centroids)
+
+    def widest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        radii = np.full(len(shared.value), -1.0)
+        for batch in batches:
+            numbers = batch.column("list").to_numpy(zero_copy_only=False)
+            gap = _matrix(batch.column("embedding")) - shared.value[numbers]
+            np.maximum.at(radii, numbers, np.nan_to_num(np.sqrt((gap * gap).sum(axis=1)), nan=np.inf))
+        used = np.flatnonzero(radii >= 0)
+        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(radii[used])], ["list", "radius"])
+
+    found = vectors.select("list", "embedding").mapInArrow(widest, "list int, radius double")
+    radii = np.zeros(len(centroids))
+    for row in found.groupBy("list").agg(F.max("radius").alias("radius")).collect():  # one number per list
+        radii[row["list"]] = row["radius"]
+    return radii
 
 
 def build_lists(vectors: DataFrame, keys: list[str], n_lists: int | None = None, sample_rows: int = SAMPLE_ROWS) -> VectorLists:
@@ -56,69 +120,107 @@ def build_lists(vectors: DataFrame, keys: list[str], n_lists: int | None = None,
     whole = whole.filter("embedding IS NOT NULL")
     n = whole.count()
     if not n:
-        return VectorLists(whole.withColumn("list", F.lit(0)), [], [], keys)
+        return VectorLists(whole.withColumn("list", F.lit(0)), np.zeros((0, 0)), np.zeros(0), keys)
     share = min(1.0, sample_rows / n)
     sample = whole.filter(F.pmod(F.xxhash64(*keys), F.lit(1 << 40)) < int(share * (1 << 40)))
     featured = materialize(sample.select(array_to_vector("embedding").alias("features")), "list-sample")
     wanted = n_lists or max(1, min(MAX_LISTS, n // LIST_ROWS))
-    model: KMeansModel = KMeans(k=wanted, seed=SEED, maxIter=10).fit(featured)
-    placed = model.transform(whole.withColumn("features", array_to_vector("embedding")))
-    stored = placed.select(*keys, "embedding", F.col("prediction").alias("list"))
-    centroids = [list(map(float, c)) for c in model.clusterCenters()]
-    lists = materialize(stored, "lists")
-    centre = F.array(*(F.array(*map(F.lit, c)) for c in centroids))[F.col("list")]
-    widest = lists.groupBy("list").agg(F.max(F.sqrt(_squares(F.col("embedding"), centre))).alias("radius"))
-    radii = {r["list"]: r["radius"] for r in widest.collect()}  # one number per list
-    return VectorLists(lists, centroids, [radii.get(i, 0.0) for i in range(len(centroids))], keys)
-
-
-def ordered_lists(embedding: Column, lists: VectorLists) -> Column:
-    """All lists as (d, list, least), the nearest centroid first; no vector of a list has a squared distance below ``least``."""
-    known = F.array(
-        *(
-            F.struct(F.lit(i).alias("list"), F.lit(r).alias("radius"), F.array(*map(F.lit, c)).alias("at"))
-            for i, (c, r) in enumerate(zip(lists.centroids, lists.radii))
-        )
-    )
-
-    def measured(c: Column) -> Column:
-        away = F.sqrt(_squares(embedding, c["at"]))
-        # less what rounding may have added; a distance that is no number rules nothing out
-        gap = F.nanvl(away - c["radius"] - (away + c["radius"]) * 1e-9, F.lit(0.0))
-        return F.struct(away.alias("d"), c["list"].alias("list"), F.pow(F.greatest(gap, F.lit(0.0)), 2).alias("least"))
-
-    return F.array_sort(F.transform(known, measured))
-
-
-def lists_topk(lists: VectorLists, queries: DataFrame, k: int = 15, probes: int = PROBES) -> DataFrame:
+    # the centres begin as rows of the sample: choosing them by distance is work of the driver alone
+    model: KMeansModel = KMeans(k=wanted, seed=SEED, maxIter=10, initMode="random").fit(featured)
+    centroids = np.array([list(map(float, c)) for c in model.clusterCenters()])
+    placed = _nearest(whole, centroids, 1).select(*keys, "embedding", F.col("places")[0].alias("list"))
+    files = max(vectors.sparkSession.sparkContext.defaultParallelism, math.ceil(n / CELL_ROWS))
+    # by ranges of list and key, so that a list of any size is spread; stored first, as the ranges are drawn from all rows
+    placed = materialize(placed, "placed-vectors").repartitionByRange(files, "list", *keys)
+    lists = materialize(placed.sortWithinPartitions("list"), "lists")
+    return VectorLists(lists, centroids, _radii(lists, centroids), keys)
+
+
+def _list_scorer(lists: VectorLists, further: bool):
+    """Negated squared distances of the vectors to the questions that are open for their list, see ``search_top_k``.
+
+    These are the questions with the list among their ``places``, or if ``further`` those without it whose ``bound`` (the
+    squared distance of their k-th best so far, or null) the list's vectors may reach.
+    """
+    shared = lists.vectors.sparkSession.sparkContext.broadcast((lists.centroids, lists.radii))
+
+    def prepare(queries: pa.Table):
+        centroids, radii = shared.value
+        wanted = _matrix(queries.column("embedding"))
+        items, lengths = flat_list(queries.column("places"))
+        places = items.to_numpy(zero_copy_only=False).reshape(len(lengths), -1) if len(items) else np.zeros((0, 1))
+        if further:
+            bound = queries.column("bound").to_numpy().astype(float)
+            bound = np.where(np.isnan(bound), np.inf, bound + 10.0**-SCORE_DECIMALS)
+
+        def asking(number: int) -> np.ndarray:
+            if not len(wanted):
+                return np.zeros(0, dtype=np.int64)
+            first = (places == number).any(axis=1)
+            if not further:
+                return np.flatnonzero(first)
+            gap = wanted - centroids[number]
+            away = np.sqrt((gap * gap).sum(axis=1))
+            # less what rounding may have added; a distance that is no number rules nothing out
+            with np.errstate(invalid="ignore"):
+                room = away - radii[number] - (away + radii[number]) * 1e-9
+            least = np.maximum(np.where(np.isfinite(room), room, 0), 0) ** 2
+            return np.flatnonzero(~first & (least <= bound))
+
+        known: dict[int, np.ndarray] = {}
+
+        def score(batch):
+            vectors = _matrix(batch.column("embedding"))
+            for number, rows in _runs(batch.column("list").to_numpy()):
+                if number not in known:
+                    known.clear()  # lists come in order
+                    known[number] = asking(number)
+                open_now = known[number]
+                step = max(1, BLOCK_CELLS // max(1, len(open_now)))
+                step = max(step, min(len(rows), 256))
+                width = max(1, BLOCK_CELLS // step)
+                for start in range(0, len(rows), step):
+                    # measured from the centroid, as products of long vectors would lose the digits of a small distance
+                    block = vectors[rows[start : start + step]] - centroids[number]
+                    of_block = (block * block).sum(axis=1)[:, None]
+                    for left in range(0, len(open_now), width):
+                        asked = open_now[left : left + width]
+                        sought = wanted[asked] - centroids[number]
+                        scores = 2 * (block @ sought.T) - of_block - (sought * sought).sum(axis=1)
+                        scores = np.where(np.isnan(scores), UNKNOWN, np.minimum(scores, 0))
+                        if further:
+                            scores[scores < -bound[asked]] = -np.inf
+                        yield rows[start : start + step], scores, asked
+
+        return queries.column("query_id").combine_chunks(), score
+
+    return prepare
+
+
+def lists_topk(
+    lists: VectorLists, queries: DataFrame, k: int = 15, probes: int = PROBES, query_limits: tuple[int, int, int] = QUERY_LIMITS
+) -> DataFrame:
     """(query_id, *keys, distance, rank) of the ``k`` nearest vectors of all.
 
     The questions travel to the lists; a list that holds a third of all vectors stays spread as it is stored.
     """
-    asked = queries.select("query_id", F.col("embedding").cast("array<double>").alias("wanted")).filter("wanted IS NOT NULL")
-    order = [F.asc("distance"), *(F.asc(key) for key in lists.keys)]
-    if not lists.centroids:
-        none = asked.crossJoin(lists.vectors.filter("false"))
-        scored = none.select("query_id", *lists.keys, squared_distance(F.col("embedding"), F.col("wanted")).alias("distance"))
-        return top_n_per_group(scored, ["query_id"], order, k).withColumn("rank", F.col("rank") - 1)
-    placed = asked.select("query_id", "wanted", ordered_lists(F.col("wanted"), lists).alias("places"))
-    placed = materialize(placed, "placed-questions")
-
-    def best(routed: DataFrame, label: str) -> DataFrame:
-        found = lists.vectors.join(broadcast_if_small(materialize(routed, label)), "list")
-        return found.select("query_id", *lists.keys, squared_distance(F.col("embedding"), F.col("wanted")).alias("distance"))
-
-    near = best(placed.select("query_id", "wanted", F.explode(F.slice("places", 1, probes)["list"]).alias("list")), "first-lists")
-    first = materialize(top_n_per_group(near, ["query_id"], order, k).drop("rank"), "first-found")
-    full = first.groupBy("query_id").agg(F.max("distance").alias("bound"), F.count(F.lit(1)).alias("n")).filter(F.col("n") >= k)
-    bounded = placed.join(full.select(F.col("query_id").alias("_id"), "bound"), F.col("query_id").eqNullSafe(F.col("_id")), "left")
-    slack = F.lit(10.0**-SCORE_DECIMALS)
-    further = F.filter(
-        F.slice("places", probes + 1, len(lists.centroids)),
-        lambda p: F.col("bound").isNull() | (p["least"] <= F.col("bound") + slack),
-    )
-    rest = best(bounded.select("query_id", "wanted", F.explode(further["list"]).alias("list")), "further-lists")
-    return top_n_per_group(first.unionByName(rest), ["query_id"], order, k).withColumn("rank", F.col("rank") - 1)
+    asked = queries.select("query_id", F.col("embedding").cast("array<double>").alias("embedding")).filter("embedding IS NOT NULL")
+    if len(lists.centroids):
+        asked = _nearest(asked, lists.centroids, probes)
+    else:
+        asked = asked.withColumn("places", F.array().cast("array<int>"))
+    asked = materialize(asked, "placed-questions")
+
+    def best(questions: DataFrame, further: bool) -> DataFrame:
+        return search_top_k(lists.vectors, questions, lists.keys, _list_scorer(lists, further), k, query_limits=query_limits)
+
+    first = materialize(best(asked, False), "first-found")
+    full = first.filter(F.col("rank") == k - 1).select("query_id", (-F.col("score")).alias("bound"))
+    rest = best(asked.join(full, "query_id", "left"), True)
+    order = [F.desc("score"), *(F.asc(key) for key in lists.keys)]
+    both = top_n_per_group(first.drop("rank").unionByName(rest.drop("rank")), ["query_id"], order, k)
+    distance = F.when(F.col("score") <= UNKNOWN, F.lit(float("nan"))).otherwise(F.abs("score")).alias("distance")
+    return both.select("query_id", *lists.keys, distance, (F.col("rank") - 1).alias("rank"))
 
 
 def recall(found: DataFrame, exact: DataFrame, keys: list[str]) -> float:

@@ -26,13 +26,15 @@ QUERY_MAX_ROWS = 500_000
 QUERY_MAX_BYTES = 64 * 1024 * 1024
 MAX_QUERIES = 5_000
 BLOCK_CELLS = 500_000  # scores held at once per task
+PENDING_ROWS = 100_000  # found rows that a task collects, at least, before it ranks them
 CELL_ROWS = 20_000  # corpus rows per grid cell
 CELL_QUERIES = 1_000
 SCORE_DECIMALS = 9
 
 # Takes the query table; returns the query ids and a function from a corpus batch to score blocks:
-# (first row, matrix of rows x queries). Higher is better.
-Scorer = Callable[[pa.RecordBatch | pa.Table], Iterator[tuple[int, np.ndarray]]]
+# (rows, matrix of rows x queries), or (rows, matrix, queries) for a block of some of the queries. Rows are the number of the
+# first one, or the numbers of all. Higher is better.
+Scorer = Callable[[pa.RecordBatch | pa.Table], Iterator[tuple]]
 Prepare = Callable[[pa.Table], tuple[pa.Array, Scorer]]
 
 
@@ -48,34 +50,45 @@ class _Best:
     def __init__(self, n_queries: int, k: int, keys: list[str], above: float) -> None:
         self.k, self.keys, self.above = k, keys, above
         self.floor = np.full(n_queries, -np.inf)
-        self.rows = None
-
-    def offer(self, key_frame, start: int, scores: np.ndarray) -> None:
-        import pandas as pd
+        self.found, self.waiting = [], 0
 
+    def offer(self, key_frame, rows, scores: np.ndarray, queries: np.ndarray | None = None) -> None:
         scores = round_score(scores)
-        if len(scores) > self.k:  # what is below a block's own k-th best can't be among the best
+        of = slice(None) if queries is None else queries
+        row, query = np.nonzero((scores > self.above) & (scores >= self.floor[of]))
+        if len(row) > self.k * scores.shape[1]:  # what is below a block's own k-th best can't be among the best
             block_floor = np.partition(scores, -self.k, axis=0)[-self.k]
-            self.floor = np.maximum(self.floor, block_floor)
-        row, query = np.nonzero((scores > self.above) & (scores >= self.floor))
+            self.floor[of] = np.maximum(self.floor[of], block_floor)
+            row, query = np.nonzero((scores > self.above) & (scores >= self.floor[of]))
         if not len(row):
             return
-        found = key_frame.iloc[start + row].reset_index(drop=True)
-        found.insert(0, "_q", query)
+        found = key_frame.iloc[rows + row if np.ndim(rows) == 0 else rows[row]].reset_index(drop=True)
+        found.insert(0, "_q", query if queries is None else queries[query])
         found.insert(1, "_s", scores[row, query])
-        rows = found if self.rows is None else pd.concat([self.rows, found], ignore_index=True)
+        self.found.append(found)
+        self.waiting += len(found)
+        if self.waiting > max(PENDING_ROWS, self.k * len(self.floor)):
+            self.rank()
+
+    def rank(self) -> None:
+        """Cut what was found down to the ``k`` best rows per query."""
+        import pandas as pd
+
+        rows = pd.concat(self.found, ignore_index=True)
         rows = rows.sort_values(["_q", "_s", *self.keys], ascending=[True, False] + [True] * len(self.keys))
         place = rows.groupby("_q", sort=False).cumcount()
-        self.rows = rows[place < self.k]
-        last = self.rows[place[place < self.k] == self.k - 1]
+        self.found, self.waiting = [rows[place < self.k]], 0
+        last = rows[place == self.k - 1]
         self.floor[last["_q"].to_numpy()] = last["_s"].to_numpy()
 
     def table(self, query_ids: pa.Array, schema: pa.Schema) -> pa.Table:
-        if self.rows is None:
+        if not self.found:
             return schema.empty_table()
-        columns = [query_ids.take(pa.array(self.rows["_q"].to_numpy()))]
-        columns += [pa.array(self.rows[key].tolist()) for key in self.keys]
-        columns.append(pa.array(self.rows["_s"].to_numpy()))
+        self.rank()
+        rows = self.found[0]
+        columns = [query_ids.take(pa.array(rows["_q"].to_numpy()))]
+        columns += [pa.array(rows[key].tolist()) for key in self.keys]
+        columns.append(pa.array(rows["_s"].to_numpy()))
         return pa.Table.from_arrays([c.cast(f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
@@ -131,8 +144,8 @@ def _scan(corpus, queries, keys, prepare, k, above) -> DataFrame:
         best = _Best(len(query_ids), k, keys, above)
         for batch in batches:
             key_frame = _keys_of(batch, keys)
-            for start, scores in scorer(batch):
-                best.offer(key_frame, start, scores)
+            for block in scorer(batch):
+                best.offer(key_frame, *block)
         yield from best.table(query_ids, output).to_batches()
 
     return corpus.mapInArrow(score, schema)
@@ -159,8 +172,8 @@ def _grid(corpus, queries, keys, prepare, k, above) -> DataFrame:
         query_ids, scorer = prepare(block)
         best = _Best(len(query_ids), k, keys, above)
         key_frame = _keys_of(part, keys)
-        for start, scores in scorer(part.combine_chunks()):
-            best.offer(key_frame, start, scores)
+        for block in scorer(part.combine_chunks()):
+            best.offer(key_frame, *block)
         return best.table(query_ids, output)
 
     return left.groupBy("_part", "_block").cogroup(right.groupBy("_part", "_block")).applyInArrow(score, schema)

@@ -5,7 +5,8 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from tallyweir.operators import contract
+from tallyweir.operators import contract, lists
+from tallyweir.operators.vector import vector_topk
 from tallyweir.plans import inputs
 from tallyweir.sources import files, sinks
 from tallyweir.streaming.ingest import ingest_stream, message_stream
@@ -50,3 +51,34 @@ def test_moments_are_those_of_the_pattern(spark):
     spaced = F.trim(F.regexp_replace("t", r"\s+", " "))
     wanted = F.try_to_timestamp(spaced, F.lit("M/d/yyyy H:m"))
     assert df.filter(~parse_invoice_date(F.col("t")).eqNullSafe(wanted)).isEmpty()
+
+
+@needs_tables
+def test_lists_are_no_literals_of_the_plan_and_pairs_no_rows(spark):
+    """Centroids grow with the vectors; a plan that holds them, or a row per pair, grows faster than the input."""
+    vectors = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
+    asked = vectors.filter("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
+    index = lists.build_lists(vectors, ["vec_id"], n_lists=40)
+    found = lists.lists_topk(index, asked, 5, probes=2)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "zip_with" not in plan and "lambda" not in plan and "Join" not in plan and len(plan) < 20_000
+    exact = vector_topk(vectors, asked, ["vec_id"], 5)
+    rows = [sorted((r["query_id"], r["rank"], r["vec_id"], round(r["distance"], 6)) for r in t.collect()) for t in (found, exact)]
+    assert rows[0] == rows[1]
+
+
+@pytest.mark.parametrize("limits", [(50_000, 1 << 26, 50_000), (1, 1, 1)], ids=["broadcast", "grid"])
+def test_lists_with_many_copies_far_from_the_origin(spark, limits):
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    data = 1e4 + rng.normal(size=(400, 6))
+    data[50:200] = data[0]
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(data)], "vec_id int, embedding array<double>")
+    asked = vectors.filter("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
+    index = lists.build_lists(vectors, ["vec_id"], n_lists=30)
+    found = lists.lists_topk(index, asked, 7, probes=3, query_limits=limits).orderBy("query_id", "rank").collect()
+    for q in range(0, 400, 20):
+        distance = np.round(((data - data[q]) ** 2).sum(axis=1), 9)
+        wanted = sorted(range(400), key=lambda i: (distance[i], i))[:7]
+        assert [r["vec_id"] for r in found if r["query_id"] == q] == wanted
