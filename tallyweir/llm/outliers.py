@@ -7,9 +7,11 @@ again" until no group's rows change, and the start with the smaller determinant
 squared Mahalanobis distance is beyond a chi-square quantile. Groups whose rows still changed at step
 ``CONCENTRATION_STEPS`` are reported as not settled.
 
-Everything is a column expression. The vectors are fixed-point integers, so all sums are exact and the
+Whatever looks at documents is a column expression. The vectors are fixed-point integers, so all sums are exact and the
 estimates do not depend on task order. A concentration step is one aggregate over (group, distance bin), so
-rows are added up within their task and a group of any size never meets in one place.
+rows are added up within their task and a group of any size never meets in one place. Between two steps the moments, one row
+per start and group, are pooled and inverted: on the driver for up to ``DRIVER_ROWS`` rows, as MLlib does with the centres
+of k-means, and by further queries for more. Both follow the same formulas.
 
 Small groups: the moments of a group are mixed with ``PRIOR_ROWS`` pseudo-rows that have the moments of its
 language, and those of a language with as many that have the moments of the whole table. Each statistic has
@@ -24,6 +26,8 @@ from __future__ import annotations
 
 from statistics import NormalDist
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,6 +41,7 @@ PRIOR_ROWS = 50
 REJECT_QUANTILE = 0.9999
 FIXED_POINT = 256
 BINS_PER_UNIT = 16
+DRIVER_ROWS = 10_000  # starts times groups
 
 #: Word length, symbols, repeated lines, capitals, repeated words, text length: (expression, least deviation).
 STATISTICS = [
@@ -50,6 +55,7 @@ STATISTICS = [
 D = len(STATISTICS)
 PAIRS = [(i, j) for i in range(D) for j in range(i, D)]
 GROUP = ["_lang", "_source"]
+MOMENTS = [f"_a{i}" for i in range(D)] + [f"_b{i}_{j}" for i, j in PAIRS]
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 _SPACE = r"[\\x20\\x09-\\x0D]"
@@ -193,7 +199,7 @@ def _moments() -> list[Column]:
 
 def _pooled(sums: DataFrame) -> DataFrame:
     """Mean and covariance per start and group from moment sums, drawn towards language and table."""
-    moments = [f"_a{i}" for i in range(D)] + [f"_b{i}_{j}" for i, j in PAIRS]
+    moments = MOMENTS
 
     def total(keys: list[str]) -> DataFrame:
         return sums.groupBy(*keys).agg(F.sum("_n").alias("_n"), *(F.expr(f"sum({c}) as {c}") for c in moments))
@@ -269,26 +275,93 @@ def _starts(stats: DataFrame) -> DataFrame:
     return materialize(_with_inverse(scaled.unionByName(signed)), "mcd-start")
 
 
-def fit_groups(stats: DataFrame, steps: int = CONCENTRATION_STEPS, support: float = SUPPORT) -> DataFrame:
-    """The estimates per ``_lang`` and ``_source``: ``_m*``, ``_p*_*``, ``_limit``, the largest squared distance kept, and
-    ``_settled``, whether a further step would keep the same rows.
-
-    ``stats`` holds ``_lang``, ``_source`` and ``_q*``, and should be stored, as each step reads it. ``_limit``
-    is the chi-square quantile times the ratio of the median distance to its expected value, if above one.
-    """
-    usable = stats.filter("NOT base_failed")
-    estimates = _starts(usable)
-    small = is_small(estimates)  # every step has as many rows
-    moments = [f"_a{i}" for i in range(D)] + [f"_b{i}_{j}" for i, j in PAIRS]
+def _driver_estimates(sums: list) -> dict[tuple, np.ndarray]:
+    """``_with_inverse(_pooled(sums))`` of collected rows: means, inverse (upper triangle) and ``_logdet`` by start and group."""
+    keys = [tuple(r[:3]) for r in sums]
+    n = np.array([r[3] for r in sums], dtype=np.int64)
+    moments = np.array([r[4:] for r in sums], dtype=np.int64)
+
+    def total(names: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        known = {name: i for i, name in enumerate(dict.fromkeys(names))}
+        place = np.array([known[name] for name in names])
+        rows, first = np.zeros(len(known), dtype=np.int64), np.zeros((len(known), len(MOMENTS)), dtype=np.int64)
+        np.add.at(rows, place, n)
+        np.add.at(first, place, moments)
+        return place, rows, first
+
+    language, n_language, of_language = total([k[:2] for k in keys])
+    start, n_start, of_start = total([k[0] for k in keys])
+    above = np.zeros(len(n_language), dtype=np.int64)
+    above[language] = start
+    of_language = of_language + PRIOR_ROWS * (of_start / n_start[:, None])[above]
+    n_language = (n_language + PRIOR_ROWS).astype(float)
+    mixed = moments + PRIOR_ROWS * (of_language / n_language[:, None])[language]
+    n = (n + PRIOR_ROWS).astype(float)
+    a, b = mixed[:, :D], mixed[:, D:]
+    m = np.zeros((len(keys), D, D))
+    for p, (i, j) in enumerate(PAIRS):
+        m[:, i, j] = b[:, p] / n - a[:, i] * a[:, j] / (n * n) + (_floor(i) ** 2 if i == j else 0.0)
+        m[:, j, i] = m[:, i, j]
+    logdet = np.zeros(len(keys))
+    for k in range(D):
+        pivot = m[:, k, k].copy()
+        logdet += np.log(pivot)
+        done = m - m[:, :, k, None] * m[:, k, None, :] / pivot[:, None, None]
+        done[:, k, :] = m[:, k, :] / pivot[:, None]
+        done[:, :, k] = -m[:, :, k] / pivot[:, None]
+        done[:, k, k] = 1 / pivot
+        m = done
+    inverse = np.stack([m[:, i, j] for i, j in PAIRS], axis=1)
+    return dict(zip(keys, np.concatenate([a / n[:, None], inverse, logdet[:, None]], axis=1)))
+
+
+def _as_table(stats: DataFrame, estimates: dict[tuple, np.ndarray], settled: list[bool] | None = None) -> DataFrame:
+    names = [f"_m{i}" for i in range(D)] + [f"_p{i}_{j}" for i, j in PAIRS] + ["_logdet"]
+    keys, values = list(estimates), np.array(list(estimates.values())).reshape(len(estimates), len(names))
+    columns = {"_start": pa.array([k[0] for k in keys], pa.int32())}
+    columns |= {g: pa.array([k[i + 1] for k in keys], pa.string()) for i, g in enumerate(GROUP)}
+    columns |= {name: pa.array(values[:, i]) for i, name in enumerate(names)}
+    if settled is not None:
+        columns["_settled"] = pa.array(settled, pa.bool_())
+    return stats.sparkSession.createDataFrame(pa.table(columns))
+
+
+def _concentrated(usable: DataFrame, estimates: DataFrame, support: float, small: bool) -> DataFrame:
+    """One step: ``_n`` and the moments of the nearest rows, per start and group."""
+    bins = _binned(usable, estimates, _moments(), small)
+    nearest = bins.filter(F.col("_before") < F.ceil(F.col("_all") * support))
+    return nearest.groupBy("_start", *GROUP).agg(F.sum("_n").alias("_n"), *(F.sum(c).alias(c) for c in MOMENTS))
+
+
+def _chosen_on_driver(usable: DataFrame, estimates: DataFrame, steps: int, support: float) -> DataFrame:
+    """The better start of each group after concentration, with ``_settled``; one query a step."""
+    names = [f"_m{i}" for i in range(D)] + [f"_p{i}_{j}" for i, j in PAIRS] + ["_logdet"]
+    rows = estimates.select("_start", *GROUP, *names).collect()
+    known = {tuple(r[:3]): np.array(r[3:], dtype=float) for r in rows}
+    before = moved = None
+    for _ in range(steps if known else 0):
+        sums = _concentrated(usable, _as_table(usable, known), support, True).collect()
+        # the sums are exact, so groups with the sums of the step before have kept the same rows
+        moved = set(map(tuple, sums)) - (before or set())
+        if not moved:
+            break
+        before = set(map(tuple, sums))
+        known = _driver_estimates(sums)
+    best = {}
+    for key in known:
+        logdet = known[key][-1]
+        best[key[1:]] = min(best.get(key[1:], ((True, np.inf, 3), None)), ((bool(np.isnan(logdet)), logdet, key[0]), key), key=lambda e: e[0])
+    unsettled = set(known) if moved is None else {m[:3] for m in moved}
+    chosen = {key: known[key] for _, key in best.values()}
+    return _as_table(usable, chosen, [key not in unsettled for key in chosen])
+
+
+def _chosen_by_queries(usable: DataFrame, estimates: DataFrame, steps: int, support: float, small: bool) -> DataFrame:
+    """The same for any number of groups; the estimates stay tables."""
     key = ["_start", *GROUP]
     before = moved = None
     for _ in range(steps):
-        bins = _binned(usable, estimates, _moments(), small)
-        nearest = bins.filter(F.col("_before") < F.ceil(F.col("_all") * support))
-        sums = nearest.groupBy(*key).agg(F.sum("_n").alias("_n"), *(F.sum(c).alias(c) for c in moments))
-        sums = materialize(sums, "mcd-sums")
-        # The sums are exact, so groups with the sums of the step before have kept the same rows. Queries are few and
-        # small here, as the driver keeps the plans of all.
+        sums = materialize(_concentrated(usable, estimates, support, small), "mcd-sums")
         moved = sums if before is None else sums.subtract(before)
         if moved.isEmpty():
             break
@@ -299,11 +372,27 @@ def fit_groups(stats: DataFrame, steps: int = CONCENTRATION_STEPS, support: floa
         estimates.join(best, GROUP).filter("_start = _best._start").drop("_best"), "mcd-best"
     )
     if moved is None:
-        chosen = chosen.withColumn("_settled", F.lit(False))
+        return chosen.withColumn("_settled", F.lit(False))
+    unsettled = moved.select(*key, F.lit(False).alias("_settled"))
+    chosen = chosen.join(F.broadcast(unsettled) if small else unsettled, key, "left")
+    return chosen.fillna(True, ["_settled"])
+
+
+def fit_groups(stats: DataFrame, steps: int = CONCENTRATION_STEPS, support: float = SUPPORT) -> DataFrame:
+    """The estimates per ``_lang`` and ``_source``: ``_m*``, ``_p*_*``, ``_limit``, the largest squared distance kept, and
+    ``_settled``, whether a further step would keep the same rows.
+
+    ``stats`` holds ``_lang``, ``_source`` and ``_q*``, and should be stored, as each step reads it. ``_limit``
+    is the chi-square quantile times the ratio of the median distance to its expected value, if above one.
+    """
+    usable = stats.filter("NOT base_failed")
+    estimates = _starts(usable)
+    small = is_small(estimates)  # every step has as many rows
+    # queries are few and small here, as the driver keeps the plans and tasks of all
+    if small and estimates.count() <= DRIVER_ROWS:
+        chosen = _chosen_on_driver(usable, estimates, steps, support)
     else:
-        unsettled = moved.select(*key, F.lit(False).alias("_settled"))
-        chosen = chosen.join(F.broadcast(unsettled) if small else unsettled, key, "left")
-        chosen = chosen.fillna(True, ["_settled"])
+        chosen = _chosen_by_queries(usable, estimates, steps, support, small)
     bins = _binned(usable, chosen, [], small)
     middle = bins.filter("_before * 2 < _all").groupBy(*GROUP).agg(F.max("_bin").alias("_bin"))
     expected = chi_square_quantile(0.5, D)

@@ -172,3 +172,24 @@ def test_a_step_starts_few_queries(spark, monkeypatch):
     docs = documents(spark, [sentence(i, 60 + i) for i in range(30)])
     outliers.fit_groups(outliers.with_base_counts(docs), steps=2)
     assert stored.count("mcd-sums") <= 2 and "mcd-moved" not in stored and measured == [1]
+
+
+def test_a_step_is_one_query_and_the_driver_agrees_with_the_queries(spark, monkeypatch):
+    texts = [sentence(i, 52 + 4 * (i % 70)) for i in range(90)] + [" ".join(w + "$" for w in sentence(i, 70).split()) for i in range(9)]
+    docs = documents(spark, texts).withColumn("lang", F.expr("if(doc_id % 3 = 2, 'de', 'en')"))
+    docs = docs.withColumn("source", F.expr("if(doc_id % 3 = 1, 'b', 'a')"))
+    stats = outliers.materialize(outliers.with_base_counts(docs), "test-stats")
+    stored, real = [], outliers.materialize
+    monkeypatch.setattr(outliers, "materialize", lambda df, label: stored.append(label) or real(df, label))
+    made = {}
+    for steps in (4, 30):
+        stored.clear()
+        made[steps] = outliers.fit_groups(stats, steps=steps).orderBy(*outliers.GROUP).collect()
+        assert stored == ["mcd-centre", "mcd-spread", "mcd-start", "mcd-fit"]
+    monkeypatch.setattr(outliers, "DRIVER_ROWS", 0)
+    for steps in (4, 30):
+        other = outliers.fit_groups(stats, steps=steps).orderBy(*outliers.GROUP).collect()
+        for one, two in zip(made[steps], other, strict=True):
+            assert one["_lang"] == two["_lang"] and one["_settled"] == two["_settled"]
+            numbers = [c for c in one.asDict() if c[:2] in ("_m", "_p", "_l") and c != "_lang"]
+            assert np.allclose([one[c] for c in numbers], [two[c] for c in numbers], rtol=1e-9, atol=1e-12)
