@@ -392,7 +392,7 @@ def bm25_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bm25_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Chunks, tokens, distinct terms and term occurrences of each document, from the postings."""
-    postings = bm25.bm25_index(chunk_sentences(spark, sf_dir)).postings()
+    postings = bm25.postings_of(bm25.chunk_tokens(chunk_sentences(spark, sf_dir)))
     return postings.groupBy("doc_id").agg(
         F.countDistinct("pos").alias("chunks"),
         F.count(F.lit(1)).alias("postings"),

@@ -82,3 +82,18 @@ def test_lists_with_many_copies_far_from_the_origin(spark, limits):
         distance = np.round(((data - data[q]) ** 2).sum(axis=1), 9)
         wanted = sorted(range(400), key=lambda i: (distance[i], i))[:7]
         assert [r["vec_id"] for r in found if r["query_id"] == q] == wanted
+
+
+def test_terms_are_counted_within_their_chunk(spark):
+    """Postings need no shuffle, a document's figures one; the sorted tokens are made once per chunk, not once per token."""
+    from collections import Counter
+
+    from tallyweir.operators import bm25
+
+    tokens = [["x", "b", "x", "B", "x"], [], ["q"], ["é", "e", "é"] * 50]
+    chunks = spark.createDataFrame([("d", i, t) for i, t in enumerate(tokens)], "doc_id string, pos int, tokens array<string>")
+    found = bm25.Bm25Index(chunks, chunks, 4, 0, 0.0).postings()
+    wanted = sorted((i, term, tf, len(t)) for i, t in enumerate(tokens) for term, tf in Counter(t).items())
+    assert sorted((r["pos"], r["term"], r["tf"], r["length"]) for r in found.collect()) == wanted
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and plan.count("sort_array") == 1
