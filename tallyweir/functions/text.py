@@ -14,7 +14,9 @@ SPACE = r"[\s\x1c-\x1f]"  # under (?U)
 
 
 def strip(text: Column) -> Column:
-    return F.btrim(text, F.lit(WHITE_SPACE))
+    first, last = F.substring(text, 1, 1), F.substring(text, -1, 1)
+    visible = first.between("!", "~") & last.between("!", "~")  # most texts; looking through the list takes longer
+    return F.when(visible, text).otherwise(F.btrim(text, F.lit(WHITE_SPACE)))
 
 
 def is_blank(text: Column) -> Column:

@@ -94,10 +94,13 @@ def apply_contract(df: DataFrame, contract: Contract, payload: str = "payload")
     looks_like_object = F.ltrim(F.col(payload)).startswith("{")
     unreadable = F.when(looks_like_object | F.try_parse_json(payload).isNull(), NOT_JSON).otherwise(NOT_OBJECT)
     steps = df.withColumn("_list", parsed).withColumn("_doc", F.when(readable, F.get("_list", F.lit(0))))
-    # One projection per step: each becomes a method of its own, small enough to be compiled.
     steps = steps.withColumns({f"_text_{n}": F.try_variant_get(f"_doc.{n}", "$", "string") for n in names})
     steps = steps.withColumns({f"_kind_{n}": F.schema_of_variant(f"_doc.{n}") for n in names})
+    steps = steps.withColumn("_unreadable", F.when(F.col("_doc").isNull(), unreadable))
     steps = steps.withColumns({f"_bare_{n}": strip(F.col(f"_text_{n}")) for n in names})
+    # Java does not compile methods beyond 8,000 bytes of code, and Spark makes one of all that lies between two barriers.
+    pieces = [*(f"_{part}_{n}" for part in ("text", "kind", "bare") for n in names), "_unreadable"]
+    steps = _evaluated_once(steps, df.columns, F.struct(*pieces)).select(*df.columns, "_row.*")
     for spec in contract.fields:
         kind, text, bare = (F.col(f"_{part}_{spec.name}") for part in ("kind", "text", "bare"))
         value = _typed_value(spec, kind, text, bare)
@@ -105,35 +108,37 @@ def apply_contract(df: DataFrame, contract: Contract, payload: str = "payload")
             value = F.when(kind.isNull(), F.lit(spec.default)).otherwise(value)
         steps = steps.withColumn(f"_value_{spec.name}", value)
 
-    flags = [F.when(F.col(f"_value_{n}").isNull(), F.lit(n)) for n in names]
-    count = reduce(lambda x, y: x + y, [F.col(f"_value_{n}").isNull().cast("int") for n in names])
-    failed = F.when(F.col("_failures") > 0, F.split(F.concat_ws(",", *flags), ","))
+    # What is worked out from the values comes behind the barrier: it is cheap to repeat in a filter, and is left out where
+    # nobody asks for it.
+    valued = _evaluated_once(
+        steps,
+        df.columns,
+        F.struct(
+            F.struct(*[F.col(f"_value_{n}").alias(n) for n in names]).alias("record"),
+            F.struct(*[F.col(f"_text_{n}").alias(n) for n in names]).alias("raw"),
+            F.col("_unreadable").alias("unreadable"),
+        ),
+    ).select(*df.columns, "_row.*")
+    flags = [F.when(F.col(f"record.{n}").isNull(), F.lit(n)) for n in names]
+    count = reduce(lambda x, y: x + y, [F.col(f"record.{n}").isNull().cast("int") for n in names])
+    fails = F.col("unreadable").isNull() & (F.coalesce(*flags).isNotNull())
     reason = F.when(
-        F.col("_failures") > 0,
+        fails,
         F.concat(
-            F.col("_failures").cast("string"),
-            F.when(F.col("_failures") == 1, " validation error for ").otherwise(" validation errors for "),
+            count.cast("string"),
+            F.when(count == 1, " validation error for ").otherwise(" validation errors for "),
             F.lit(f"{contract.name} | "),
             F.coalesce(*flags),
         ),
     )
-    judged = (
-        steps.withColumn("_unreadable", F.when(F.col("_doc").isNull(), unreadable))
-        .withColumn("_failures", F.when(F.col("_doc").isNull(), 0).otherwise(count))
-        .withColumn("failed_fields", F.coalesce(failed, F.array().cast("array<string>")))
-        .withColumn("rejection_reason", F.coalesce("_unreadable", reason))
+    return valued.select(
+        *df.columns,
+        "record",
+        "raw",
+        F.when(F.col("unreadable").isNotNull() | fails, REJECTED).otherwise(ACCEPTED).alias("status"),
+        F.when(fails, F.split(F.concat_ws(",", *flags), ",")).otherwise(F.array().cast("array<string>")).alias("failed_fields"),
+        F.coalesce("unreadable", reason).alias("rejection_reason"),
     )
-    return _evaluated_once(
-        judged,
-        df.columns,
-        F.struct(
-            F.struct(*[F.col(f"_value_{n}").alias(n) for n in names]).alias("record"),
-            F.struct(*[F.col(f"_text_{n}").alias(n) for n in names]).alias("raw"),
-            F.when(F.col("rejection_reason").isNull(), ACCEPTED).otherwise(REJECTED).alias("status"),
-            "failed_fields",
-            "rejection_reason",
-        ),
-    ).select(*df.columns, "_row.*")
 
 
 def _evaluated_once(df: DataFrame, keep: list[str], value: Column) -> DataFrame:

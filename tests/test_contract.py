@@ -1,4 +1,5 @@
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -171,3 +172,14 @@ def test_invoice_date_round_trip(spark):
     rows = df.select("t", format_invoice_date(F.col("t")).alias("s")).withColumn("back", parse_invoice_date(F.col("s")))
     found = {r["s"]: r["back"] == r["t"] for r in rows.collect()}
     assert found == {"12/1/2010 8:05": True, None: True}
+
+
+def test_generated_methods_are_small_enough_to_be_compiled(spark, tmp_path, capsys):
+    """Java only interprets methods beyond 8,000 bytes of code."""
+    spark.createDataFrame([("{}", 1, 0)], "payload string, source_offset long, source_partition int").write.parquet(f"{tmp_path}/m")
+    checked = apply_contract(spark.read.parquet(f"{tmp_path}/m"), RETAIL_TRANSACTION)
+    for result in (checked, checked.filter("status = 'accepted'")):
+        capsys.readouterr()
+        result.explain("codegen")
+        sizes = [int(size) for size in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+        assert sizes and max(sizes) < 8000
