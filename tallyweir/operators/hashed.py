@@ -25,8 +25,8 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyweir.operators.rank import top_n_per_group
-from tallyweir.operators.search import flat_list, round_score
+from tallyweir.operators.lists import UNKNOWN
+from tallyweir.operators.search import BLOCK_CELLS, flat_list, round_score, search_top_k
 from tallyweir.operators.vector import vector_topk
 from tallyweir.session import broadcast_if_small, materialize
 from tallyweir.sources.sinks import publish_snapshot, read_snapshot
@@ -40,6 +40,8 @@ MOST_PROBES = 64  # more are asked only where the coarsest buckets need them
 SAMPLE_QUESTIONS = 100
 TARGET = 0.95
 SEED = 42
+#: Up to so many questions travel to the buckets whole; more are laid out as a grid, see ``search_top_k``.
+QUERY_LIMITS = (50_000, 128 * 1024 * 1024, 50_000)
 
 
 def planes(dims: int, bits: int, tables: int) -> np.ndarray:
@@ -153,7 +155,10 @@ def publish_hashed(
 
 
 def candidates(index: HashedIndex, queries: DataFrame, probes: int | None = None) -> DataFrame:
-    """(query_id, keys, distance) of every vector in a probed bucket, once for each table that finds it."""
+    """(query_id, keys, distance) of every vector in a probed bucket, once for each table that finds it.
+
+    It shows what a search looks into; ``hashed_topk`` itself does not form these rows.
+    """
     f = index.figures
     mean = np.array(f["mean"], dtype=float)
     normals, n = planes(len(mean), f["bits"], f["tables"]), probes or f["probes"]
@@ -183,14 +188,94 @@ def candidates(index: HashedIndex, queries: DataFrame, probes: int | None = None
     return met.mapInArrow(measured, f"{kinds}, distance double")
 
 
+def _reaches(away: np.ndarray, n: int) -> np.ndarray:
+    """For every question and table, the cost of the ``n``-th cheapest probe."""
+    reach = np.zeros(away.shape[:2])
+    for i, t in np.ndindex(*reach.shape):
+        cost = np.sort(away[i, t] ** 2)[:ORDERED_BITS]
+        sums = np.zeros(1)
+        for one in cost:
+            sums = np.concatenate([sums, sums + one])
+        last = min(n, len(sums)) - 1
+        reach[i, t] = np.partition(sums, last)[last]
+    return reach * (1 + 1e-9)  # whatever the order of additions
+
+
+def _bucket_scorer(mean: np.ndarray, normals: np.ndarray):
+    """Negated squared distances of the vectors of each bucket to the questions that reach it, see ``search_top_k``."""
+
+    def prepare(queries: pa.Table):
+        wanted = _matrix(queries.column("wanted"))
+        reach = _matrix(queries.column("reach"))
+        known: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+        def reaching(t: int, code: int) -> np.ndarray:
+            if t not in known:
+                known.clear()  # tables come in order
+                away = sides(wanted, mean, normals[t : t + 1])[:, 0]
+                known[t] = away > 0, away * away
+            own, cost = known[t]
+            bucket = (code >> np.arange(own.shape[1]) & 1).astype(bool)
+            # a cost that is no number rules nothing out
+            return np.flatnonzero(~((cost * (own != bucket)).sum(axis=1) > reach[:, t]))
+
+        def score(batch):
+            if not batch.num_rows or not len(wanted):
+                return
+            vectors = _matrix(batch.column("embedding"))
+            tbl, code = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("tbl", "code"))
+            order = np.lexsort((code, tbl))
+            new = (np.diff(tbl[order]) != 0) | (np.diff(code[order]) != 0)
+            first = [0, *(np.flatnonzero(new) + 1), len(order)]
+            for at, end in zip(first, first[1:]):
+                rows = order[at:end]
+                asked = reaching(int(tbl[rows[0]]), int(code[rows[0]]))
+                step = max(1, BLOCK_CELLS // max(1, min(len(asked), BLOCK_CELLS // 64)))
+                width = max(1, BLOCK_CELLS // min(step, len(rows)))
+                for start in range(0, len(rows), step):
+                    some = rows[start : start + step]
+                    # measured from one of them, as products of long vectors would lose the digits of a small distance
+                    origin = np.where(np.isfinite(vectors[some[0]]), vectors[some[0]], 0)
+                    block = vectors[some] - origin
+                    of_block = (block * block).sum(axis=1)[:, None]
+                    for left in range(0, len(asked), width):
+                        part = asked[left : left + width]
+                        sought = wanted[part] - origin
+                        scores = 2 * (block @ sought.T) - of_block - (sought * sought).sum(axis=1)
+                        yield some, np.where(np.isnan(scores), UNKNOWN, np.minimum(scores, 0)), part
+
+        return queries.column("query_id").combine_chunks(), score
+
+    return prepare
+
+
 def hashed_topk(index: HashedIndex, queries: DataFrame, k: int = 15, probes: int | None = None) -> DataFrame:
     """(query_id, keys, distance, rank) of the ``k`` nearest of the vectors in the probed buckets.
 
     The questions travel to the buckets, which stay as they are stored, so a bucket with a third of all vectors is no
-    larger a task than its files. Each task keeps the best of a question before they meet.
+    larger a task than its files. A task scores the vectors of a bucket against the questions that probe it as one matrix and
+    keeps the best of each question, so neither probes nor (question, vector) pairs are ever rows.
     """
-    order = [F.asc("distance"), *(F.asc(c) for c in index.keys)]
-    found = candidates(index, queries, probes)
-    early = top_n_per_group(found, ["query_id"], order, k * index.figures["tables"], "place")  # each may be there once a table
-    once = early.groupBy("query_id", *index.keys).agg(F.min("distance").alias("distance"))
-    return top_n_per_group(once, ["query_id"], order, k).withColumn("rank", F.col("rank") - 1)
+    f = index.figures
+    mean = np.array(f["mean"], dtype=float)
+    normals, n = planes(len(mean), f["bits"], f["tables"]), probes or f["probes"]
+    asked = queries.select("query_id", F.col("embedding").cast("array<double>").alias("wanted")).filter("wanted IS NOT NULL" if f["n"] else "false")
+    kind = asked.schema["query_id"].dataType.simpleString()
+
+    def reached(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            reach = _reaches(sides(_matrix(batch.column("wanted")), mean, normals), n)
+            ends = np.arange(0, reach.size + 1, reach.shape[1], dtype=np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.ListArray.from_arrays(pa.array(ends), pa.array(reach.ravel()))], ["query_id", "wanted", "reach"]
+            )
+
+    cores = index.spark.sparkContext.defaultParallelism
+    placed = asked.repartition(cores).mapInArrow(reached, f"query_id {kind}, wanted array<double>, reach array<double>")
+    hits = search_top_k(
+        index.buckets, placed, index.keys, _bucket_scorer(mean, normals), k, query_limits=QUERY_LIMITS, repeated=True
+    )
+    distance = F.when(F.col("score") <= UNKNOWN, F.lit(float("nan"))).otherwise(F.abs("score"))
+    return hits.select("query_id", *index.keys, distance.alias("distance"), "rank")

@@ -45,10 +45,10 @@ def round_score(score):
 
 
 class _Best:
-    """The best rows per query seen so far: score descending, then corpus key."""
+    """The best rows per query seen so far: score descending, then corpus key. ``repeated`` rows count once."""
 
-    def __init__(self, n_queries: int, k: int, keys: list[str], above: float) -> None:
-        self.k, self.keys, self.above = k, keys, above
+    def __init__(self, n_queries: int, k: int, keys: list[str], above: float, repeated: bool = False) -> None:
+        self.k, self.keys, self.above, self.repeated = k, keys, above, repeated
         self.floor = np.full(n_queries, -np.inf)
         self.found, self.waiting = [], 0
 
@@ -76,6 +76,8 @@ class _Best:
 
         rows = pd.concat(self.found, ignore_index=True)
         rows = rows.sort_values(["_q", "_s", *self.keys], ascending=[True, False] + [True] * len(self.keys))
+        if self.repeated:
+            rows = rows.drop_duplicates(["_q", *self.keys])
         place = rows.groupby("_q", sort=False).cumcount()
         self.found, self.waiting = [rows[place < self.k]], 0
         last = rows[place == self.k - 1]
@@ -104,20 +106,24 @@ def search_top_k(
     k: int,
     above: float = -math.inf,
     query_limits: tuple[int, int, int] = (QUERY_MAX_ROWS, QUERY_MAX_BYTES, MAX_QUERIES),
+    repeated: bool = False,
 ) -> DataFrame:
     """(query_id, *keys, score, rank) of the ``k`` best corpus rows per query with a score over
     ``above``; rank starts at 0, ties go to the smaller key.
 
     ``queries`` has a ``query_id`` and whatever ``prepare`` needs; a query may span several rows. It
-    is stored first, as measuring and using it would compute it several times.
+    is stored first, as measuring and using it would compute it several times. With ``repeated``, the corpus holds
+    a key several times, each in a block of its own, and its best score counts.
     """
     queries = materialize(queries, "queries")
     max_rows, max_bytes, max_queries = query_limits
     ids = queries.select("query_id").distinct()
     if is_small(queries, max_rows, max_bytes) and is_small(ids, max_queries, max_bytes):
-        hits = _scan(corpus, queries, keys, prepare, k, above)
+        hits = _scan(corpus, queries, keys, prepare, k, above, repeated)
     else:
-        hits = _grid(corpus, queries, keys, prepare, k, above)
+        hits = _grid(corpus, queries, keys, prepare, k, above, repeated)
+    if repeated:
+        hits = hits.groupBy("query_id", *keys).agg(F.max("score").alias("score"))
     order = [F.desc("score"), *[F.asc(c) for c in keys]]
     ranked = top_n_per_group(hits, ["query_id"], order, k)
     return ranked.withColumn("rank", F.col("rank") - 1)
@@ -134,14 +140,14 @@ def _arrow_schema(frame: DataFrame):
     return to_arrow_schema(frame.schema)
 
 
-def _scan(corpus, queries, keys, prepare, k, above) -> DataFrame:
+def _scan(corpus, queries, keys, prepare, k, above, repeated) -> DataFrame:
     schema = _output_schema(corpus, queries, keys)
     output = _arrow_schema(corpus.sparkSession.createDataFrame([], schema))
     shared = corpus.sparkSession.sparkContext.broadcast(queries.toArrow())
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         query_ids, scorer = prepare(shared.value)
-        best = _Best(len(query_ids), k, keys, above)
+        best = _Best(len(query_ids), k, keys, above, repeated)
         for batch in batches:
             key_frame = _keys_of(batch, keys)
             for block in scorer(batch):
@@ -151,7 +157,7 @@ def _scan(corpus, queries, keys, prepare, k, above) -> DataFrame:
     return corpus.mapInArrow(score, schema)
 
 
-def _grid(corpus, queries, keys, prepare, k, above) -> DataFrame:
+def _grid(corpus, queries, keys, prepare, k, above, repeated) -> DataFrame:
     schema = _output_schema(corpus, queries, keys)
     output = _arrow_schema(corpus.sparkSession.createDataFrame([], schema))
     parts = max(1, math.ceil(corpus.count() / CELL_ROWS))
@@ -170,7 +176,7 @@ def _grid(corpus, queries, keys, prepare, k, above) -> DataFrame:
         if not part.num_rows or not block.num_rows:
             return output.empty_table()
         query_ids, scorer = prepare(block)
-        best = _Best(len(query_ids), k, keys, above)
+        best = _Best(len(query_ids), k, keys, above, repeated)
         key_frame = _keys_of(part, keys)
         for block in scorer(part.combine_chunks()):
             best.offer(key_frame, *block)

@@ -85,6 +85,21 @@ def test_nulls_copies_and_empty_tables(spark, tmp_path):
     assert hashed.hashed_topk(none, asked, 3).count() == 0
 
 
+def test_no_probe_and_no_pair_is_a_row(spark, built):
+    vectors, index = built
+    hits = hashed.hashed_topk(index, _asked(vectors), 10)
+    assert "Join" not in hits._jdf.queryExecution().executedPlan().toString()
+    assert hits.groupBy("query_id", "vec_id").count().filter("count > 1").count() == 0
+    assert hits.groupBy("query_id").count().filter("count <> 10").count() == 0
+
+
+def test_a_vector_that_is_no_number_comes_last(spark, tmp_path):
+    rows = [(i, [float(i), 0.0]) for i in range(6)] + [(9, [float("nan"), 1.0])]
+    index = hashed.publish_hashed(spark.createDataFrame(rows, VECTORS), ["vec_id"], str(tmp_path), 7)
+    asked = spark.createDataFrame([(1, [0.0, 0.0])], "query_id long, embedding array<double>")
+    assert [r["vec_id"] for r in hashed.hashed_topk(index, asked, 7).orderBy("rank").collect()] == [0, 1, 2, 3, 4, 5, 9]
+
+
 def test_the_registered_query_finds_nine_in_ten(spark):
     sf_dir = "/root/testdata/sf0.01"
     vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
