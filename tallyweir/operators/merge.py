@@ -25,7 +25,9 @@ def _match(left: str, right: str, keys: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(f"{left}.{k}") == F.col(f"{right}.{k}") for k in keys])
 
 
-def merge_tagged(target: DataFrame, source: DataFrame, keys: list[str], check: bool = True) -> DataFrame:
+def merge_tagged(
+    target: DataFrame, source: DataFrame, keys: list[str], check: bool = True, unique: bool = False
+) -> DataFrame:
     """Rows of the merged table, each tagged updated, inserted or copied.
 
     Every target row that shares its key with the source takes over all source columns, also where
@@ -34,9 +36,14 @@ def merge_tagged(target: DataFrame, source: DataFrame, keys: list[str], check: b
 
     A small source (the usual increment) is broadcast, and the target is then never shuffled.
     Otherwise both joins keep the target on the left, the side whose hot keys Spark can split.
+
+    With ``unique``, both sides hold every key once, as a table rolled up by its keys does. Then no key is hot and nothing
+    is to be checked: each side is read once, for one full join, and need not be stored.
     """
     if set(target.columns) != set(source.columns):
         raise SchemaMismatchError(f"columns differ: {sorted(target.columns)} / {sorted(source.columns)}")
+    if unique:
+        return _merge_unique(target, source, keys)
     small = is_small(source)
     updates = F.broadcast(source) if small else source
 
@@ -63,17 +70,32 @@ def merge_tagged(target: DataFrame, source: DataFrame, keys: list[str], check: b
     return kept.unionByName(added.withColumn(ACTION, F.lit("inserted")))
 
 
-def merge_metrics(tagged: DataFrame, source: DataFrame) -> DataFrame:
-    """One row of counts. Copied counts all target rows the merge left as they were."""
-    rows = tagged.select(ACTION).unionByName(source.select(F.lit("source").alias(ACTION)))
+def _merge_unique(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
+    old, new = target.withColumn("_in", F.lit(True)), source.withColumn("_in", F.lit(True))
+    joined = old.alias("t").join(new.alias("s"), _match("t", "s", keys), "full_outer")
+    hit, known = F.col("s._in").isNotNull(), F.col("t._in").isNotNull()
+    return joined.select(
+        *[F.when(hit, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c) for c in target.columns],
+        F.when(hit & known, "updated").when(hit, "inserted").otherwise("copied").alias(ACTION),
+    )
+
+
+def merge_metrics(tagged: DataFrame, source: DataFrame | None = None) -> DataFrame:
+    """One row of counts. Copied counts all target rows the merge left as they were.
+
+    Without ``source``, the keys were unique on both sides: every source row has updated or inserted one row.
+    """
+    rows = tagged.select(ACTION)
+    if source is not None:
+        rows = rows.unionByName(source.select(F.lit("source").alias(ACTION)))
 
-    def count(action: str) -> Column:
-        return F.count_if(F.col(ACTION) == action)
+    def count(*actions: str) -> Column:
+        return F.count_if(F.col(ACTION).isin(*actions))
 
     return rows.agg(
         count("updated").alias("target_rows_updated"),
         count("inserted").alias("target_rows_inserted"),
-        count("source").alias("source_rows"),
+        (count("source") if source is not None else count("updated", "inserted")).alias("source_rows"),
         count("copied").alias("target_rows_copied"),
     )
 

@@ -247,7 +247,7 @@ def global_rank_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Texts of (first load, correction batch): 5/7 of all lines; 2/7 corrected and the other 2/7."""
-    # stored, as dealing rows out by ranges reads them twice
+    # stored, as they are read for the cuts and for each slice
     texts = materialize(inputs.text_lines(inputs.retail_lines(spark, sf_dir)), "texts")
     total = inputs.table(spark, sf_dir, "lineitem").count()
     order = [F.asc(c) for c in BUSINESS_COLUMNS]
@@ -259,6 +259,7 @@ def _batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
             "corrected": (0, total * 2 // 7),
             "added": (total * 5 // 7, total),
         },
+        BUSINESS_COLUMNS[0],
     )
     return slices["first"], changes.correction_batch(slices["corrected"], slices["added"])
 
@@ -268,12 +269,13 @@ def correction_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _merge_sides(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
-    return [medallion.silver_increment(inputs.typed_lines(batch))[0] for batch in _batches(spark, sf_dir)]
+    """Grain rows of the first load and of the correction batch, each with unique keys; not stored, as a merge reads them once."""
+    return [medallion.silver_grain(inputs.typed_lines(batch)) for batch in _batches(spark, sf_dir)]
 
 
 def silver_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     target, source = _merge_sides(spark, sf_dir)
-    return _shown_silver(merge.merge_tagged(target, source, GRAIN_KEYS).drop(merge.ACTION))
+    return _shown_silver(merge.merge_tagged(target, source, GRAIN_KEYS, unique=True).drop(merge.ACTION))
 
 
 def bucket_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -287,7 +289,7 @@ def bucket_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def merge_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     target, source = _merge_sides(spark, sf_dir)
-    return merge.merge_metrics(merge.merge_tagged(target, source, GRAIN_KEYS), source)
+    return merge.merge_metrics(merge.merge_tagged(target, source, GRAIN_KEYS, unique=True))
 
 
 def _injected(spark: SparkSession, sf_dir: str) -> DataFrame:

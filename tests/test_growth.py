@@ -117,3 +117,49 @@ def test_stored_search_in_many_cells_returns_few_pairs(spark, tmp_path, monkeypa
     assert stored["best-scores"].count() <= 12 * 900 / 10
     rows = postings._rows(bm25.bm25_index(chunks), 50, 4)
     assert "Exchange" not in rows._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("sample", [20_000, 300, 3])
+def test_slices_rank_the_rows_near_a_cut_only(spark, monkeypatch, sample):
+    """Every cut is exact, with ties, copies and NULLs, whatever was sampled; rows far from a cut are not ranked."""
+    from tallyweir.operators import changes
+
+    values = [(None if i % 11 == 0 else f"k{(i * 7919) % 700:03d}", str(i % 5)) for i in range(5000)]
+    df = spark.createDataFrame(values, "a string, b string").repartition(4)
+    ordered = sorted(values, key=lambda r: (r[0] is not None, r[0] or "", r[1]))
+    cuts = {"first": (0, 3571), "corrected": (0, 1428), "added": (3571, 5000), "near": (1400, 1430), "nulls": (0, 100), "none": (7, 7), "all": (0, 5000)}
+    ranked, real = [], changes.global_rank
+    monkeypatch.setattr(changes, "global_rank", lambda d, *a, **k: ranked.append(d.count()) or real(d, *a, **k))
+    monkeypatch.setattr(changes, "SLICE_SAMPLE", sample)
+    for chosen in (cuts, {n: cuts[n] for n in ("first", "corrected", "added")}):
+        found = changes.row_slices(df, [F.asc("a"), F.asc("b")], chosen, "a")
+        for name, (low, high) in chosen.items():
+            assert sorted(map(tuple, found[name].collect()), key=repr) == sorted(ordered[low:high], key=repr), name
+    if sample == 20_000:
+        assert ranked[-1] < 1500
+    tied = spark.createDataFrame([("x", str(i)) for i in range(60)], "a string, b string")
+    half = changes.row_slices(tied, [F.asc("a"), F.asc("b")], {"half": (0, 30)}, "a")["half"]
+    assert sorted(r["b"] for r in half.collect()) == sorted(str(i) for i in range(60))[:30]
+
+
+@needs_tables
+def test_rolled_up_sides_are_merged_without_a_shuffle_of_their_own(spark):
+    """One full join of two grains: each is dealt out by its keys once, below its roll-up, and read once."""
+    from tallyweir.operators import medallion, merge
+    from tallyweir.schemas import GRAIN_KEYS
+
+    lines = inputs.retail_lines(spark, SF_DIR)
+    sides = [medallion.silver_grain(lines.filter(t).localCheckpoint()) for t in ("Quantity < 30", "Quantity > 10")]
+    stored = [medallion.silver_increment(lines.filter(t))[0] for t in ("Quantity < 30", "Quantity > 10")]
+    merged = merge.merge_tagged(*sides, GRAIN_KEYS, unique=True)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange") == 2 and plan.count("Join") == 1
+    expected = merge.merge_tagged(*stored, GRAIN_KEYS)
+    assert merged.exceptAll(expected).isEmpty() and expected.exceptAll(merged).isEmpty()
+    assert merge.merge_metrics(merged).first() == merge.merge_metrics(expected, stored[1]).first()
+    keyless = spark.createDataFrame([(None, "1", 1), ("a", "1", 2)], "k1 string, k2 string, v int")
+    assert merge.merge_metrics(merge.merge_tagged(keyless, keyless, ["k1", "k2"], unique=True)).first() == (1, 1, 2, 1)
