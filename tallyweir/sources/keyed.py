@@ -2,29 +2,31 @@
 
 Rows lie in folders by a hash of ``cluster_by``, some or all of the keys; with the invoice alone, an increment touches
 about as many buckets as it has invoices, and a large table needs more buckets than that. The merged rows of the touched
-buckets are staged, counted and judged, and then replace these buckets' folders by dynamic partition overwrite; the files of
-all other buckets are not opened. One writer at a time. A run that dies while folders are replaced is mended by running the
-same upsert again, as it sets the same rows.
+buckets are written once, to staged folders beside the table's, counted on the way and judged; then these folders take the
+place of the old ones. The files of all other buckets are not opened. One writer at a time. A run that dies while folders
+are replaced leaves those not yet moved under their staging folder.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from tallyweir.operators.merge import ACTION, AmbiguousMergeError, SchemaMismatchError, merge_metrics
+from tallyweir.operators.merge import ACTION, AmbiguousMergeError, SchemaMismatchError
 from tallyweir.session import materialize
 from tallyweir.sources.sinks import _file_system
 
 MARKER = "_KEYED"
 BUCKET = "_bucket"
 BUCKETS = 64
-FILES_PER_BUCKET = 1
+COUNTS = "target_rows_updated long, target_rows_inserted long, source_rows long, target_rows_copied long"
 
 
 @dataclass(frozen=True)
@@ -59,46 +61,85 @@ class KeyedTable:
         return sorted(r[BUCKET] for r in placed.select(BUCKET).distinct().collect())
 
     def _merged(self, source: DataFrame, touched: list[int]) -> DataFrame:
-        """Rows of the touched buckets, each tagged updated, inserted or copied, from one join of both sides."""
-        target = self._stored().filter(F.col(BUCKET).isin(touched)).withColumn("_old", F.lit(True))
-        counted = source.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*self.keys)))
-        on = F.col(f"t.{BUCKET}") == F.col(f"s.{BUCKET}")
-        for key in self.keys:
-            on = on & (F.col(f"t.{key}") == F.col(f"s.{key}"))
-        both = target.alias("t").join(counted.alias("s"), on, "full_outer")
-        new, old = F.col("s._n").isNotNull(), F.col("t._old").isNotNull()
-        columns = [F.when(new, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c) for c in [*self.schema.names, BUCKET]]
-        action = F.when(new & old, "updated").when(new, "inserted").otherwise("copied")
-        return both.select(*columns, action.alias(ACTION), (new & old & (F.col("s._n") > 1)).alias("_clash"))
+        """Rows of the touched buckets, each tagged updated, inserted or copied; both sides are dealt out once, by bucket."""
+        target = self._stored().filter(F.col(BUCKET).isin(touched)).withColumn("_new", F.lit(False))
+        both = target.unionByName(source.withColumn("_new", F.lit(True))).repartition(BUCKET)
+        same_key = Window.partitionBy(BUCKET, *self.keys)
+        counted = both.withColumns({"_n": F.count_if("_new").over(same_key), "_m": F.count_if(~F.col("_new")).over(same_key)})
+        keyed = reduce(lambda a, b: a & b, [F.col(key).isNotNull() for key in self.keys])
+        matched = keyed & (F.col("_n") > 0) & (F.col("_m") > 0)
+        # a matched source row takes the place of every target row with its key
+        times = F.when(~matched, 1).when(F.col("_new"), F.col("_m").cast("int")).otherwise(0)
+        action = F.when(~F.col("_new"), "copied").when(matched, "updated").otherwise("inserted")
+        tagged = counted.select(
+            *self.schema.names, BUCKET, action.alias(ACTION), (matched & (F.col("_n") > 1)).alias("_clash"), times.alias("_times")
+        )
+        return tagged.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.col("_times")))).drop("_times", "_copy")
+
+    def _is_empty(self) -> bool:
+        fs, root = _file_system(self.spark, self.root)
+        return not any(status.getPath().getName().startswith(f"{BUCKET}=") for status in fs.listStatus(root))
 
     def upsert(self, source: DataFrame, gate: Callable[[DataFrame], None] | None = None) -> DataFrame:
         """Merge ``source`` in and return one row of merge counts; copied counts rows of touched buckets only.
 
         Update-all and insert-all: matched rows take over all columns of the source, rows with a NULL key never match.
         ``gate`` gets the table as it would be; if it raises, or a target row has two source rows, nothing changes.
+        The first load of a table reads ``source`` once and matches nothing, so it is written as it is dealt out.
         """
         if set(source.columns) != set(self.schema.names):
             raise SchemaMismatchError(f"columns differ: {sorted(self.schema.names)} / {sorted(source.columns)}")
-        typed = source.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema))
-        source = materialize(self._placed(typed), "keyed-source")
-        touched = self._buckets_of(source)
-        staged = materialize(self._merged(source, touched), "keyed-staged")
-        clash = staged.filter("_clash").select(*self.keys).limit(1).collect()
-        if clash:
-            raise AmbiguousMergeError(f"several source rows match target key {clash[0].asDict()}")
-        rows = staged.drop(ACTION, "_clash")
-        if gate is not None:
-            others = self._stored().filter(~F.col(BUCKET).isin(touched)) if touched else self._stored()
-            gate(others.unionByName(rows).drop(BUCKET))
-        if touched:
-            _replace(rows, self.keys, self.root)
-        return merge_metrics(staged, source)
-
-
-def _replace(rows: DataFrame, keys: list[str], root: str) -> None:
-    spread = rows.repartition(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(FILES_PER_BUCKET)))
-    writer = spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(BUCKET).parquet(root)
+        placed = self._placed(source.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema)))
+        touched: list[int] = []
+        if self._is_empty():
+            tagged = placed.repartition(BUCKET).withColumns({ACTION: F.lit("inserted"), "_clash": F.lit(False)})
+        else:
+            placed = materialize(placed, "keyed-source")
+            touched = self._buckets_of(placed)
+            if not touched:
+                if gate is not None:
+                    gate(self.read())
+                return self.spark.createDataFrame([(0, 0, 0, 0)], COUNTS)
+            tagged = self._merged(placed, touched)
+        staged = f"{self.root}/_staged-{uuid.uuid4().hex}"
+        fs, staged_path = _file_system(self.spark, staged)
+        try:
+            counts = self._stage(tagged, staged)
+            if counts["clash"] is not None:
+                raise AmbiguousMergeError(f"several source rows match target key {json.loads(counts['clash'])}")
+            if gate is not None:
+                others = self._stored().filter(~F.col(BUCKET).isin(touched)) if touched else self._stored()
+                rows = self.spark.read.schema(self._stored().schema).parquet(staged)
+                gate(others.unionByName(rows).drop(BUCKET))
+        except BaseException:
+            fs.delete(staged_path, True)
+            raise
+        _replace(self.spark, staged, self.root)
+        source_rows = placed.count() if touched else counts["inserted"]
+        return self.spark.createDataFrame([(counts["updated"], counts["inserted"], source_rows, counts["copied"])], COUNTS)
+
+    def _stage(self, tagged: DataFrame, path: str) -> dict:
+        """Write the rows by bucket; their counts by action and a key that has several source rows, if any, come from the same pass."""
+        seen = Observation()
+        clash = F.max(F.when(F.col("_clash"), F.to_json(F.struct(*self.keys))))
+        counts = [F.count_if(F.col(ACTION) == name).alias(name) for name in ("updated", "inserted", "copied")]
+        rows = tagged.observe(seen, clash.alias("clash"), *counts).drop(ACTION, "_clash")
+        rows.write.partitionBy(BUCKET).parquet(path)
+        return seen.get
+
+
+def _replace(spark: SparkSession, staged: str, root: str) -> None:
+    """Put the staged buckets in the place of those under ``root``."""
+    fs, staged_path = _file_system(spark, staged)
+    for status in fs.listStatus(staged_path):
+        path = status.getPath()
+        if not path.getName().startswith(f"{BUCKET}="):
+            continue
+        _, old = _file_system(spark, f"{root}/{path.getName()}")
+        fs.delete(old, True)
+        if not fs.rename(path, old):
+            raise OSError(f"{path} could not be moved to {old}")
+    fs.delete(staged_path, True)
 
 
 def create_keyed(

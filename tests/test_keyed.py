@@ -84,3 +84,27 @@ def test_empty_sources_and_a_hot_key(spark, tmp_path):
     assert counts["target_rows_copied"] == 0 and table.read().count() == 350
     table.upsert(spark.createDataFrame([("hot", 7, "all six")], SCHEMA))
     assert table.read().filter(F.col("v") == "all six").count() == 6
+
+
+def test_rows_are_dealt_out_by_bucket_once_and_written_once(spark, tmp_path, monkeypatch):
+    """A first load is one write of its source; a merge deals both sides out by bucket, without a join; nothing staged is left."""
+    stored, real = [], keyed.materialize
+    monkeypatch.setattr(keyed, "materialize", lambda df, label: stored.append(label) or real(df, label))
+    table = _table(spark, tmp_path, OLD)
+    assert stored == []
+    source = spark.createDataFrame([("k1", 1, "new"), ("k9", 5000, "added")], SCHEMA)
+    plan = table._merged(table._placed(source), [3])._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange") == 1
+    assert table.upsert(source).first() == (2, 1, 2, table.read().count() - 3 - _untouched(table, source))
+    assert stored == ["keyed-source"]
+    with pytest.raises(merge.AmbiguousMergeError, match="k1"):
+        table.upsert(spark.createDataFrame([("k1", 1, "x"), ("k1", 1, "y")], SCHEMA))
+    assert not list((tmp_path / "t").glob("_staged*"))
+    empty = keyed.create_keyed(spark, str(tmp_path / "e"), table.schema, KEYS)
+    assert empty.upsert(source.filter("false")).first() == (0, 0, 0, 0) and empty.read().isEmpty()
+    assert empty.upsert(source).first() == (0, 2, 2, 0) and _rows(empty.read()) == _rows(source)
+
+
+def _untouched(table, source):
+    touched = table._buckets_of(table._placed(source))
+    return table._stored().filter(~F.col(keyed.BUCKET).isin(touched)).count()
