@@ -86,14 +86,9 @@ def apply_contract(df: DataFrame, contract: Contract, payload: str = "payload")
     tried in contract order. Messages that are not JSON or not an object get a reason of their own.
     """
     names = contract.names
-    # Parsed as the only element of a list, so that anything behind the object makes it invalid.
-    element = F.concat(F.lit("["), F.col(payload), F.lit("]"))
-    members = ", ".join(f"`{name}` variant" for name in names)
-    parsed = F.from_json(element, f"array<struct<{members}>>", {"allowSingleQuotes": "false"})
-    readable = F.size("_list") == 1
     looks_like_object = F.ltrim(F.col(payload)).startswith("{")
     unreadable = F.when(looks_like_object | F.try_parse_json(payload).isNull(), NOT_JSON).otherwise(NOT_OBJECT)
-    steps = df.withColumn("_list", parsed).withColumn("_doc", F.when(readable, F.get("_list", F.lit(0))))
+    steps = _parsed(df, contract, payload)
     steps = steps.withColumns({f"_text_{n}": F.try_variant_get(f"_doc.{n}", "$", "string") for n in names})
     steps = steps.withColumns({f"_kind_{n}": F.schema_of_variant(f"_doc.{n}") for n in names})
     steps = steps.withColumn("_unreadable", F.when(F.col("_doc").isNull(), unreadable))
@@ -141,6 +136,24 @@ def apply_contract(df: DataFrame, contract: Contract, payload: str = "payload")
     )
 
 
+def _parsed(df: DataFrame, contract: Contract, payload: str) -> DataFrame:
+    """Add ``_doc``: the contract's fields as variants, NULL for a message that is no object."""
+    # What the payload is made of would be interpreted, not compiled, as a part of the parsing; so it is worked out before.
+    others = [c for c in df.columns if c != payload]
+    df = df.select(*others, F.explode(F.array(payload)).alias(payload)).select(*df.columns)
+    # Parsed as the only element of a list, so that anything behind the object makes it invalid.
+    element = F.concat(F.lit("["), F.col(payload), F.lit("]"))
+    members = ", ".join(f"`{name}` variant" for name in contract.names)
+    parsed = F.from_json(element, f"array<struct<{members}>>", {"allowSingleQuotes": "false"})
+    return df.withColumn("_list", parsed).withColumn("_doc", F.when(F.size("_list") == 1, F.get("_list", F.lit(0))))
+
+
+def raw_texts(df: DataFrame, contract: Contract, names: list[str], payload: str = "payload") -> DataFrame:
+    """The texts of some fields as sent, as ``raw`` of ``apply_contract`` holds them, without judging the messages."""
+    texts = [F.try_variant_get(f"_doc.{n}", "$", "string").alias(n) for n in names]
+    return _parsed(df, contract, payload).select(*texts)
+
+
 def _evaluated_once(df: DataFrame, keep: list[str], value: Column) -> DataFrame:
     """``keep`` and ``value`` as ``_row``, with ``value`` out of reach for filter pushdown.
 

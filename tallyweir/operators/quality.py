@@ -41,6 +41,11 @@ class Suite:
     name: str
     expectations: tuple[Expectation, ...]
 
+    @property
+    def columns(self) -> list[str]:
+        """All that the expectations read; no other column needs to be stored for them."""
+        return list(dict.fromkeys(c for e in self.expectations for c in e.columns))
+
     def numbered(self) -> list[Expectation]:
         return [replace(e, position=i) for i, e in enumerate(self.expectations)]
 

@@ -163,3 +163,31 @@ def test_rolled_up_sides_are_merged_without_a_shuffle_of_their_own(spark):
     assert merge.merge_metrics(merged).first() == merge.merge_metrics(expected, stored[1]).first()
     keyless = spark.createDataFrame([(None, "1", 1), ("a", "1", 2)], "k1 string, k2 string, v int")
     assert merge.merge_metrics(merge.merge_tagged(keyless, keyless, ["k1", "k2"], unique=True)).first() == (1, 1, 2, 1)
+
+
+@needs_tables
+def test_gates_store_only_the_columns_they_read(spark, monkeypatch):
+    """The bronze gate neither judges messages nor stores texts that no expectation names; results are those of the whole tables."""
+    from tallyweir.operators import medallion, quality
+    from tallyweir.plans import catalog
+
+    stored, real = {}, catalog.materialize
+    monkeypatch.setattr(catalog, "materialize", lambda df, label: stored.update({label: real(df, label)}) or stored[label])
+    bronze, silver = catalog._bronze_results(spark, SF_DIR), catalog._injected_results(spark, SF_DIR)
+    assert stored["messages"].columns == ["InvoiceNo", "StockCode"]
+    assert stored["silver"].columns == ["InvoiceNo", "StockCode", "invoice_ts", "_injected"]
+    whole = contract.apply_contract(inputs.raw_messages(spark, SF_DIR), contract.RETAIL_TRANSACTION).select("raw.*")
+    assert bronze.collect() == quality.run_expectations(whole, quality.BRONZE_SUITE).collect()
+    grain, _ = medallion.silver_increment(inputs.retail_lines(spark, SF_DIR))
+    injected = catalog.changes.inject_duplicates(grain, 5, ["InvoiceNo", "StockCode"])
+    assert silver.collect() == quality.run_expectations(injected, quality.SILVER_SUITE).collect()
+
+
+def test_a_payload_is_worked_out_before_it_is_parsed(spark):
+    """Beneath the parsing its expression would be interpreted for every row."""
+    made = spark.range(3).select(F.concat(F.lit('{"InvoiceNo": "'), (F.col("id") + 536365).cast("string"), F.lit('"}')).alias("payload"))
+    texts = contract.raw_texts(made, contract.RETAIL_TRANSACTION, ["InvoiceNo"])
+    parsing = [line for line in texts._jdf.queryExecution().optimizedPlan().toString().splitlines() if "from_json" in line]
+    assert parsing and not any("536365" in line for line in parsing)
+    odd = spark.createDataFrame([(None,), ("",), ("[1]",), ('{"InvoiceNo": 5} x',), ('{"InvoiceNo": 5}',)], "payload string")
+    assert [r[0] for r in contract.raw_texts(odd, contract.RETAIL_TRANSACTION, ["InvoiceNo"]).collect()] == [None, None, None, None, "5"]
