@@ -11,6 +11,7 @@ WHITE_SPACE = (
     "\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
 SPACE = r"[\s\x1c-\x1f]"  # under (?U)
+NOT_PLAIN = r"[^\x20-\x7e]"  # plain texts have the blank as their only white space
 
 
 def strip(text: Column) -> Column:
@@ -31,7 +32,10 @@ def single_spaced(text: Column) -> Column:
 
 def tokenize(text: Column) -> Column:
     """Lower-cased white-space tokens; punctuation stays attached."""
-    return F.array_remove(F.split(F.lower(text), rf"(?U){SPACE}+"), "")
+    lowered = F.lower(text)
+    # Spark compiles a pattern for every row that it splits, but for a single character
+    parts = F.when(lowered.rlike(NOT_PLAIN), F.split(lowered, rf"(?U){SPACE}+")).otherwise(F.split(lowered, " "))
+    return F.array_remove(parts, "")
 
 
 def split_sentences(text: Column) -> Column:

@@ -166,7 +166,7 @@ def retrieval_compare(stages: dict[str, DataFrame], depth: int = 3) -> DataFrame
 
 @dataclass(frozen=True)
 class RetrievalIndex:
-    """Stored chunks with their vectors, and the keyword index over them."""
+    """Stored chunks with their packed vectors, and the keyword index over them."""
 
     chunks: DataFrame
     keywords: Bm25Index
@@ -176,7 +176,7 @@ class RetrievalIndex:
 def build_index(chunks: DataFrame, load_embedder: Callable[[], Embedder] | None = None) -> RetrievalIndex:
     """Embed and store the chunks (chunk_id, doc_id, pos, text) and build the keyword index."""
     load_embedder = load_embedder or hashing_embedder()
-    stored = materialize(embed(chunks, "text", load_embedder), "chunks")
+    stored = materialize(embed(chunks, "text", load_embedder, packed=True), "chunks")
     return RetrievalIndex(stored, bm25_index(stored), load_embedder)
 
 

@@ -11,6 +11,9 @@ from tallyweir.operators.search import BLOCK_CELLS, flat_list, search_top_k
 
 
 def _matrix(table, column: str = "embedding") -> np.ndarray:
+    if pa.types.is_binary(table.column(column).type) or pa.types.is_large_binary(table.column(column).type):  # see ``embed``
+        rows = table.column(column).to_pylist()
+        return np.frombuffer(b"".join(rows), "<f8").reshape(len(rows), len(rows[0]) // 8 if rows else 0)
     items, lengths = flat_list(table.column(column))
     width = int(lengths[0]) if len(lengths) else 0
     return items.to_numpy(zero_copy_only=False).astype(float).reshape(len(lengths), width)
@@ -41,7 +44,7 @@ def distance_scorer():
 
 def vector_topk(vectors: DataFrame, queries: DataFrame, keys: list[str], k: int = 15, **limits) -> DataFrame:
     """(query_id, *keys, distance, rank) of the ``k`` nearest rows of ``vectors`` (keys, embedding) to
-    each row of ``queries`` (query_id, embedding); all vectors need the same length. Rows without a
+    each row of ``queries`` (query_id, embedding); all vectors, packed or not, need the same length. Rows without a
     vector, on either side, have no distance and take no part."""
     hits = search_top_k(
         vectors.select(*keys, "embedding").filter("embedding IS NOT NULL"),

@@ -313,3 +313,30 @@ def test_questions_to_answers(spark):
 def test_comparison_fills_short_lists(spark):
     table = retrieval.retrieval_compare({"a": _hits(spark, "XYZW"), "b": _hits(spark, "Y")}).orderBy("place").collect()
     assert [tuple(r)[1:] for r in table] == [(1, "X", "Y"), (2, "Y", "-"), (3, "Z", "-")]
+
+
+def test_tokens_and_vectors_of_any_white_space(spark, monkeypatch):
+    """The short ways for plain texts give what the general ones do, and the places remembered are bounded."""
+    import numpy as np
+
+    from tallyweir.functions import text, vectors
+
+    spaces = text.WHITE_SPACE
+    texts = [f"A{s}b{s}{s}B c{s}" for s in spaces] + ["", " ", "  Plain text, plain  ", "İ ß É", None, "\t", "x\x00y z", "a​b c"]
+    texts += [f"w{i} w{i + 1} w{i % 7}" for i in range(300)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    general = F.array_remove(F.split(F.lower("t"), rf"(?U){text.SPACE}+"), "")
+    found = df.select("t", text.tokenize(F.col("t")).alias("a"), general.alias("b"))
+    assert found.filter("NOT a <=> b").isEmpty()
+    simple = found.filter("t = '  Plain text, plain  '").first()
+    assert simple["a"] == ["plain", "text,", "plain"]
+    monkeypatch.setattr(vectors, "KEPT_TOKENS", 20)
+    slots = vectors._Slots(64)
+    for i in range(1000):
+        slots[f"w{i}"]
+    assert len(slots) <= 20
+    bounded = vectors.hashing_embedder()()(texts)
+    monkeypatch.setattr(vectors, "KEPT_TOKENS", 10**9)
+    assert (bounded == vectors.hashing_embedder()()(texts)).all() and np.isclose(np.linalg.norm(bounded[-1]), 1)
+    packed = vectors.embed(df, "t", vectors.hashing_embedder(), packed=True).orderBy("i").collect()
+    assert (np.array([np.frombuffer(r["embedding"], "<f8") for r in packed]) == bounded).all()
