@@ -15,7 +15,7 @@ from tallyweir.operators.vector import vector_topk
 from tallyweir.plans import inputs
 from tallyweir.plans.layered import Layers, run_increment
 from tallyweir.schemas import BUSINESS_COLUMNS, GRAIN_KEYS, LANDING, SILVER
-from tallyweir.session import materialize, scratch_path, ship_package
+from tallyweir.session import materialize, released_shuffles, scratch_path, ship_package
 from tallyweir.sources import files, keyed, sinks, topics
 from tallyweir.streaming.ingest import ingest_stream, message_stream, merge_stream
 
@@ -180,7 +180,8 @@ def landing_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The silver table after landed records were folded into it as a stream."""
     root = scratch_path(spark, "stream_merge")
-    contract_valid(spark, sf_dir).write.json(f"{root}/landing")
+    with released_shuffles(spark):
+        sinks.write_json_lines(contract_valid(spark, sf_dir), f"{root}/landing")
     stream = spark.readStream.schema(LANDING).json(f"{root}/landing")
     merge_stream(stream, f"{root}/silver", f"{root}/non_product", f"{root}/checkpoint").awaitTermination()
     return _shown_silver(sinks.read_snapshot(spark, f"{root}/silver"))

@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tallyweir.operators.merge import ACTION, conform, merge_into_delta, merge_metrics, merge_tagged
-from tallyweir.session import materialize
+from tallyweir.session import key_passes, materialize, scratch_scope
 
 PUBLISHED = "_PUBLISHED"
 RECORDS_PER_FILE = 500_000  # of JSON lines; compressed files are read by one task each
+COMPACT = "zstd"  # codec of tables that are kept
 KEPT_VERSIONS = 3  # the newest one and those that long readers may still be on
 
 
@@ -91,17 +92,27 @@ def publish_snapshot(
     A gate that raises leaves the version before in place, and so does a write that fails. Readers of
     the last few older versions are not disturbed. Returns the stored rows.
     """
-    spark = df.sparkSession
-    found = latest_snapshot(spark, root)
-    path = f"{root}/v={found[0] + 1 if found else 0}"
+    path = _next_version(df.sparkSession, root)
     writer = df.write.mode("overwrite")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
-    stored = spark.read.schema(df.schema).parquet(path)
+    return _publish(df.sparkSession, df.schema, root, path, gate)
+
+
+def _next_version(spark: SparkSession, root: str) -> str:
+    found = latest_snapshot(spark, root)
+    return f"{root}/v={found[0] + 1 if found else 0}"
+
+
+def _publish(
+    spark: SparkSession, schema: StructType, root: str, path: str, gate: Callable[[DataFrame], None] | None
+) -> DataFrame:
+    """Judge what was written to ``path``, mark it as published and remove versions that are too old."""
+    stored = spark.read.schema(schema).parquet(path)
     if gate is not None:
         gate(stored)
     fs, marker = _file_system(spark, f"{path}/{PUBLISHED}")
     out = fs.create(marker, True)
-    out.write(bytearray(df.schema.json().encode()))
+    out.write(bytearray(schema.json().encode()))
     out.close()
     for version in published_versions(spark, root)[:-KEPT_VERSIONS]:
         fs.delete(_file_system(spark, f"{root}/v={version}")[1], True)
@@ -122,14 +133,42 @@ def upsert_table(
     """
     spark = source.sparkSession
     source = source if stored else materialize(source, "merge_source")
-    target = read_snapshot(spark, root)
-    if target is None:
-        tagged = source.withColumn(ACTION, F.lit("inserted"))
-    else:
-        tagged = merge_tagged(target, source, keys)
+    tagged = _tagged(read_snapshot(spark, root), source, keys)
     return merge_metrics(publish_snapshot(tagged, root, gate, [ACTION]), source)
 
 
+def _tagged(target: DataFrame | None, source: DataFrame, keys: list[str]) -> DataFrame:
+    return source.withColumn(ACTION, F.lit("inserted")) if target is None else merge_tagged(target, source, keys)
+
+
+def upsert_in_passes(
+    records: DataFrame,
+    increment: Callable[[DataFrame, bool], DataFrame],
+    root: str,
+    keys: list[str],
+    gate: Callable[[DataFrame], None] | None = None,
+) -> DataFrame:
+    """``upsert_table`` for what ``increment`` makes of stored ``records``, which have the same keys.
+
+    Records and table are gone through in passes, by key, so that only a part of both is shuffled and stored besides the
+    table at a time. ``increment`` gets the records of a pass and whether it is the first; it returns stored rows, which are
+    removed after the pass if it has materialized them.
+    """
+    spark = records.sparkSession
+    target, path = read_snapshot(spark, root), _next_version(spark, root)
+    source_rows, schema = 0, None
+    for part in key_passes(records, keys):
+        with scratch_scope(spark):
+            source = increment(records.filter(part), schema is None)
+            source_rows += source.count()
+            tagged = _tagged(None if target is None else target.filter(part), source, keys)
+            writer = tagged.write.mode("overwrite" if schema is None else "append")
+            writer.option("compression", COMPACT).partitionBy(ACTION).parquet(path)
+            schema = tagged.schema
+    counts = merge_metrics(_publish(spark, schema, root, path, gate))
+    return counts.withColumn("source_rows", F.lit(source_rows).cast("bigint"))
+
+
 def upsert_delta(source: DataFrame, path: str, keys: list[str]) -> None:
     """Create-or-merge on a Delta table in place; needs a session with the Delta extension."""
     fs, log = _file_system(source.sparkSession, f"{path}/_delta_log")

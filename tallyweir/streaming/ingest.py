@@ -18,8 +18,8 @@ from tallyweir.operators.contract import (
 )
 from tallyweir.operators.medallion import silver_increment
 from tallyweir.schemas import GRAIN_KEYS, MESSAGE
-from tallyweir.session import materialize
-from tallyweir.sources.sinks import upsert_table, write_json_lines
+from tallyweir.session import materialize, scratch_scope
+from tallyweir.sources.sinks import COMPACT, upsert_in_passes, write_json_lines
 
 FILES_PER_BATCH = 1000
 
@@ -73,13 +73,17 @@ def merge_stream(
     name = increment or uuid.uuid4().hex
     arrived, aside = f"{side_root}/records/increment={name}", f"{side_root}/aside/increment={name}"
 
+    def fold(part: DataFrame, first: bool) -> DataFrame:
+        grain, others = silver_increment(part)
+        others.write.mode("overwrite" if first else "append").parquet(aside)
+        return grain
+
     def handle(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        batch.write.mode("overwrite").parquet(f"{arrived}/batch_id={batch_id}")
+        batch.write.mode("overwrite").option("compression", COMPACT).parquet(f"{arrived}/batch_id={batch_id}")
         whole = batch.sparkSession.read.schema(batch.schema).parquet(f"{arrived}/*")
-        grain, others = silver_increment(whole)
-        others.write.mode("overwrite").parquet(aside)
-        upsert_table(grain, silver_root, GRAIN_KEYS, stored=True)
+        with scratch_scope(batch.sparkSession):
+            upsert_in_passes(whole, fold, silver_root, GRAIN_KEYS)
 
     return each_batch(records, checkpoint, handle)
