@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyweir.functions.retail import INVOICE_NUMBER
 from tallyweir.operators.rank import top_n_per_group
-from tallyweir.session import materialize
+from tallyweir.session import key_passes, materialize, released_shuffles
 
 SAMPLE_SIZE = 20
 ROW, MISSING, UNEXPECTED = "row", "missing", "unexpected"
@@ -134,6 +134,15 @@ def _key_failures(df: DataFrame, e: Expectation) -> DataFrame:
     )
 
 
+def _repeated_keys(df: DataFrame, e: Expectation) -> list[DataFrame]:
+    """The failures of a table's keys, by parts of the keys if it is large; only one part is shuffled at a time."""
+    parts = [_key_failures(df.filter(part), e) for part in key_passes(df, list(e.columns))]
+    if len(parts) == 1:
+        return parts
+    with released_shuffles(df.sparkSession):
+        return [materialize(part, "repeated-keys") for part in parts]
+
+
 def run_expectations(df: DataFrame, suite: Suite) -> DataFrame:
     """One row per expectation of the suite.
 
@@ -146,7 +155,9 @@ def run_expectations(df: DataFrame, suite: Suite) -> DataFrame:
     """
     spark = df.sparkSession
     expectations = suite.numbered()
-    failures = [_key_failures(df, e) if e.kind == UNIQUE_KEYS else _row_failures(df, e) for e in expectations]
+    failures = []
+    for e in expectations:
+        failures += _repeated_keys(df, e) if e.kind == UNIQUE_KEYS else [_row_failures(df, e)]
     tally = materialize(reduce(DataFrame.unionByName, [_tally(df, expectations), *failures]), "tally")
     failed = tally.filter(F.col("finding") == UNEXPECTED)
     missing = (

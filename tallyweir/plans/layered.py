@@ -8,17 +8,18 @@ continues where a failed one stopped.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyweir.operators.documents import chunk_sentences, product_documents
-from tallyweir.operators.medallion import append_audit, rank_products, silver_increment
+from tallyweir.operators.medallion import append_audit, product_totals, rank_totals, silver_increment
 from tallyweir.operators.quality import BRONZE_SUITE, SILVER_SUITE, Suite, enforce, run_expectations
 from tallyweir.operators.runlog import RunLog
 from tallyweir.schemas import GRAIN_KEYS, LANDING, MERGE_COUNTS
-from tallyweir.session import materialize
-from tallyweir.sources.sinks import publish_snapshot, read_snapshot, upsert_table
+from tallyweir.session import key_passes, materialize, scratch_scope
+from tallyweir.sources.sinks import COMPACT, publish_snapshot, read_snapshot, upsert_in_passes
 from tallyweir.streaming.ingest import each_batch, ingest_stream, message_stream
 
 
@@ -48,22 +49,28 @@ def _merge_landed(spark: SparkSession, layers: Layers, log: RunLog) -> list[tupl
         try:
             # The increment is judged before it becomes part of the audit table. A replayed batch replaces its
             # own folders, so no table ever holds a row twice.
-            staged = materialize(append_audit(batch), "staged")
-            with log.stage("gate_bronze"):
-                _judge(staged, BRONZE_SUITE, layers, batch_id)
-            with log.stage("audit"):
-                bronze = f"{layers.path('bronze')}/batch_id={batch_id}"
-                staged.write.mode("overwrite").parquet(bronze)
-                increment = batch.sparkSession.read.schema(LANDING).parquet(bronze)
-            with log.stage("silver"):
-                grain, others = silver_increment(increment)
-                others.write.mode("overwrite").parquet(f"{layers.path('non_product')}/batch_id={batch_id}")
-                merged = upsert_table(
-                    grain,
+            with scratch_scope(batch.sparkSession):
+                staged = materialize(append_audit(batch), "staged")
+                with log.stage("gate_bronze"):
+                    _judge(staged, BRONZE_SUITE, layers, batch_id)
+                with log.stage("audit"):
+                    bronze = f"{layers.path('bronze')}/batch_id={batch_id}"
+                    staged.write.mode("overwrite").option("compression", COMPACT).parquet(bronze)
+                    increment = batch.sparkSession.read.schema(LANDING).parquet(bronze)
+            with log.stage("silver"), scratch_scope(batch.sparkSession):
+                aside = f"{layers.path('non_product')}/batch_id={batch_id}"
+
+                def fold(part: DataFrame, first: bool) -> DataFrame:
+                    grain, others = silver_increment(part)
+                    others.write.mode("overwrite" if first else "append").parquet(aside)
+                    return grain
+
+                merged = upsert_in_passes(
+                    increment,
+                    fold,
                     layers.path("silver"),
                     GRAIN_KEYS,
                     gate=lambda table: _judge(table, SILVER_SUITE, layers, batch_id),
-                    stored=True,
                 )
                 stored = materialize(merged, "merge_counts")
                 stored.write.mode("overwrite").json(f"{layers.path('merge_metrics')}/batch_id={batch_id}")
@@ -83,6 +90,12 @@ def _merge_landed(spark: SparkSession, layers: Layers, log: RunLog) -> list[tupl
     return counts
 
 
+def _product_totals(silver: DataFrame) -> DataFrame:
+    """Stored totals of all products, a part of these shuffled at a time."""
+    parts = [product_totals(silver.filter(part)) for part in key_passes(silver, ["StockCode"])]
+    return reduce(DataFrame.unionByName, [materialize(part, "totals") for part in parts])
+
+
 def run_increment(spark: SparkSession, messages: str, layers: Layers, log: RunLog) -> DataFrame:
     """Take in what is new in the message folder and bring every layer up to date.
 
@@ -99,9 +112,9 @@ def run_increment(spark: SparkSession, messages: str, layers: Layers, log: RunLo
     counts = _merge_landed(spark, layers, log)
     silver = read_snapshot(spark, layers.path("silver"))
     if silver is not None:
-        with log.stage("gold"):
-            gold = publish_snapshot(rank_products(silver), layers.path("gold"))
-        with log.stage("documents"):
+        with log.stage("gold"), scratch_scope(spark):
+            gold = publish_snapshot(rank_totals(_product_totals(silver)), layers.path("gold"))
+        with log.stage("documents"), scratch_scope(spark):
             docs = publish_snapshot(product_documents(gold), layers.path("documents"))
             publish_snapshot(chunk_sentences(docs), layers.path("chunks"))
     return spark.createDataFrame(counts, MERGE_COUNTS)

@@ -7,9 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyweir import session
-from tallyweir.operators import contract, lists, medallion
+from tallyweir.operators import contract, lists, medallion, quality, runlog
 from tallyweir.operators.vector import vector_topk
-from tallyweir.plans import catalog, inputs
+from tallyweir.plans import catalog, inputs, layered
 from tallyweir.schemas import LANDING
 from tallyweir.sources import files, sinks
 from tallyweir.streaming.ingest import ingest_stream, merge_stream, message_stream
@@ -288,3 +288,36 @@ def test_landed_records_are_stored_compressed_and_shuffles_released(spark, tmp_p
     parts = list((tmp_path / "stream_merge" / "landing").rglob("part-*"))
     assert parts and all(p.name.endswith(".json.gz") for p in parts) and not shuffle_files()
     assert silver.count() > 0
+
+
+def test_layers_in_passes_keep_only_their_tables(spark, tmp_path, monkeypatch, shuffle_files):
+    """Every layer as in one pass; of an increment nothing is left but the layers."""
+    monkeypatch.setattr(session, "MOST_PASSES", 3)
+    monkeypatch.setattr(session, "shared_root", lambda spark: str(tmp_path / "scratch"))
+    names, found = ("InvoiceNo", "StockCode", "Quantity"), []
+    text = '{{"InvoiceNo": "{}", "StockCode": "{}", "Quantity": {}, "InvoiceDate": "12/1/2010 8:26", "UnitPrice": 2, "Country": "France"}}'
+    lines = [(536000 + i // 2, f"{10000 + i % 7}", i) for i in range(40)]
+    lines += [(536000, "POST", 1), (1, "10001", 1), *((537000, "10001", 2**62 + i) for i in range(2))]
+    rows = [(text.format(*line), i, 0) for i, line in enumerate(lines)]
+    for pass_rows in (1000, 10):
+        monkeypatch.setattr(session, "PASS_ROWS", pass_rows)
+        layers = layered.Layers(str(tmp_path / f"lake{pass_rows}"))
+        messages = spark.createDataFrame(rows, "payload string, source_offset long, source_partition int")
+        sinks.write_messages(messages, f"{layers.root}-in")
+        counts = layered.run_increment(spark, f"{layers.root}-in", layers, runlog.RunLog(spark, f"{layers.root}-log"))
+        assert not _files(tmp_path / "scratch") and not shuffle_files()
+        tables = [sinks.read_snapshot(spark, layers.path(t)) for t in ("silver", "gold", "chunks")]
+        tables += [counts, *(spark.read.parquet(layers.path(t)) for t in ("non_product", "gates")), spark.read.parquet(layers.path("bronze")).select(*names)]
+        with session.released_shuffles(spark):
+            found.append([sorted(map(str, t.collect())) for t in tables])
+    assert found[0] == found[1] and [len(t) for t in found[0]] == [40, 7, 49, 1, 3, 5, 43]
+
+
+def test_repeated_keys_are_found_in_passes(spark, tmp_path, monkeypatch):
+    rows = [(f"{i % 9}" if i % 9 else None, f"{i % 2}" if i % 5 else None) for i in range(60)]
+    stored = session.materialize(spark.createDataFrame(rows, "a string, b string"), "keys")
+    suite = quality.Suite("keys", (quality.not_null("a"), quality.unique_keys("a", "b"), quality.matches_regex("b", "1")))
+    whole = quality.run_expectations(stored, suite).collect()
+    monkeypatch.setattr(session, "PASS_ROWS", 10)
+    assert len(session.key_passes(stored, ["a", "b"])) == 6
+    assert sorted(map(str, quality.run_expectations(stored, suite).collect())) == sorted(map(str, whole))
